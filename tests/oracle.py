@@ -1,0 +1,57 @@
+"""Compare a registered query with its SQL statement run by DuckDB on the same files."""
+
+from __future__ import annotations
+
+import math
+from datetime import datetime
+from decimal import Decimal
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def duck(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return ("nan",) if math.isnan(value) else value
+    if isinstance(value, Decimal):
+        raise AssertionError("decimals are not comparable across engines, cast them to double")
+    if isinstance(value, (list, dict)):
+        raise AssertionError("nested values are not comparable across engines")
+    if isinstance(value, datetime):
+        return value.isoformat()
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    return sorted(plain, key=lambda r: [(v is None, str(type(v)), v if v is not None else 0) for v in r])
+
+
+def differences(spark, connection, query, folder: str) -> str | None:
+    """None when names, rows and types agree, else what differs."""
+    frame = query.run(spark, folder)
+    relation = connection.sql(query.oracle)
+    if sorted(frame.columns) != sorted(relation.columns):
+        return f"columns {sorted(frame.columns)} / {sorted(relation.columns)}"
+    ours = _rows(frame.columns, [tuple(r) for r in frame.collect()])
+    theirs = _rows(relation.columns, relation.fetchall())
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows, SQL has {len(theirs)}"
+    for mine, other in zip(ours, theirs):
+        if mine != other or [type(v) for v in mine] != [type(v) for v in other]:
+            return f"first difference: {mine} / {other}"
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "timestamp_ntz": "TIMESTAMP"}
+    expected = {c: str(k) for c, k in zip(relation.columns, relation.types)}
+    odd = {c: (k, expected[c]) for c, k in frame.dtypes if kinds.get(k, k) != expected[c]}
+    return f"types {odd}" if odd else None
