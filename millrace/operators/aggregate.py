@@ -81,12 +81,10 @@ def collect_joined(df: DataFrame, keys: Sequence[str], column: str, name: str, s
                    distinct: bool = True) -> DataFrame:
     """Values of a group as one sorted string.
 
-    For groups with a bound, such as the words of one document: equal values
-    are merged before the shuffle when ``distinct``.
+    For groups with a bound, such as the words of one document; each task merges
+    equal values before the shuffle when ``distinct``.
     """
     collect = F.collect_set if distinct else F.collect_list
-    if distinct:
-        df = df.select(*keys, column).distinct()
     return df.groupBy(*keys).agg(F.array_join(F.sort_array(collect(column)), separator).alias(name))
 
 

@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 
 from millrace.operators.stats import frequent_items
 from millrace.sources.writers import save_table
-from millrace.workspace import new_name, new_path
+from millrace.workspace import materialize, new_name, new_path
 
 _SALTED_TYPES = ("inner", "left", "leftsemi", "leftanti")
 
 
 def small_enough(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> bool:
-    """Is ``df`` proven to be within both bounds? Looks at one row more than allowed and no further."""
-    if df.isStreaming:
+    """Is ``df`` proven to be within both bounds?
+
+    The rows are counted first, which needs no column data; only a frame of few
+    rows is then measured.
+    """
+    if df.isStreaming or df.count() > max_rows:
         return False
     width = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), width.alias("bytes")).first()
-    return seen.n <= max_rows and (seen.bytes or 0) <= max_bytes
+    return (df.agg(width).first()[0] or 0) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
@@ -72,9 +75,10 @@ def salt_sides(left: DataFrame, right: DataFrame, key: str, salts: int = 16, sup
 
     Left rows of a hot key get one salt each and right rows of it are repeated
     for every salt; other keys, and NULL, keep salt 0. Each pair still meets
-    exactly once. The hot-key list has at most 1/support rows, hence the broadcast.
+    exactly once. The hot-key list has at most 1/support rows, hence the broadcast;
+    it is stored once because both sides have to see the same list.
     """
-    hot = F.broadcast(hot_keys(left, key, support).select(F.col(key).alias("_hot")))
+    hot = F.broadcast(materialize(hot_keys(left, key, support).select(F.col(key).alias("_hot")), "hot-keys"))
     others = [c for c in left.columns if c != key] or [key]
     spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
     salted = (left.join(hot, F.col(key) == F.col("_hot"), "left")
@@ -124,9 +128,3 @@ def join_bucketed(left: DataFrame, right: DataFrame, key: str, buckets: int, how
         sides.append(save_table(side, name, path=new_path(side.sparkSession, label),
                                 bucket_by=keys, buckets=buckets))
     return sides[0].join(sides[1].hint("merge"), keys, how).drop("_salt")
-
-
-def join_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Attach to each row the size of its group."""
-    from millrace.operators.windows import partition_aggregates
-    return partition_aggregates(df, keys, [F.count(F.lit(1)).alias(name)])

@@ -87,15 +87,17 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, accuracy: int
 def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 6) -> DataFrame:
     """Cluster rows so that each partition covers a small range of all the columns at once.
 
-    One column is a plain range sort. Rows of one z-value may be many, so the
-    columns themselves break ties in the range partitioning.
+    One column is a plain range sort. A row id comes last in the range keys, so
+    rows of one hot value fill as many partitions as they need.
     """
     count = [partitions] if partitions else []
-    if len(columns) == 1:
-        return df.repartitionByRange(*count, *columns).sortWithinPartitions(*columns)
-    marked = df.withColumn("_z", z_value(df, columns, bits))
-    order = ["_z", *columns]
-    return marked.repartitionByRange(*count, *order).sortWithinPartitions(*order).drop("_z")
+    order = list(columns)
+    marked = df.withColumn("_tie", F.monotonically_increasing_id())
+    if len(columns) > 1:
+        marked = marked.withColumn("_z", z_value(df, columns, bits))
+        order = ["_z", *columns]
+    return (marked.repartitionByRange(*count, *order, "_tie").sortWithinPartitions(*order)
+            .drop("_z", "_tie"))
 
 
 @contextmanager

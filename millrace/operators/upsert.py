@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import anti_join
+from millrace.workspace import materialize
 
 VERSION = "_version"
 OP = "_op"
@@ -24,11 +25,17 @@ def _fail_if(condition: Column, message: str) -> Column:
     return F.when(condition, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
 
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & (F.col(key) == F.col(prefix + key))
+    return condition
+
+
 def unique_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` unchanged, but the query fails when a key occurs twice.
 
-    NULL keys match nothing and may repeat. The grouping leaves the rows hashed
-    on the key, so a following join on it needs no further exchange.
+    NULL keys match nothing and may repeat.
     """
     known = F.lit(True)
     for key in keys:
@@ -41,14 +48,32 @@ def unique_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return checked.unionByName(df.where(~known))
 
 
+def _touched(base: DataFrame, staged: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The listed columns of the base rows whose key is in the staged change set.
+
+    Spark knows the size of the stored change set: while it is small it is sent
+    to the base, which is then read but not shuffled.
+    """
+    return base.select(*columns).join(staged.select(*keys).distinct(), list(keys), "leftsemi")
+
+
 def merge_insert(base: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep the base and add source rows whose key it lacks; doing it again changes nothing."""
-    return base.unionByName(anti_join(source, base, keys))
+    """Keep the base and add source rows whose key it lacks; doing it again changes nothing.
+
+    NULL keys match nothing, so such rows are added each time.
+    """
+    staged = materialize(source, "merge-source")
+    present = _touched(base, staged, keys, keys)
+    return base.unionByName(anti_join(staged, present, keys))
 
 
 def merge_upsert(base: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows replace base rows of the same key; the rest of both sides stays."""
-    return anti_join(base, source, keys).unionByName(unique_by_key(source, keys))
+    """Source rows replace base rows of the same key; the rest of both sides stays.
+
+    The source is stored first, and fails to be if a key occurs in it twice.
+    """
+    staged = materialize(unique_by_key(source, keys), "merge-source")
+    return anti_join(base, staged, keys).unionByName(staged)
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -76,34 +101,31 @@ def scd2_apply(history: DataFrame, changes: DataFrame, keys: Sequence[str], at:
     Keys without an open version get their first. With ``compare``, a key whose
     listed columns are all unchanged keeps its version. Applying the same
     changes at the same time again changes nothing; a change that lies before
-    the open version is an error, as are two changes of one key.
+    the open version is an error, as are two changes of one key. The changes are
+    stored on the way, so a small set of them is sent to the history and the
+    history is never shuffled for it.
     """
     start = F.lit(at).cast("timestamp_ntz")
     end = F.lit(OPEN_END).cast("timestamp_ntz")
-    current = history.where(F.col(valid_to) == end).select(
-        *[F.col(k).alias("_c_" + k) for k in keys], F.col(valid_from).alias("_c_from"),
-        *[F.col(c).alias("_c_" + c) for c in compare if c not in keys])
-    same_key = F.lit(True)
-    for key in keys:
-        same_key = same_key & (F.col(key) == F.col("_c_" + key))
     compared = [c for c in compare if c not in keys]
+    staged = materialize(unique_by_key(changes, keys), "scd-changes")
+    current = _touched(history.where(F.col(valid_to) == end), staged, keys, [*keys, valid_from, *compared])
+    current = current.select(*[F.col(c).alias("_c_" + c) for c in current.columns])
+    began = F.col("_c_" + valid_from)
     changed = F.lit(not compared)
     for name in compared:
         changed = changed | ~F.col(name).eqNullSafe(F.col("_c_" + name))
-    accepted = (unique_by_key(changes, keys).join(current, same_key, "left")
-                .where(_fail_if(F.col("_c_from") > start, "a change lies before the open version"))
-                .where(F.col("_c_from").isNull() | ((F.col("_c_from") < start) & changed))
+    accepted = (staged.join(current, _same(keys, "_c_"), "left")
+                .where(_fail_if(began > start, "a change lies before the open version"))
+                .where(began.isNull() | ((began < start) & changed))
                 .select(*changes.columns))
-    touched = accepted.select(*[F.col(k).alias("_t_" + k) for k in keys])
-    is_touched = F.lit(True)
-    for key in keys:
-        is_touched = is_touched & (F.col(key) == F.col("_t_" + key))
+    accepted = materialize(accepted, "scd-accepted")
+    closed = accepted.select(*[F.col(k).alias("_t_" + k) for k in keys])
     closing = (F.col(valid_to) == end) & F.col("_t_" + keys[0]).isNotNull()
-    kept = (history.join(touched, is_touched, "left")
+    kept = (history.join(closed, _same(keys, "_t_"), "left")
             .withColumn(valid_to, F.when(closing, start).otherwise(F.col(valid_to)))
             .select(*history.columns))
-    opened = accepted.withColumns({valid_from: start, valid_to: end})
-    return kept.unionByName(opened)
+    return kept.unionByName(accepted.withColumns({valid_from: start, valid_to: end}))
 
 
 def as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,

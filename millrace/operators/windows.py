@@ -20,21 +20,38 @@ def _match(keys: Sequence[str], prefix: str) -> Column:
     return condition
 
 
-def partition_aggregates(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
-    """Attach per-group aggregates to every row.
+def _attach(df: DataFrame, lookup: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """Left join to a lookup with one row per key, NULL keys included.
 
-    Same result as aggregates over an unordered window, but groups are reduced
-    before the shuffle and joined back: a small table of groups is broadcast by
-    adaptive execution, and a skewed detail side is split by it.
+    The lookup is stored first. Spark then knows its true size: a small one is
+    broadcast and the detail side stays where it is, a large one is joined by
+    sort-merge, where adaptive execution splits hot keys.
     """
-    grouped = df.groupBy(*keys).agg(*aggregates).withColumnsRenamed({k: "_g_" + k for k in keys})
-    return df.join(grouped, _match(keys, "_g_"), "left").drop(*["_g_" + k for k in keys])
+    renamed = lookup.withColumnsRenamed({k: "_g_" + k for k in keys})
+    return df.join(materialize(renamed, label), _match(keys, "_g_"), "left").drop(*["_g_" + k for k in keys])
+
+
+def partition_aggregates(df: DataFrame, *grains: tuple[Sequence[str], Sequence[Column]]) -> DataFrame:
+    """Attach per-group aggregates to every row, for one or more (keys, aggregates) pairs.
+
+    Same result as aggregates over unordered windows, but groups are reduced
+    before any shuffle and joined back, so a hot group never meets in one task.
+    """
+    result = df
+    for keys, aggregates in grains:
+        result = _attach(result, df.groupBy(*keys).agg(*aggregates), keys, "groups")
+    return result
+
+
+def join_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Attach to each row the size of its group."""
+    return partition_aggregates(df, (keys, [F.count(F.lit(1)).alias(name)]))
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, total: Column, total_name: str,
                    share_name: str) -> DataFrame:
     """Attach the group total of ``value`` and the share each row has in it."""
-    attached = partition_aggregates(df, keys, [total.alias(total_name)])
+    attached = partition_aggregates(df, (keys, [total.alias(total_name)]))
     return attached.withColumn(
         share_name, F.col(value).cast("double") / F.nullif(F.col(total_name), F.lit(0.0)).cast("double"))
 
@@ -60,9 +77,8 @@ def _with_offset(blocks: DataFrame, keys: Sequence[str], per_block: Column) -> D
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     marks = [*keys, "_block"]
     offsets = (blocks.groupBy(*marks).agg(per_block.alias("_sum"))
-               .select(*[F.col(m).alias("_o_" + m) for m in marks],
-                       F.sum("_sum").over(earlier).alias("_before")))
-    return blocks.join(offsets, _match(marks, "_o_"), "left").drop(*["_o_" + m for m in marks])
+               .select(*marks, F.sum("_sum").over(earlier).alias("_before")))
+    return _attach(blocks, offsets, marks, "offsets")
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,

@@ -168,7 +168,7 @@ def join_filtered(t):
 @query("join_group_count", "JN18", """
     SELECT p_partkey, p_type, count(*) OVER (PARTITION BY p_type) AS parts_of_type FROM part""")
 def join_group_count(t):
-    return J.join_group_count(t.part.select("p_partkey", "p_type"), ["p_type"], "parts_of_type")
+    return W.join_group_count(t.part.select("p_partkey", "p_type"), ["p_type"], "parts_of_type")
 
 
 # windows
@@ -229,11 +229,11 @@ def row_numbers_blocks(t):
     FROM orders""")
 def partition_totals(t):
     source = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
-    fine = W.partition_aggregates(source, ["o_orderpriority", "o_orderstatus"],
-                                  [A.exact_sum("o_totalprice").alias("total_priority_status")])
-    return W.partition_aggregates(fine, ["o_orderpriority"],
-                                  [A.exact_sum("o_totalprice").alias("total_priority")]).drop(
-        "o_orderpriority", "o_orderstatus")
+    total = A.exact_sum("o_totalprice")
+    attached = W.partition_aggregates(
+        source, (["o_orderpriority", "o_orderstatus"], [total.alias("total_priority_status")]),
+        (["o_orderpriority"], [total.alias("total_priority")]))
+    return attached.drop("o_orderpriority", "o_orderstatus")
 
 
 @query("share_of_total", "WIN4 JOB5", """
