@@ -14,8 +14,6 @@ from pyspark.sql.types import DoubleType, IntegerType
 #: Segment of the path that holds the id (fixed value).
 ID_SEGMENT = 4
 
-
-
 # The wrappers below are built on call from local functions: those travel to the
 # workers by value, so the package need not be installed there.
 
@@ -36,7 +34,7 @@ def id_pandas_udf():
 
     @F.pandas_udf(IntegerType())
     def extract(paths: pd.Series) -> pd.Series:
-        segment = paths.str.split("/").str[position]
+        segment = paths.astype("string").str.split("/").str[position].astype("string")
         digits = segment.where(segment.str.fullmatch("[0-9]+", na=False))
         number = pd.to_numeric(digits, errors="coerce")
         return number.where(number < 2 ** 31).astype("Int32")

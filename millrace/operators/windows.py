@@ -62,13 +62,16 @@ def fits_budget(df: DataFrame, keys: Sequence[str], budget: int) -> bool:
     return (counted.agg(F.max("n")).first()[0] or 0) <= budget
 
 
-def _in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], label: str) -> DataFrame:
+def _in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], label: str,
+               blocks: int | None) -> DataFrame:
     """Cut the data into ordered blocks: rows equal in keys and order share a block.
 
-    Stored once, because a range partitioning that is computed twice may be cut
-    at different places.
+    Without a number, adaptive execution sizes the blocks like any other
+    partition. Stored once, because a range partitioning that is computed twice
+    may be cut at different places.
     """
-    ranged = df.repartitionByRange(*keys, *order).withColumn("_block", F.spark_partition_id())
+    count = [blocks] if blocks else []
+    ranged = df.repartitionByRange(*count, *keys, *order).withColumn("_block", F.spark_partition_id())
     return materialize(ranged, label)
 
 
@@ -82,36 +85,36 @@ def _with_offset(blocks: DataFrame, keys: Sequence[str], per_block: Column) -> D
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
-                budget: int = GROUP_BUDGET) -> DataFrame:
+                budget: int = GROUP_BUDGET, blocks: int | None = None) -> DataFrame:
     """Number the rows of each group in a total ``order``, from 1.
 
-    Groups above ``budget`` rows are numbered block by block.
+    When a group is above ``budget`` rows, all are numbered block by block.
     """
     if fits_budget(df, keys, budget):
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
                              .cast("long"))
-    blocks = _with_offset(_in_blocks(df, keys, order, "numbered"), keys, F.count(F.lit(1)))
+    cut = _with_offset(_in_blocks(df, keys, order, "numbered", blocks), keys, F.count(F.lit(1)))
     within = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*order))
-    return blocks.withColumn(name, within + F.coalesce(F.col("_before"), F.lit(0))).drop("_block", "_before")
+    return cut.withColumn(name, within + F.coalesce(F.col("_before"), F.lit(0))).drop("_block", "_before")
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
-                budget: int = GROUP_BUDGET) -> DataFrame:
+                budget: int = GROUP_BUDGET, blocks: int | None = None) -> DataFrame:
     """Sum of ``value`` over the group up to and including the row; rows that tie share the result.
 
-    Groups above ``budget`` rows are first reduced to one row per order value
-    and then summed block by block, so neither a hot group nor a hot order value
+    When a group is above ``budget`` rows, all are first reduced to one row per
+    order value and then summed block by block, so neither a hot group nor a hot order value
     meets in one task. ``value`` should be a decimal for a result that does not
     depend on the order of addition.
     """
     if fits_budget(df, keys, budget):
         return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order)))
     points = df.groupBy(*keys, order).agg(F.sum(value).alias("_value"))
-    blocks = _with_offset(_in_blocks(points, keys, [F.col(order)], "running"), keys, F.sum("_value"))
+    cut = _with_offset(_in_blocks(points, keys, [F.col(order)], "running", blocks), keys, F.sum("_value"))
     within = F.sum("_value").over(Window.partitionBy(*keys, "_block").orderBy(order))
     # A block or prefix without any known value adds nothing, but all-NULL so far stays NULL.
     total = F.when(within.isNull(), F.col("_before")).otherwise(
         within + F.coalesce(F.col("_before"), F.lit(0)))
     marks = [*keys, order]
-    summed = blocks.select(*[F.col(m).alias("_p_" + m) for m in marks], total.alias(name))
+    summed = cut.select(*[F.col(m).alias("_p_" + m) for m in marks], total.alias(name))
     return df.join(summed, _match(marks, "_p_"), "left").drop(*["_p_" + m for m in marks])

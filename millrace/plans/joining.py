@@ -183,9 +183,9 @@ _RUNNING = """
         PARTITION BY o_orderpriority ORDER BY o_orderdate) AS DOUBLE) AS running FROM orders"""
 
 
-def _running(t, **budget):
+def _running(t, **limits):
     summed = W.running_sum(_orders_with_amount(t), ["o_orderpriority"], "o_orderdate", F.col("amount"),
-                           "running", **budget)
+                           "running", **limits)
     return summed.select("o_orderkey", "o_orderpriority", F.col("running").cast("double").alias("running"))
 
 
@@ -196,7 +196,7 @@ def running_sum(t):
 
 @query("running_sum_blocks", "WIN1", _RUNNING)
 def running_sum_blocks(t):
-    return _running(t, budget=0)
+    return _running(t, budget=0, blocks=16)
 
 
 _NUMBERED = """
@@ -204,10 +204,10 @@ _NUMBERED = """
         PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders"""
 
 
-def _numbered(t, **budget):
+def _numbered(t, **limits):
     source = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
     return W.row_numbers(source, ["o_orderpriority"], [F.desc("o_totalprice"), F.asc("o_orderkey")],
-                         "position", **budget).drop("o_totalprice")
+                         "position", **limits).drop("o_totalprice")
 
 
 @query("row_numbers", "WIN2 D5", _NUMBERED)
@@ -217,7 +217,7 @@ def row_numbers(t):
 
 @query("row_numbers_blocks", "WIN2", _NUMBERED)
 def row_numbers_blocks(t):
-    return _numbered(t, budget=0)
+    return _numbered(t, budget=0, blocks=16)
 
 
 @query("partition_totals", "WIN3 WIN5", """

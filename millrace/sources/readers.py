@@ -45,6 +45,8 @@ def csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str |
     """CSV scan. Declared schemas avoid the extra pass that inference costs."""
     if schema is not None and infer:
         raise ValueError("declare a schema or infer one, not both")
+    if str(dialect.get("encoding", "")).lower() == "utf8":
+        dialect["encoding"] = "UTF-8"  # Spark 4 knows charsets by their full name only
     options = {"header": header, "inferSchema": infer, **dialect}
     return reader(spark, "csv", schema, **options).load(path)
 

@@ -1,0 +1,130 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from millrace.streaming import io, jobs
+
+SCHEMA = "user long, ts timestamp_ntz, value double"
+
+
+def _write(spark, folder, name, events):
+    df = spark.createDataFrame([(u, v, t) for u, t, v in events], "user long, value double, ts string")
+    df.select("user", F.col("ts").cast("timestamp_ntz").alias("ts"), "value").coalesce(1).write.mode(
+        "append").parquet(f"{folder}/{name}")
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    _write(spark, folder, "a", [(1, "2024-01-01 00:00:10", 1.0), (1, "2024-01-01 00:00:50", 2.0),
+                                (2, "2024-01-01 00:01:00", 3.0), (1, "2024-01-01 00:20:00", 4.0)])
+    return folder
+
+
+def _stream(spark, folder, **options):
+    return io.file_stream(spark, "parquet", f"{folder}/*", SCHEMA, **options)
+
+
+def _count():
+    return [F.count(F.lit(1)).alias("n")]
+
+
+def test_batch_equals_stream(spark, source, tmp_path, rows):
+    batch = jobs.windowed(spark.read.parquet(f"{source}/*"), ["user"], "ts", "1 minute", _count())
+    stream = jobs.windowed(_stream(spark, source), ["user"], "ts", "1 minute", _count())
+    assert stream.isStreaming and not batch.isStreaming
+    io.finish(io.to_snapshots(stream, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert rows(io.latest_snapshot(spark, str(tmp_path / "out"))) == rows(batch)
+
+
+def test_snapshots_follow_the_stream(spark, source, tmp_path, rows):
+    counted = jobs.grouped_counts(_stream(spark, source), ["user"])
+    for expected in ([(1, 3), (2, 1)], [(1, 3), (2, 2), (3, 1)]):
+        io.finish(io.to_snapshots(counted, str(tmp_path / "out"), str(tmp_path / "cp")))
+        assert rows(io.latest_snapshot(spark, str(tmp_path / "out"))) == expected
+        _write(spark, source, "b", [(2, "2024-01-01 00:30:00", 1.0), (3, "2024-01-01 00:30:00", 1.0)])
+
+
+def test_update_log_keeps_the_latest_row(spark, source, tmp_path, rows):
+    counted = jobs.grouped_counts(_stream(spark, source), ["user"])
+    io.finish(io.to_update_log(counted, str(tmp_path / "out"), str(tmp_path / "cp")))
+    _write(spark, source, "b", [(2, "2024-01-01 00:30:00", 1.0)])
+    io.finish(io.to_update_log(counted, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert rows(io.latest_updates(spark, str(tmp_path / "out"), ["user"]), "user", "count") == [(1, 3), (2, 2)]
+
+
+def test_restart_reprocesses_nothing(spark, source, tmp_path):
+    for _ in range(2):
+        io.finish(io.to_files(_stream(spark, source), str(tmp_path / "out"), str(tmp_path / "cp")))
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+    _write(spark, source, "b", [(5, "2024-01-01 01:00:00", 1.0)])
+    io.finish(io.to_files(_stream(spark, source), str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_late_rows_are_dropped_by_the_watermark(spark, source, tmp_path, rows):
+    counted = jobs.windowed(_stream(spark, source), ["user"], "ts", "1 minute", _count(), watermark="5 minutes")
+    for _ in range(2):
+        io.finish(io.to_files(counted, str(tmp_path / "out"), str(tmp_path / "cp")))
+        # one row behind the watermark, one ahead of it
+        _write(spark, source, "late", [(1, "2024-01-01 00:00:20", 1.0), (9, "2024-01-01 00:40:00", 1.0)])
+    closed = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(closed, "user", "n") == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_append_needs_a_watermark(spark, source, tmp_path):
+    counted = jobs.windowed(_stream(spark, source), ["user"], "ts", "1 minute", _count())
+    with pytest.raises(AnalysisException):
+        io.to_files(counted, str(tmp_path / "out"), str(tmp_path / "cp"))
+
+
+def test_sorting_needs_complete_mode(spark, source, tmp_path):
+    with pytest.raises(AnalysisException):
+        io.to_files(_stream(spark, source).orderBy("ts"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    counted = jobs.grouped_counts(_stream(spark, source), ["user"]).orderBy(F.desc("count"))
+    io.finish(io.to_snapshots(counted, str(tmp_path / "out"), str(tmp_path / "cp")))
+
+
+def test_static_join(spark, source, tmp_path, rows):
+    names = spark.createDataFrame([(1, "ann"), (2, "bob")], "id long, name string")
+    joined = jobs.windowed_with_dimension(_stream(spark, source), "user", "ts", "5 minutes",
+                                          [F.sum("value").alias("v")], names, "id", ["name"], [F.desc("v")])
+    io.finish(io.to_snapshots(joined, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert rows(io.latest_snapshot(spark, str(tmp_path / "out")), "name", "v") == [
+        ("ann", 3.0), ("ann", 4.0), ("bob", 3.0)]
+
+
+def test_previews_and_progress(spark, source):
+    counted = jobs.grouped_counts(_stream(spark, source), ["user"])
+    query = io.to_memory(counted, "preview")
+    io.finish(query)
+    assert spark.sql("SELECT sum(count) AS n FROM preview").first().n == 4
+    progress = io.progress_frame(query).collect()
+    assert sum(r.input_rows for r in progress) == 4 and not query.isActive
+    io.finish(io.to_console(counted, "complete"))
+
+
+def test_interval_trigger(spark, source, tmp_path):
+    query = io.to_files(_stream(spark, source), str(tmp_path / "out"), str(tmp_path / "cp"), every="1 second")
+    query.processAllAvailable()
+    assert query.isActive and query.runId != query.id
+    query.stop()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_table_sink(spark, source, tmp_path):
+    io.finish(io.to_table(_stream(spark, source), "stream_table", str(tmp_path / "cp"), str(tmp_path / "t")))
+    assert spark.table("stream_table").count() == 4
+
+
+def test_csv_stream_and_small_batches(spark, tmp_path):
+    folder = tmp_path / "tsv"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"{i}.tsv").write_text(f"{i}\t2024-01-01 00:0{i}:00\t1.5\n")
+    stream = io.file_stream(spark, "csv", str(folder), "user long, ts timestamp, value double", files_per_batch=1,
+                            sep="\t")
+    query = io.to_files(stream, str(tmp_path / "out"), str(tmp_path / "cp"), fmt="csv")
+    io.finish(query)
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 3
