@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +16,13 @@ def _col(column: Column | str) -> Column:
 
 
 def split_plain(column: Column | str, separator: str = " ") -> Column:
-    r"""Split at a literal separator; ``\Q..\E`` keeps it from acting as a pattern."""
-    return F.split(_col(column), "\\Q" + separator + "\\E")
+    """Split at a literal separator; escaped, so that it does not act as a pattern."""
+    return F.split(_col(column), re.escape(separator) if separator != " " else separator)
 
 
 def words(column: Column | str) -> Column:
-    """Words between single blanks, lines joined; empty strings are left out."""
-    parts = F.split(_col(column), "[ \n]")
-    return F.filter(parts, lambda w: w != "")
+    """Words between blanks and line ends; empty strings are left out."""
+    return F.array_remove(split_plain(F.replace(_col(column), F.lit("\n"), F.lit(" "))), "")
 
 
 def path_segment(column: Column | str, position: int) -> Column:

@@ -10,16 +10,21 @@ from pyspark.sql import functions as F
 Aggregate = Callable[[Column], Column]
 
 
-def exact_sum(column: Column | str, scale: int = 2, precision: int = 18) -> Column:
-    """Sum through decimals: the result does not depend on the order of the rows."""
+def exact_sum(column: Column | str, scale: int = 2) -> Column:
+    """Sum of values with ``scale`` decimal places that does not depend on the order of the rows.
+
+    Added up as whole numbers of the smallest unit, which is exact and stays in
+    generated code. In ANSI mode, the default, a sum beyond 63 bits is an error.
+    """
     column = F.col(column) if isinstance(column, str) else column
-    return F.sum(column.cast(f"decimal({precision},{scale})")).cast("double")
+    units = F.sum(F.rint(column * F.lit(float(10 ** scale))).cast("bigint"))
+    return units.cast("double") / F.lit(float(10 ** scale))
 
 
-def exact_mean(column: Column | str, scale: int = 2, precision: int = 18) -> Column:
+def exact_mean(column: Column | str, scale: int = 2) -> Column:
     """Mean of the known values, from the exact sum."""
     column = F.col(column) if isinstance(column, str) else column
-    return exact_sum(column, scale, precision) / F.nullif(F.count(column), F.lit(0))
+    return exact_sum(column, scale) / F.nullif(F.count(column), F.lit(0))
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = (), id_suffix: str | None = None) -> list[str]:

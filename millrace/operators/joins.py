@@ -17,13 +17,21 @@ _SALTED_TYPES = ("inner", "left", "leftsemi", "leftanti")
 def small_enough(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> bool:
     """Is ``df`` proven to be within both bounds?
 
-    The rows are counted first, which needs no column data; only a frame of few
-    rows is then measured.
+    The rows are counted first, which needs no column data; only columns of
+    variable width of a frame of few rows are then measured.
     """
-    if df.isStreaming or df.count() > max_rows:
+    if df.isStreaming:
         return False
-    width = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
-    return (df.agg(width).first()[0] or 0) <= max_bytes
+    rows = df.count()
+    if rows > max_rows:
+        return False
+    fixed = rows * 16 * len(df.columns)
+    widths = [F.octet_length(F.col(f"`{name}`") if kind in ("string", "binary") else F.to_json(F.struct(f"`{name}`")))
+              for name, kind in df.dtypes if kind in ("string", "binary") or "<" in kind]
+    if not widths or fixed > max_bytes:
+        return fixed <= max_bytes
+    measured = df.agg(*[F.sum(w.cast("long")) for w in widths]).first()
+    return fixed + sum(width or 0 for width in measured) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:

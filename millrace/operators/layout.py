@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from math import ceil
+from math import ceil, inf
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,17 +56,8 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _rank(value: Column, cuts: Sequence[float], low: int, high: int) -> Column:
-    """Index of the slice between ``cuts`` that holds the value, found by halving."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high + 1) // 2
-    return F.when(value >= F.lit(cuts[middle - 1]), _rank(value, cuts, middle, high)).otherwise(
-        _rank(value, cuts, low, middle - 1))
-
-
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, accuracy: int = 1000) -> Column:
-    """Bit-interleaved position of a row among the quantiles of the columns.
+def with_z_value(df: DataFrame, columns: Sequence[str], name: str, bits: int = 6, accuracy: int = 1000) -> DataFrame:
+    """Add the bit-interleaved position of a row among the quantiles of the columns.
 
     Quantiles instead of equal widths keep skewed columns useful. The driver
     receives 2**bits - 1 cut points per column and nothing else.
@@ -73,15 +65,21 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, accuracy: int
     if not 1 <= bits * len(columns) <= 62:
         raise ValueError("the interleaved value has to fit 62 bits")
     steps = [i / 2 ** bits for i in range(1, 2 ** bits)]
-    found = df.agg(*[F.percentile_approx(_as_number(df, c), steps, accuracy).alias(c) for c in columns]).first()
+    numbers = {f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)}
+    numbered = df.withColumns(numbers)
+    found = numbered.agg(*[F.percentile_approx(n, steps, accuracy).alias(n) for n in numbers]).first()
+    splits = [[-inf, *sorted(set(found[n] or [0.0])), inf] for n in numbers]
+    ranks = [n + "_rank" for n in numbers]
+    ranked = Bucketizer(splitsArray=splits, inputCols=list(numbers), outputCols=ranks,
+                        handleInvalid="keep").transform(numbered)
     value = F.lit(0).cast("long")
-    for index, name in enumerate(columns):
-        cuts = sorted(set(found[name] or []))
-        rank = F.coalesce(_rank(_as_number(df, name), cuts, 0, len(cuts)), F.lit(0)).cast("long")
+    for index, (rank, split) in enumerate(zip(ranks, splits)):
+        # an unknown value has the bucket after the last and shares the last one here
+        slot = F.least(F.col(rank), F.lit(float(len(split) - 2))).cast("long")
         for bit in range(bits):
-            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1))
+            one = F.shiftright(slot, bit).bitwiseAND(F.lit(1))
             value = value.bitwiseOR(F.shiftleft(one, bit * len(columns) + index))
-    return value
+    return ranked.withColumn(name, value).drop(*numbers, *ranks)
 
 
 def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 6) -> DataFrame:
@@ -94,7 +92,7 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None,
     order = list(columns)
     marked = df.withColumn("_tie", F.monotonically_increasing_id())
     if len(columns) > 1:
-        marked = marked.withColumn("_z", z_value(df, columns, bits))
+        marked = with_z_value(marked, columns, "_z", bits)
         order = ["_z", *columns]
     return (marked.repartitionByRange(*count, *order, "_tie").sortWithinPartitions(*order)
             .drop("_z", "_tie"))
