@@ -46,8 +46,14 @@ def element(column: Column | str, index: int) -> Column:
 
 
 def explode_words(df: DataFrame, keys: list[str], text: str, name: str = "word",
-                  position: str | None = None) -> DataFrame:
-    """One row per word with the parent keys, and the 0-based position when named."""
+                  position: str | None = None, parent: str | None = None) -> DataFrame:
+    """One row per word with the parent keys.
+
+    On request also the 0-based position, and a ``parent`` number that is unique
+    per input row, for telling rows with equal keys apart.
+    """
+    if parent:
+        df, keys = df.withColumn(parent, F.monotonically_increasing_id()), [*keys, parent]
     if position:
         return df.select(*keys, F.posexplode(words(text)).alias(position, name))
     return df.select(*keys, F.explode(words(text)).alias(name))
@@ -59,6 +65,10 @@ def word_frequencies(df: DataFrame, text: str, name: str = "count") -> DataFrame
 
 
 def renest_words(df: DataFrame, keys: list[str], word: str, position: str, name: str) -> DataFrame:
-    """Inverse of the positional explode: words of a parent in their old order as one text."""
+    """Inverse of the positional explode: words of a parent in their old order as one text.
+
+    With the parent number among the keys, a group is never more than what one
+    row held before.
+    """
     pairs = F.sort_array(F.collect_list(F.struct(position, word)))
     return df.groupBy(*keys).agg(F.array_join(F.transform(pairs, lambda p: p[word]), " ").alias(name))

@@ -14,15 +14,26 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.windows import row_numbers
+
 
 def category_index(column: str, output: str) -> StringIndexer:
     """Index by falling frequency; unseen values get an index of their own.
 
-    The fitted model holds every distinct value, so the column must be a category.
+    The fitted model holds every distinct value, so the column must be a
+    category; ``index_by_frequency`` has no such bound.
     """
     return StringIndexer(inputCol=column, outputCol=output, handleInvalid="keep")
 
 
+def index_by_frequency(df: DataFrame, column: str, output: str) -> DataFrame:
+    """The same index for any number of distinct values, without a model on the driver."""
+    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = row_numbers(counted, [], [F.desc("_n"), F.asc(column)], "_i")
+    index = numbered.select(F.col(column), (F.col("_i") - 1).cast("double").alias(output))
+    return df.join(index, column, "left")
+
+
 def quantile_bins(column: str, output: str, bins: int, error: float = 0.001) -> QuantileDiscretizer:
     """Bins of about equal size; NULL and NaN get a bin of their own."""
     return QuantileDiscretizer(inputCol=column, outputCol=output, numBuckets=bins, relativeError=error,
@@ -69,12 +80,17 @@ def forest(label: str, trees: int = 20, depth: int = 5, seed: int = 7, **params)
     return RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, **params)
 
 
-def evaluate(df: DataFrame, label: str, metrics: Sequence[str] = ("rmse", "r2"),
-             prediction: str = "prediction") -> DataFrame:
-    """One row with the requested regression metrics, from one evaluator pass each."""
-    values = [RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName=m).evaluate(df)
-              for m in metrics]
-    return df.sparkSession.createDataFrame([tuple(values)], ", ".join(f"{m} double" for m in metrics))
+def evaluate(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """One row with rmse, r2 and mae, all from a single pass over the predictions."""
+    error = F.col(label) - F.col(prediction)
+    return df.agg(F.sqrt(F.avg(error * error)).alias("rmse"),
+                  (1 - F.avg(error * error) / F.var_pop(label)).alias("r2"),
+                  F.avg(F.abs(error)).alias("mae"))
+
+
+def evaluator(label: str, metric: str, prediction: str = "prediction") -> RegressionEvaluator:
+    """The evaluator that model selection needs."""
+    return RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName=metric)
 
 
 def grid(estimator, values: Mapping[str, Sequence]) -> list:
@@ -89,7 +105,7 @@ def cross_validate(df: DataFrame, estimator, param_maps: Sequence, label: str, m
                    folds: int = 3, seed: int = 7, parallelism: int = 4) -> CrossValidatorModel:
     """Fit every parameter combination on every fold and refit the best on all rows."""
     validator = CrossValidator(estimator=estimator, estimatorParamMaps=list(param_maps),
-                               evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
+                               evaluator=evaluator(label, metric),
                                numFolds=folds, seed=seed, parallelism=parallelism)
     return validator.fit(df)
 

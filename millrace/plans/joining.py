@@ -158,11 +158,13 @@ def agg_then_join(t):
 
 
 @query("join_filtered", "JN17", """
-    SELECT o_custkey AS custkey, o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_custkey = 7""")
+    SELECT o_orderkey, o_orderpriority, priciest FROM orders
+    JOIN (SELECT o_orderpriority, max(o_totalprice) AS priciest FROM orders GROUP BY 1) USING (o_orderpriority)
+    WHERE o_orderpriority = '2-HIGH'""")
 def join_filtered(t):
-    return J.join_on_keys(_orders_on_custkey(t), _customers_on_custkey(t), "custkey").where(
-        "custkey = 7").select("custkey", "o_orderkey", "c_name")
+    orders = t.orders.select("o_orderkey", "o_orderpriority")
+    priciest = t.orders.groupBy("o_orderpriority").agg(F.max("o_totalprice").alias("priciest"))
+    return J.join_on_keys(orders, priciest, "o_orderpriority").where("o_orderpriority = '2-HIGH'")
 
 
 @query("join_group_count", "JN18", """

@@ -18,6 +18,14 @@ def ml_string_index(t):
     return M.category_index("o_orderpriority", "priority_index").fit(orders).transform(orders)
 
 
+@query("ml_string_index_wide", "ML1", """
+    SELECT p_partkey, p_name, i AS name_index FROM part JOIN (
+        SELECT p_name, CAST(row_number() OVER (ORDER BY count(*) DESC, p_name) - 1 AS DOUBLE) AS i
+        FROM part GROUP BY 1) USING (p_name)""")
+def ml_string_index_wide(t):
+    return M.index_by_frequency(t.part.select("p_partkey", "p_name"), "p_name", "name_index")
+
+
 @query("ml_features", "ML2 D11", "SELECT l_orderkey, l_partkey, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem")
 def ml_features(t):
     names = ["l_quantity", "l_discount", "l_tax"]

@@ -100,14 +100,16 @@ def word_count(t):
     SELECT doc_id, array_to_string(list_sort(list_distinct({_WORDS})), '|') AS words FROM documents
     WHERE len({_WORDS}) > 0""")
 def collect_words(t):
-    return collect_joined(X.explode_words(t.documents, ["doc_id"], "text"), ["doc_id"], "word", "words")
+    # grouped by parent row, so that a group is bounded by one text even where keys repeat
+    exploded = X.explode_words(t.documents, ["doc_id"], "text", parent="parent")
+    return collect_joined(exploded, ["doc_id", "parent"], "word", "words").drop("parent")
 
 
 @query("renest_words", "ARR9 AGG14", f"""
     SELECT doc_id, array_to_string({_WORDS}, ' ') AS joined FROM documents WHERE len({_WORDS}) > 0""")
 def renest_words(t):
-    exploded = X.explode_words(t.documents, ["doc_id"], "text", position="pos")
-    return X.renest_words(exploded, ["doc_id"], "word", "pos", "joined")
+    exploded = X.explode_words(t.documents, ["doc_id"], "text", position="pos", parent="parent")
+    return X.renest_words(exploded, ["doc_id", "parent"], "word", "pos", "joined").drop("parent")
 
 
 def _order_tree(t):

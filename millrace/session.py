@@ -28,9 +28,11 @@ def cluster_builder(app_name: str, shared_folder: str) -> SparkSession.Builder:
     builder = SparkSession.builder.appName(app_name).config("spark.checkpoint.dir", shared_folder)
     for key, value in COMMON.items():
         builder = builder.config(key, value)
-    # Upper bound only: adaptive execution merges small partitions at run time.
+    # Shuffles start fine-grained and adaptive execution merges what is small;
+    # the lower number counts for stream state, which keeps its partitioning.
     return (builder
-            .config("spark.sql.shuffle.partitions", "20000")
+            .config("spark.sql.shuffle.partitions", "2000")
+            .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "20000")
             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
             .config("spark.sql.files.maxPartitionBytes", "256m"))
 

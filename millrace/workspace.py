@@ -28,8 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used before.
+
+    All paths of one application lie in one folder, which can go when the
+    application has ended.
+    """
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def new_name(label: str) -> str:
@@ -40,8 +44,8 @@ def new_name(label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    Cuts lineage and survives the loss of executors, unlike a cache. The caller
-    owns the folder and clears it when the job is over.
+    Cuts lineage and survives the loss of executors, unlike a cache, and tells
+    Spark the true size of the data.
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)

@@ -40,6 +40,9 @@ def test_explode_and_renest(spark, rows):
     exploded = X.explode_words(df, ["id"], "t", position="pos")
     assert rows(exploded) == [(1, 0, "b"), (1, 1, "a"), (1, 2, "b"), (3, 0, "x"), (3, 1, "y")]
     assert rows(X.renest_words(exploded, ["id"], "word", "pos", "t")) == [(1, "b a b"), (3, "x y")]
+    repeated = X.explode_words(df.union(df), ["id"], "t", position="pos", parent="p")
+    assert rows(X.renest_words(repeated, ["id", "p"], "word", "pos", "t"), "id", "t") == [
+        (1, "b a b"), (1, "b a b"), (3, "x y"), (3, "x y")]
     assert rows(X.word_frequencies(df, "t")) == [("a", 1), ("b", 2), ("x", 1), ("y", 1)]
     with pytest.raises(AnalysisException):
         df.select(F.explode("t"))

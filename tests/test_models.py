@@ -29,6 +29,8 @@ def test_metrics_match_their_definition(data):
     sums = predicted.agg(F.sum((F.col("y") - F.col("prediction")) ** 2).alias("e"),
                          F.sum((F.col("y") - mean) ** 2).alias("t"), F.count(F.lit(1)).alias("n")).first()
     assert abs(scores.rmse - (sums.e / sums.n) ** 0.5) < 1e-9 and abs(scores.r2 - (1 - sums.e / sums.t)) < 1e-9
+    for metric in ("rmse", "r2", "mae"):
+        assert abs(M.evaluator("y", metric).evaluate(predicted) - scores[metric]) < 1e-9
 
 
 def test_index_keeps_unseen_values(data, spark):
@@ -37,6 +39,11 @@ def test_index_keeps_unseen_values(data, spark):
     assert [r.i for r in seen] == [0.0, 1.0, 2.0]
 
 
+def test_index_without_a_model(data):
+    plain = M.category_index("c", "i").fit(data).transform(data).select("id", "i")
+    assert plain.exceptAll(M.index_by_frequency(data, "c", "i").select("id", "i")).count() == 0
+
+
 def test_bins_are_even(data):
     binned = M.quantile_bins("id", "bin", 4).fit(data).transform(data)
     sizes = [r["count"] for r in binned.groupBy("bin").count().collect()]

@@ -39,6 +39,11 @@ def test_row_numbers(skewed, rows, limits):
     assert rows(W.row_numbers(skewed, ["k"], order, "r", **limits), "id", "r") == rows(expected, "id", "r")
 
 
+def test_row_numbers_over_everything(skewed, rows):
+    numbered = W.row_numbers(skewed.select("id"), [], [F.desc("id")], "r", budget=0, blocks=7)
+    assert rows(numbered) == [(i, 3000 - i) for i in range(3000)]
+
+
 def test_blocks_divide_a_hot_group(skewed):
     blocks = W._in_blocks(skewed, ["k"], [F.asc("o"), F.asc("id")], "test", 10)
     sizes = blocks.where("k = 'hot'").groupBy("_block").count().agg(F.max("count")).first()[0]
