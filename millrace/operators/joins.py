@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.project import spread
 from millrace.operators.stats import frequent_items
 from millrace.sources.writers import save_table
 from millrace.workspace import materialize, new_name, new_path
@@ -87,10 +88,9 @@ def salt_sides(left: DataFrame, right: DataFrame, key: str, salts: int = 16, sup
     it is stored once because both sides have to see the same list.
     """
     hot = F.broadcast(materialize(hot_keys(left, key, support).select(F.col(key).alias("_hot")), "hot-keys"))
-    others = [c for c in left.columns if c != key] or [key]
-    spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
+    slot = F.pmod(spread(left), F.lit(salts)).cast("int")
     salted = (left.join(hot, F.col(key) == F.col("_hot"), "left")
-              .withColumn(salt_name, F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
+              .withColumn(salt_name, F.when(F.col("_hot").isNotNull(), slot).otherwise(F.lit(0)))
               .drop("_hot"))
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0)))

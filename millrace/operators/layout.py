@@ -10,6 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.project import spread
 from millrace.sources.readers import file_sizes
 
 
@@ -33,15 +34,16 @@ def compact(spark: SparkSession, path: str, new_path: str, target_bytes: int = 2
             partition_by: Sequence[str] = ()) -> DataFrame:
     """Rewrite many small Parquet files as few large ones at a new path.
 
-    A round-robin exchange keeps the files even. With partition columns the
-    rebalance hint gathers each folder and lets adaptive execution cut large
-    folders and merge small tasks.
+    Scans already pack small files into tasks of even size, so whole tasks are
+    merged and nothing is shuffled. With partition columns the rebalance hint
+    gathers each folder and lets adaptive execution cut large folders and merge
+    small tasks.
     """
     df = spark.read.parquet(path)
     if partition_by:
         df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(new_path)
     else:
-        df.repartition(target_files(spark, path, target_bytes)).write.parquet(new_path)
+        df.coalesce(target_files(spark, path, target_bytes)).write.parquet(new_path)
     return spark.read.parquet(new_path)
 
 
@@ -85,12 +87,12 @@ def with_z_value(df: DataFrame, columns: Sequence[str], name: str, bits: int = 6
 def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 6) -> DataFrame:
     """Cluster rows so that each partition covers a small range of all the columns at once.
 
-    One column is a plain range sort. A row id comes last in the range keys, so
-    rows of one hot value fill as many partitions as they need.
+    One column is a plain range sort. A row hash comes last in the range keys, so
+    rows of one hot value, and copies of one row, fill as many partitions as they need.
     """
     count = [partitions] if partitions else []
     order = list(columns)
-    marked = df.withColumn("_tie", F.monotonically_increasing_id())
+    marked = df.withColumn("_tie", spread(df))
     if len(columns) > 1:
         marked = with_z_value(marked, columns, "_z", bits)
         order = ["_z", *columns]

@@ -65,6 +65,20 @@ def unique_row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
+def hashable_columns(df: DataFrame) -> list[str]:
+    """Columns that Spark can hash: all but those that hold maps or variants."""
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
+def spread(df: DataFrame) -> Column:
+    """A number that differs between rows and between copies of a row in different partitions.
+
+    Unlike a random number it is the same when a lost task runs again.
+    """
+    row = F.xxhash64(*(hashable_columns(df) or [F.lit(0)]))
+    return row.bitwiseXOR(F.spark_partition_id().cast("bigint"))
+
+
 def stable_row_id(columns: Sequence[str]) -> Column:
     """A 64-bit hash of the columns: the same on every run, equal for equal rows."""
     return F.xxhash64(*columns)

@@ -49,6 +49,10 @@ def scan_ranges(spark: SparkSession, url: str, table: str, column: str, partitio
 
 def write(df: DataFrame, url: str, table: str, connections: int, mode: str = "append",
           properties: dict[str, str] | None = None, batch_size: int = 10_000) -> None:
-    """Write over at most ``connections`` connections: one per partition."""
-    (df.coalesce(connections).write
+    """Write over ``connections`` connections, one per partition.
+
+    The exchange keeps the work before it as parallel as it was; merging
+    partitions without one would run all of it in as many tasks as connections.
+    """
+    (df.repartition(connections).write
        .option("batchsize", batch_size).jdbc(url, table, mode=mode, properties=properties or {}))

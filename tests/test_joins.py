@@ -81,6 +81,18 @@ def test_salts_spread_the_hot_key(hot, dimension):
     assert largest < 1500
 
 
+def test_salts_spread_copies_of_one_row(spark, rows):
+    copies = spark.range(0, 4000, 1, 8).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
+    salted, _ = J.salt_sides(copies, copies.limit(1), "k", salts=4, support=0.1)
+    sizes = [r["count"] for r in salted.groupBy("_salt").count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) <= 1000
+
+
+def test_hash_skips_maps(spark):
+    df = spark.sql("SELECT 7 AS k, map('a', 1) AS m FROM range(10)")
+    assert J.join_prepartitioned(df, df.select("k").distinct(), "k", 2, salts=2, support=0.5).count() == 10
+
+
 def test_salting_needs_a_repeatable_side(left, right):
     for how in ("right", "full"):
         with pytest.raises(ValueError):
