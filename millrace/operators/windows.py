@@ -102,19 +102,28 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, n
                 budget: int = GROUP_BUDGET, blocks: int | None = None) -> DataFrame:
     """Sum of ``value`` over the group up to and including the row; rows that tie share the result.
 
-    When a group is above ``budget`` rows, all are first reduced to one row per
-    order value and then summed block by block, so neither a hot group nor a hot order value
-    meets in one task. ``value`` should be a decimal for a result that does not
-    depend on the order of addition.
+    When a group is above ``budget`` rows, the sums run block by block; when
+    even one order value of a group is, rows are reduced to one per order value
+    before that. So neither a hot group nor a hot order value meets in one task.
+    ``value`` should be a decimal for a result that does not depend on the order
+    of addition.
     """
     if fits_budget(df, keys, budget):
         return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order)))
-    points = df.groupBy(*keys, order).agg(F.sum(value).alias("_value"))
-    cut = _with_offset(_in_blocks(points, keys, [F.col(order)], "running", blocks), keys, F.sum("_value"))
-    within = F.sum("_value").over(Window.partitionBy(*keys, "_block").orderBy(order))
+    marks = [*keys, order]
+    if fits_budget(df, marks, budget):
+        return _sum_by_block(df, keys, order, value, name, blocks)
+    points = df.groupBy(*marks).agg(F.sum(value).alias("_value"))
+    summed = _sum_by_block(points, keys, order, F.col("_value"), name, blocks)
+    summed = summed.select(*[F.col(m).alias("_p_" + m) for m in marks], name)
+    return df.join(summed, _match(marks, "_p_"), "left").drop(*["_p_" + m for m in marks])
+
+
+def _sum_by_block(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
+                  blocks: int | None) -> DataFrame:
+    cut = _with_offset(_in_blocks(df, keys, [F.col(order)], "running", blocks), keys, F.sum(value))
+    within = F.sum(value).over(Window.partitionBy(*keys, "_block").orderBy(order))
     # A block or prefix without any known value adds nothing, but all-NULL so far stays NULL.
     total = F.when(within.isNull(), F.col("_before")).otherwise(
         within + F.coalesce(F.col("_before"), F.lit(0)))
-    marks = [*keys, order]
-    summed = cut.select(*[F.col(m).alias("_p_" + m) for m in marks], total.alias(name))
-    return df.join(summed, _match(marks, "_p_"), "left").drop(*["_p_" + m for m in marks])
+    return cut.withColumn(name, total).drop("_block", "_before")

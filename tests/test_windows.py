@@ -17,7 +17,7 @@ def skewed(spark):
         "id").repartition(5)
 
 
-LIMITS = [{"budget": 0}, {"budget": 0, "blocks": 13}, {}]
+LIMITS = [{"budget": 0}, {"budget": 0, "blocks": 13}, {"budget": 1000, "blocks": 13}, {}]
 
 
 @pytest.mark.parametrize("limits", LIMITS)
@@ -29,7 +29,8 @@ def test_running_sum(skewed, rows, limits):
 def test_running_sum_without_values_yet(spark, rows):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, 4), ("a", 3, None), ("b", 1, None)], "k string, o int, v int")
     expected = rows(df.withColumn("r", F.sum("v").over(Window.partitionBy("k").orderBy("o"))))
-    assert rows(W.running_sum(df, ["k"], "o", F.col("v"), "r", budget=0, blocks=3)) == expected
+    for budget in (0, 1):
+        assert rows(W.running_sum(df, ["k"], "o", F.col("v"), "r", budget=budget, blocks=3)) == expected
 
 
 @pytest.mark.parametrize("limits", LIMITS)
