@@ -132,6 +132,7 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
           timestamp: datetime | None = None) -> DataFrame:
     """State of a change log at a version or a time: the last change per key, deletions left out.
 
+    A version holds at most one change per key.
     Later versions are cut off at the scan, and the rank limit keeps one row per
     key and task before the shuffle.
     """

@@ -10,74 +10,74 @@ from millrace.operators import ordering as O
 from millrace.operators import project as P
 from millrace.operators import stats as S
 
-SCHEMA = "ID int, name string, method string, size double, boil string"
-RECIPES = [(1, "one", "All Grain", 20.0, "1.5"), (2, "two", "All Grain", None, "N/A"), (3, "three", "extract", 10.0, "2"),
-           (4, None, None, None, None), (3, "three", "extract", 10.0, "2")]
+SCHEMA = "ID int, name string, method string, size double, grade string"
+PARTS = [(1, "one", "hand made", 20.0, "1.5"), (2, "two", "hand made", None, "N/A"), (3, "three", "pressed", 10.0, "2"),
+           (4, None, None, None, None), (3, "three", "pressed", 10.0, "2")]
 
 
 @pytest.fixture
-def recipes(spark):
-    return spark.createDataFrame(RECIPES, SCHEMA)
+def parts(spark):
+    return spark.createDataFrame(PARTS, SCHEMA)
 
 
-def test_projection_forms_agree(recipes, rows):
-    expected = rows(recipes.select("name"))
-    assert rows(recipes.select(recipes.name)) == rows(recipes.select(recipes["name"])) == expected
-    assert rows(recipes.select(F.col("name"))) == rows(recipes.select(["name"])) == expected
+def test_projection_forms_agree(parts, rows):
+    expected = rows(parts.select("name"))
+    assert rows(parts.select(parts.name)) == rows(parts.select(parts["name"])) == expected
+    assert rows(parts.select(F.col("name"))) == rows(parts.select(["name"])) == expected
 
 
-def test_names(spark, recipes):
-    renamed = P.rename_columns(recipes, {"size": "Size(L)", "none": "x"})
-    assert P.normalize_names(renamed).columns == ["id", "name", "method", "size", "boil"]
-    assert P.drop_columns(recipes, "none", suffix="me").columns == ["ID", "method", "size", "boil"]
+def test_names(spark, parts):
+    renamed = P.rename_columns(parts, {"size": "Size(L)", "none": "x"})
+    assert P.normalize_names(renamed).columns == ["id", "name", "method", "size", "grade"]
+    assert P.drop_columns(parts, "none", suffix="me").columns == ["ID", "method", "size", "grade"]
     with pytest.raises(ValueError):
         P.normalize_names(spark.createDataFrame([(1, 2)], ["A", "a"]))
 
 
-def test_derive_sees_the_input_row(recipes):
-    changed = P.derive_columns(recipes, {"size": F.col("size") * 2, "half": F.col("size") / 2})
+def test_derive_sees_the_input_row(parts):
+    changed = P.derive_columns(parts, {"size": F.col("size") * 2, "half": F.col("size") / 2})
     assert changed.where("ID = 1").select("size", "half").first() == (40.0, 10.0)
 
 
-def test_casts(recipes):
-    assert P.cast_columns(recipes, {"boil": "double"}).where("ID = 2").first().boil is None
+def test_casts(parts):
+    assert P.cast_columns(parts, {"grade": "double"}).where("ID = 2").first().grade is None
     with pytest.raises(Exception):
-        P.cast_columns(recipes, {"boil": "double"}, strict=True).collect()
+        P.cast_columns(parts, {"grade": "double"}, strict=True).collect()
 
 
-def test_ids(recipes):
-    unique = recipes.select(P.unique_row_id().alias("i"))
+def test_ids(parts):
+    unique = parts.select(P.unique_row_id().alias("i"))
     assert unique.distinct().count() == 5
-    stable = recipes.select(P.stable_row_id(recipes.columns).alias("i"))
+    stable = parts.select(P.stable_row_id(parts.columns).alias("i"))
     assert stable.distinct().count() == 4
 
 
-def test_flag_of_null_is_zero(recipes):
-    assert recipes.select(P.flag(F.col("size") > 15).alias("f")).agg(F.sum("f")).first()[0] == 1
+def test_flag_of_null_is_zero(parts):
+    assert parts.select(P.flag(F.col("size") > 15).alias("f")).agg(F.sum("f")).first()[0] == 1
 
 
-def test_filters(recipes):
-    assert M.keep(recipes, F.col("size") > 5, "method = 'extract'").count() == 2
-    assert M.keep(recipes, M.matches_ignoring_case("method", "%GRAIN")).count() == 2
+def test_filters(parts):
+    assert M.keep(parts, F.col("size") > 5, "method = 'pressed'").count() == 2
+    assert M.keep(parts, M.matches_ignoring_case("method", "%MADE")).count() == 2
 
 
-def test_replace_and_fill(recipes):
-    assert M.replace_values(recipes, {"N/A": "0"}).where("boil = '0'").count() == 1
-    assert M.replace_values(recipes, {"extract": "x"}, subset=["name"]).where("method = 'x'").count() == 0
-    filled = M.fill_missing(recipes, {"size": 0.0, "name": "none"})
+def test_replace_and_fill(parts):
+    assert M.replace_values(parts, {"N/A": "0"}).where("grade = '0'").count() == 1
+    assert M.replace_values(parts, {"pressed": "x"}, subset=["name"]).where("method = 'x'").count() == 0
+    filled = M.fill_missing(parts, {"size": 0.0, "name": "none"})
     assert filled.where("size = 0.0").count() == 2 and filled.where("method IS NULL").count() == 1
-    assert M.fill_missing(recipes, "?", ["name"]).where("name = '?'").count() == 1
+    assert M.fill_missing(parts, "?", ["name"]).where("name = '?'").count() == 1
 
 
-def test_drop_missing(recipes):
-    assert M.drop_missing(recipes).count() == 3
-    assert M.drop_missing(recipes, subset=["name"]).count() == 4
-    assert M.drop_missing(recipes, at_least=5).count() == 3
-    assert M.drop_missing(recipes, how="all").count() == 5
+def test_drop_missing(parts):
+    assert M.drop_missing(parts).count() == 3
+    assert M.drop_missing(parts, subset=["name"]).count() == 4
+    assert M.drop_missing(parts, at_least=5).count() == 3
+    assert M.drop_missing(parts, how="all").count() == 5
 
 
-def test_null_profile(recipes, spark):
-    assert M.null_profile(recipes, ["ID", "size"]).first() == (0.0, 0.4)
+def test_null_profile(parts, spark):
+    assert M.null_profile(parts, ["ID", "size"]).first() == (0.0, 0.4)
     assert M.null_profile(spark.createDataFrame([], "a int")).first()[0] is None
 
 
@@ -96,15 +96,15 @@ def test_samples(spark):
     assert M.sample_rows(df, 2.0, 1, with_replacement=True).count() > 15000
 
 
-def test_generated_aggregates(recipes):
-    assert A.numeric_columns(recipes, id_suffix="ID") == ["size"]
+def test_generated_aggregates(parts):
+    assert A.numeric_columns(parts, id_suffix="ID") == ["size"]
     built = A.build_aggregates(["size", "ID"], {"max": F.max, "min": F.min}, {"all": None, "x": F.col("ID") > 1})
     assert len(built) == 8 and all(isinstance(c, Column) for c in built)
-    result = A.group_aggregate(recipes, ["method"], A.build_aggregates(["size"], {"max": F.max}))
+    result = A.group_aggregate(parts, ["method"], A.build_aggregates(["size"], {"max": F.max}))
     assert result.columns == ["method", "size_max"] and result.count() == 3
-    conditional = A.group_aggregate(recipes, [], built)
+    conditional = A.group_aggregate(parts, [], built)
     assert conditional.first().asDict()["size_max_x"] == 10.0
-    assert A.group_aggregate(recipes, ["method"], {"size": "avg"}).columns == ["method", "avg(size)"]
+    assert A.group_aggregate(parts, ["method"], {"size": "avg"}).columns == ["method", "avg(size)"]
 
 
 def test_exact_figures(spark):
@@ -113,37 +113,37 @@ def test_exact_figures(spark):
     assert df.where("v IS NULL").agg(A.exact_mean("v")).first()[0] is None
 
 
-def test_frequencies_with_ties(recipes):
-    assert [tuple(r) for r in A.frequencies(recipes, ["method"]).collect()] == [
-        ("All Grain", 2), ("extract", 2), (None, 1)]
+def test_frequencies_with_ties(parts):
+    assert [tuple(r) for r in A.frequencies(parts, ["method"]).collect()] == [
+        ("hand made", 2), ("pressed", 2), (None, 1)]
 
 
-def test_group_all_numeric(recipes, rows):
-    assert rows(A.group_all_numeric(recipes, ["method"], "sum", F.sum)) == [
-        ("All Grain", 3, 20.0), ("extract", 6, 20.0), (None, 4, None)]
+def test_group_all_numeric(parts, rows):
+    assert rows(A.group_all_numeric(parts, ["method"], "sum", F.sum)) == [
+        ("hand made", 3, 20.0), ("pressed", 6, 20.0), (None, 4, None)]
 
 
-def test_pivot_and_crosstab(recipes, rows):
-    pivoted = A.pivot_aggregate(recipes, ["ID"], "method", ["All Grain", "extract"], [F.max("size")])
+def test_pivot_and_crosstab(parts, rows):
+    pivoted = A.pivot_aggregate(parts, ["ID"], "method", ["hand made", "pressed"], [F.max("size")])
     assert rows(pivoted)[0] == (1, 20.0, None)
-    wide = S.crosstab_wide(recipes, "ID", "method", ["All Grain", "extract"])
+    wide = S.crosstab_wide(parts, "ID", "method", ["hand made", "pressed"])
     assert rows(wide)[2] == (3, 0, 2)
-    assert rows(S.crosstab_long(recipes, "ID", "method"))[2] == (3, "extract", 2)
+    assert rows(S.crosstab_long(parts, "ID", "method"))[2] == (3, "pressed", 2)
 
 
-def test_collect_joined(recipes, rows):
-    assert rows(A.collect_joined(recipes, ["method"], "name", "names")) == [
-        ("All Grain", "one|two"), ("extract", "three"), (None, "")]
-    listed = A.collect_joined(recipes, ["method"], "name", "names", distinct=False)
-    assert rows(listed)[1] == ("extract", "three|three")
+def test_collect_joined(parts, rows):
+    assert rows(A.collect_joined(parts, ["method"], "name", "names")) == [
+        ("hand made", "one|two"), ("pressed", "three"), (None, "")]
+    listed = A.collect_joined(parts, ["method"], "name", "names", distinct=False)
+    assert rows(listed)[1] == ("pressed", "three|three")
 
 
-def test_first_by(recipes, rows):
-    assert rows(A.first_by(recipes, ["method"], {"n": "name"}, F.col("ID")))[0] == ("All Grain", "one")
+def test_first_by(parts, rows):
+    assert rows(A.first_by(parts, ["method"], {"n": "name"}, F.col("ID")))[0] == ("hand made", "one")
 
 
-def test_describe(recipes):
-    result = {(r.column, r.stat): r.value for r in S.describe_long(recipes, ["ID", "size"]).collect()}
+def test_describe(parts):
+    result = {(r.column, r.stat): r.value for r in S.describe_long(parts, ["ID", "size"]).collect()}
     assert result[("size", "count")] == 3.0 and result[("ID", "max")] == 4.0 and len(result) == 10
 
 
@@ -162,8 +162,8 @@ def test_frequent_items(spark, rows):
         S.frequent_items(df, "k", 0)
 
 
-def test_order_and_union(spark, recipes):
-    assert [r.ID for r in O.top_k(recipes, 2, F.desc("ID"), F.asc("name")).collect()] == [4, 3]
+def test_order_and_union(spark, parts):
+    assert [r.ID for r in O.top_k(parts, 2, F.desc("ID"), F.asc("name")).collect()] == [4, 3]
     left, right = spark.createDataFrame([(1, 2)], "a int, b int"), spark.createDataFrame([(3, 4)], "b int, a int")
     assert [tuple(r) for r in O.union_all(left, right).collect()] == [(1, 2), (4, 3)]
     assert [tuple(r) for r in O.union_all(left, right, by_position=True).collect()] == [(1, 2), (3, 4)]

@@ -7,7 +7,7 @@ from millrace.functions import payload as Y
 from millrace.functions import text as X
 from millrace.functions import udfs as U
 
-URLS = [("/homebrew/recipe/view/10092/hop-notch-clone",), ("/a/b",), ("x/x/x/x/7a",), (None,), ("a/a/a/a/99999999999",)]
+URLS = [("/shop/en/item/10092/blue-bolt",), ("/a/b",), ("x/x/x/x/7a",), (None,), ("a/a/a/a/99999999999",)]
 
 
 def test_ids_agree(spark):
@@ -67,17 +67,17 @@ def test_paths(spark):
     assert df.select(N.map_value("m", "k"), N.map_value("m", "x")).first() == ("v", None)
 
 
-DRINKS = "drinks array<struct<beer_id int, volume float>>, at timestamp, consumer string"
+MESSAGE = "lines array<struct<part int, amount float>>, at timestamp, sender string"
 
 
 def test_payloads(spark, rows):
-    messages = ['{"drinks":[{"beer_id":1,"volume":0.5},{"beer_id":2,"volume":1}],"at":"2024-01-01T00:00:00Z",'
-                '"consumer":"ann"}', '{"consumer":"bob"}', "broken", '{"drinks":[],"consumer":"eve"}']
+    messages = ['{"lines":[{"part":1,"amount":0.5},{"part":2,"amount":1}],"at":"2024-01-01T00:00:00Z",'
+                '"sender":"ann"}', '{"sender":"bob"}', "broken", '{"lines":[],"sender":"eve"}']
     df = spark.createDataFrame([(bytearray(m, "utf8"),) for m in messages], "value binary")
-    items = Y.decode_items(df, DRINKS, "drinks", ["consumer", "at"], ["beer_id", "volume"])
-    assert rows(items, "consumer", "pos", "beer_id", "volume") == [("ann", 0, 1, 0.5), ("ann", 1, 2, 1.0)]
-    parsed = Y.decode_json(df, "consumer string, other int")
-    assert [r.msg.consumer for r in parsed.collect()] == ["ann", "bob", None, "eve"]
+    items = Y.decode_items(df, MESSAGE, "lines", ["sender", "at"], ["part", "amount"])
+    assert rows(items, "sender", "pos", "part", "amount") == [("ann", 0, 1, 0.5), ("ann", 1, 2, 1.0)]
+    parsed = Y.decode_json(df, "sender string, other int")
+    assert [r.msg.sender for r in parsed.collect()] == ["ann", "bob", None, "eve"]
     assert all(r.msg.other is None for r in parsed.collect())
 
 

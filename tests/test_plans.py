@@ -69,6 +69,24 @@ def test_no_cartesian_products(spark, small_tables):
         assert not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(found)
 
 
+def test_small_sides_are_broadcast_without_a_hint(spark, small_tables):
+    assert "BroadcastHashJoin" in operators(REGISTRY["join_inner"].run(spark, small_tables))
+
+
+def test_adaptive_execution_broadcasts_what_turns_out_small(spark, small_tables):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+        joined = REGISTRY["join_inner"].run(spark, small_tables)
+        assert "SortMergeJoin" in operators(joined)
+        joined.collect()
+        assert "BroadcastHashJoin" in plan_text(joined, "simple").split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_adaptive_execution_splits_a_skewed_join(spark):
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",

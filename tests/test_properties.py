@@ -1,0 +1,66 @@
+"""Operators against plain Python models on random small inputs."""
+
+from datetime import datetime, timedelta
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.operators import joins as J
+from millrace.operators import upsert as U
+from millrace.operators import windows as W
+
+QUICK = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+KEYS = st.one_of(st.none(), st.integers(0, 4))
+TABLE = st.dictionaries(st.integers(0, 8), st.integers(0, 99), max_size=8)
+
+
+def _frame(spark, table):
+    return spark.createDataFrame(list(table.items()), "k int, v int")
+
+
+@QUICK
+@given(base=TABLE, changes=TABLE)
+def test_merges(spark, base, changes):
+    left, right = _frame(spark, base), _frame(spark, changes)
+    assert dict(map(tuple, U.merge_upsert(left, right, ["k"]).collect())) == {**base, **changes}
+    assert dict(map(tuple, U.merge_insert(left, right, ["k"]).collect())) == {**changes, **base}
+
+
+@QUICK
+@given(rounds=st.lists(TABLE, min_size=1, max_size=3))
+def test_history_replays_every_round(spark, rounds):
+    start = datetime(2024, 1, 1)
+    history = U.open_history(_frame(spark, rounds[0]), start)
+    expected, states = dict(rounds[0]), [dict(rounds[0])]
+    for number, changes in enumerate(rounds[1:], 1):
+        history = U.scd2_apply(history, _frame(spark, changes), ["k"], start + timedelta(days=number))
+        expected.update(changes)
+        states.append(dict(expected))
+    found = history.collect()
+    for number, state in enumerate(states):
+        moment = start + timedelta(days=number)
+        valid = [(r.k, r.v) for r in found if r.valid_from <= moment < r.valid_to]
+        assert len(valid) == len(state) and dict(valid) == state
+
+
+@QUICK
+@given(left=st.lists(KEYS, max_size=12), right=st.lists(KEYS, max_size=12), how=st.sampled_from(
+    ["inner", "left", "leftsemi", "leftanti"]))
+def test_salted_joins(spark, left, right, how):
+    a = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k int, a int")
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "k int, b int")
+    salted = J.join_prepartitioned(a, b, "k", 3, how, salts=3, support=0.2)
+    plain = a.join(b, "k", how)
+    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+
+
+@QUICK
+@given(rows=st.lists(st.tuples(KEYS, st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))), max_size=15),
+       budget=st.sampled_from([0, 2]))
+def test_running_sums(spark, rows, budget):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, k int, o int, v int")
+    found = {r.i: r.s for r in W.running_sum(df, ["k"], "o", F.col("v"), "s", budget=budget, blocks=3).collect()}
+    for i, (k, o, _) in enumerate(rows):
+        known = [v for other, order, v in rows if other == k and order <= o and v is not None]
+        assert found[i] == (sum(known) if known else None)
