@@ -20,6 +20,11 @@ DELETE = "delete"
 OPEN_END = datetime(2199, 12, 31)
 
 
+def moment(at: datetime) -> Column:
+    """A wall-clock time as a literal, whatever zone the machine or the session is in."""
+    return F.lit(at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _fail_if(condition: Column, message: str) -> Column:
     """A filter that lets every row pass, or stops the query."""
     return F.when(condition, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
@@ -89,8 +94,7 @@ def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, Col
 def open_history(df: DataFrame, at: datetime, valid_from: str = "valid_from",
                  valid_to: str = "valid_to") -> DataFrame:
     """First load of a history table: every row is an open version."""
-    return df.withColumns({valid_from: F.lit(at).cast("timestamp_ntz"),
-                           valid_to: F.lit(OPEN_END).cast("timestamp_ntz")})
+    return df.withColumns({valid_from: moment(at), valid_to: moment(OPEN_END)})
 
 
 def scd2_apply(history: DataFrame, changes: DataFrame, keys: Sequence[str], at: datetime,
@@ -105,8 +109,7 @@ def scd2_apply(history: DataFrame, changes: DataFrame, keys: Sequence[str], at:
     stored on the way, so a small set of them is sent to the history and the
     history is never shuffled for it.
     """
-    start = F.lit(at).cast("timestamp_ntz")
-    end = F.lit(OPEN_END).cast("timestamp_ntz")
+    start, end = moment(at), moment(OPEN_END)
     compared = [c for c in compare if c not in keys]
     staged = materialize(unique_by_key(changes, keys), "scd-changes")
     current = _touched(history.where(F.col(valid_to) == end), staged, keys, [*keys, valid_from, *compared])
@@ -132,16 +135,15 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
           timestamp: datetime | None = None) -> DataFrame:
     """State of a change log at a version or a time: the last change per key, deletions left out.
 
-    A version holds at most one change per key.
-    Later versions are cut off at the scan, and the rank limit keeps one row per
-    key and task before the shuffle.
+    A version holds at most one change per key. Later versions are cut off at
+    the scan, and the rank limit keeps one row per key and task before the shuffle.
     """
     if (version is None) == (timestamp is None):
         raise ValueError("give a version or a timestamp")
     if version is not None:
         seen = log.where(F.col(VERSION) <= F.lit(version))
     else:
-        seen = log.where(F.col(TIME) <= F.lit(timestamp).cast("timestamp_ntz"))
+        seen = log.where(F.col(TIME) <= moment(timestamp))
     latest = Window.partitionBy(*keys).orderBy(F.desc(VERSION))
     return (seen.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1)
             .where(F.col(OP) != DELETE).drop("_rank"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.upsert import OP, TIME, VERSION
+from millrace.operators.upsert import OP, TIME, VERSION, moment
 
 
-def append_version(df: DataFrame, path: str, version: int, op: str, at) -> None:
+def append_version(df: DataFrame, path: str, version: int, op: str, at: datetime) -> None:
     """Add ``df`` as one version. Writing the same version again replaces it, so retries are safe."""
-    (df.withColumn(OP, F.lit(op)).withColumn(TIME, F.lit(at).cast("timestamp_ntz"))
+    (df.withColumn(OP, F.lit(op)).withColumn(TIME, moment(at))
        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{VERSION}={version}"))
 
 

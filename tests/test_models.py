@@ -17,6 +17,11 @@ def test_linear_finds_the_terms(data):
     model = M.linear("y").fit(prepared)
     found = {r.term: round(r.estimate, 6) for r in M.coefficients(prepared, model, ["a", "b"]).collect()}
     assert found == {"a": 2.0, "b": -3.0, "intercept": 1.0}
+    noisy = prepared.withColumn("y", F.col("y") + F.col("id") % 2)
+    terms = M.coefficients(noisy, M.linear("y").fit(noisy), ["a", "b"]).collect()
+    assert all(r.t_value is not None for r in terms)
+    shrunk = M.linear("y", regularization=0.5).fit(noisy)
+    assert all(r.t_value is None for r in M.coefficients(noisy, shrunk, ["a", "b"]).collect())
     scores = M.evaluate(model.transform(prepared), "y").first()
     assert scores.rmse < 1e-6 and scores.r2 > 0.999999
 

@@ -43,6 +43,7 @@ def test_pandas_on_spark(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "k string, v double")
     counts = df.pandas_api().k.value_counts().to_pandas()
     assert counts["a"] == 2 and counts["b"] == 1
+    assert df.pandas_api().to_spark().count() == 3
     assert df.pandas_api().groupby("k").v.mean().to_pandas()["a"] == 1.5
 
 
