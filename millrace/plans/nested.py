@@ -23,28 +23,33 @@ def split_words(t):
     return t.part.select("p_partkey", X.element(parts, 0).alias("first_word"), F.size(parts).alias("words"))
 
 
-_IDS = "SELECT page_id, TRY_CAST(split_part(url, '/', 5) AS INTEGER) AS url_id FROM pages"
+#: Pages without a number in that place show as -1.
+_IDS = "SELECT page_id, coalesce(TRY_CAST(split_part(url, '/', 5) AS INTEGER), -1) AS url_id FROM pages"
+
+
+def _known_id(column):
+    return F.coalesce(column, F.lit(-1)).alias("url_id")
 
 
 @query("extract_id", "STR2", _IDS)
 def extract_id(t):
-    return t.pages.select("page_id", X.extract_id("url").alias("url_id"))
+    return t.pages.select("page_id", _known_id(X.extract_id("url")))
 
 
 @query("udf_extract_id", "UDF1", _IDS)
 def udf_extract_id(t):
-    return t.pages.select("page_id", U.id_udf()("url").alias("url_id"))
+    return t.pages.select("page_id", _known_id(U.id_udf()("url")))
 
 
 @query("udf_sql", "UDF2", _IDS)
 def udf_sql(t):
     function = U.register_for_sql(t.spark)
-    return t.spark.sql(f"SELECT page_id, {function}(url) AS url_id FROM {named_view(t.pages)}")
+    return t.spark.sql(f"SELECT page_id, coalesce({function}(url), -1) AS url_id FROM {named_view(t.pages)}")
 
 
 @query("pandas_udf_extract_id", "UDF3 UDF5", _IDS)
 def pandas_udf_extract_id(t):
-    return t.pages.select("page_id", U.id_pandas_udf()("url").alias("url_id"))
+    return t.pages.select("page_id", _known_id(U.id_pandas_udf()("url")))
 
 
 @query("pandas_udf_double", "UDF4", "SELECT p_partkey, p_retailprice * 2 AS twice FROM part")
@@ -58,12 +63,13 @@ def minute_key(t):
 
 
 @query("array_element", "ARR1 ARR2", """
-    SELECT p_partkey, string_split(p_name, ' ')[2] AS second, string_split(p_name, ' ')[9] AS ninth,
+    SELECT p_partkey, string_split(p_name, ' ')[2] AS second,
+           coalesce(string_split(p_name, ' ')[9], 'none') AS ninth,
            string_split(p_name, ' ')[-1] AS last
     FROM part""")
 def array_element(t):
     parts = X.split_plain("p_name")
-    return t.part.select("p_partkey", X.element(parts, 1).alias("second"), X.element(parts, 8).alias("ninth"),
+    return t.part.select("p_partkey", X.element(parts, 1).alias("second"), F.coalesce(X.element(parts, 8), F.lit("none")).alias("ninth"),
                          X.element(parts, -1).alias("last"))
 
 
@@ -121,12 +127,12 @@ def _order_tree(t):
 
 
 @query("nested_path", "NST1", """
-    SELECT o_orderkey, 'net' AS kind, o_totalprice * 0.5 AS half, NULL::DOUBLE AS missing FROM orders""")
+    SELECT o_orderkey, 'net' AS kind, o_totalprice * 0.5 AS half, true AS past_the_end FROM orders""")
 def nested_path(t):
     return _order_tree(t).select(
         "o_orderkey", N.at_path("doc", "amounts", 0, "kind").alias("kind"),
         N.at_path("doc", "amounts", 1, "money", "value").alias("half"),
-        N.at_path("doc", "amounts", 2, "money", "value").alias("missing"))
+        N.at_path("doc", "amounts", 2, "money", "value").isNull().alias("past_the_end"))
 
 
 @query("array_field", "NST2", """
@@ -138,14 +144,14 @@ def array_field(t):
 
 
 @query("map_access", "NST3", """
-    SELECT o_orderkey, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d') AS day, NULL::VARCHAR AS nothing
+    SELECT o_orderkey, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d') AS day, true AS is_absent
     FROM orders""")
 def map_access(t):
     entries = F.create_map(F.lit("status"), F.col("o_orderstatus"), F.lit("day"),
                            F.date_format("o_orderdate", "yyyy-MM-dd"))
     return t.orders.select("o_orderkey", entries.alias("m")).select(
         "o_orderkey", F.col("m")["status"].alias("status"), F.col("m.day").alias("day"),
-        N.map_value("m", "none").alias("nothing"))
+        N.map_value("m", "none").isNull().alias("is_absent"))
 
 
 @query("nest_flatten", "NST4 NST5", """
@@ -157,10 +163,11 @@ def nest_flatten(t):
 
 
 @query("decode_json", "J1", """
-    SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, NULL::VARCHAR AS other FROM events""")
+    SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, true AS lacks_other FROM events""")
 def decode_json(t):
     messages = t.events.select("event_id", F.encode("props", "UTF-8").alias("value"))
-    return Y.decode_json(messages, "k int, other string").select("event_id", "msg.k", "msg.other")
+    return Y.decode_json(messages, "k int, other string").select(
+        "event_id", "msg.k", F.col("msg.other").isNull().alias("lacks_other"))
 
 
 #: Schema of the messages built from line items.

@@ -81,14 +81,15 @@ def normalize_columns(t):
 @query("casts", "PRJ9", """
     SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(trunc(o_totalprice) AS INTEGER) AS whole_price,
            TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rank_no,
-           TRY_CAST(o_orderstatus AS DOUBLE) AS no_number
+           TRY_CAST(o_orderstatus AS DOUBLE) IS NULL AS is_text
     FROM orders""")
 def casts(t):
     source = t.orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("whole_price"),
                              F.substring("o_orderpriority", 1, 1).alias("rank_no"),
                              F.col("o_orderstatus").alias("no_number"))
-    return P.cast_columns(source, {"o_custkey": "string", "whole_price": "int", "rank_no": "int",
+    cast = P.cast_columns(source, {"o_custkey": "string", "whole_price": "int", "rank_no": "int",
                                    "no_number": "double"})
+    return cast.withColumn("is_text", F.col("no_number").isNull()).drop("no_number")
 
 
 @query("case_flags", "PRJ12 PRJ14 AGG17", """

@@ -1,9 +1,12 @@
+from unittest.mock import MagicMock
+
 import pandas as pd
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import cluster_builder
 from millrace.sources import jdbc, kafka, readers, writers
 
 LETTERS = T.StructType([T.StructField("index", T.ByteType(), False), T.StructField("character", T.StringType(), False)])
@@ -125,6 +128,37 @@ def test_jdbc_ranges():
     assert "min(id)" in jdbc.bounds_query("t", "id") and "max(id)" in jdbc.bounds_query("t", "id")
 
 
+def test_jdbc_calls():
+    fake = MagicMock()
+    jdbc.scan_ranges(fake, "jdbc:x", "t", "id", 4, 0, 100, {"user": "u"})
+    given = fake.read.format.return_value.options.call_args.kwargs
+    assert given["numPartitions"] == "4" and given["dbtable"] == "t" and given["user"] == "u"
+    found = fake.read.jdbc.return_value.agg.return_value.first
+    found.return_value = MagicMock(lo=1, hi=9)
+    jdbc.scan_ranges(fake, "jdbc:x", "t", "id", 2)
+    given = fake.read.format.return_value.options.call_args.kwargs
+    assert (given["lowerBound"], given["upperBound"]) == ("1", "9")
+    found.return_value = MagicMock(lo=None, hi=None)
+    jdbc.scan_ranges(fake, "jdbc:x", "t", "id", 2)
+    fake.read.jdbc.assert_called_with("jdbc:x", "t", properties={})
+    df = MagicMock()
+    jdbc.write(df, "jdbc:x", "t", 3)
+    df.repartition.assert_called_with(3)
+
+
+def test_kafka_calls():
+    fake = MagicMock()
+    kafka.scan(fake, "h:1", "t")
+    kafka.stream(fake, "h:1", "t")
+    fake.read.format.assert_called_with("kafka")
+    assert fake.readStream.format.return_value.options.call_args.kwargs["subscribe"] == "t"
+
+
+def test_cluster_settings():
+    settings = cluster_builder("app", "s3://shared/work")._options
+    assert settings["spark.checkpoint.dir"] == "s3://shared/work" and "spark.master" not in settings
+
+
 def test_kafka_options(spark):
     assert kafka.options("h:9092", "t", startingOffsets="earliest") == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest"}
