@@ -37,6 +37,8 @@ def partition_aggregates(df: DataFrame, *grains: tuple[Sequence[str], Sequence[C
     Same result as aggregates over unordered windows, but groups are reduced
     before any shuffle and joined back, so a hot group never meets in one task.
     """
+    if not all(keys for keys, _ in grains):
+        raise ValueError("a total over all rows has no key to attach it by")
     result = df
     for keys, aggregates in grains:
         result = _attach(result, df.groupBy(*keys).agg(*aggregates), keys, "groups")

@@ -26,7 +26,8 @@ def ml_string_index_wide(t):
     return M.index_by_frequency(t.part.select("p_partkey", "p_name"), "p_name", "name_index")
 
 
-@query("ml_features", "ML2 D11", "SELECT l_orderkey, l_partkey, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem")
+@query("ml_features", "ML2 D11", """
+    SELECT l_orderkey, l_partkey, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem""")
 def ml_features(t):
     names = ["l_quantity", "l_discount", "l_tax"]
     assembled = M.features(names).transform(t.lineitem).select("l_orderkey", "l_partkey", "features")

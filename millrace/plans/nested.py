@@ -69,7 +69,8 @@ def minute_key(t):
     FROM part""")
 def array_element(t):
     parts = X.split_plain("p_name")
-    return t.part.select("p_partkey", X.element(parts, 1).alias("second"), F.coalesce(X.element(parts, 8), F.lit("none")).alias("ninth"),
+    ninth = F.coalesce(X.element(parts, 8), F.lit("none"))
+    return t.part.select("p_partkey", X.element(parts, 1).alias("second"), ninth.alias("ninth"),
                          X.element(parts, -1).alias("last"))
 
 

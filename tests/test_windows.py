@@ -61,6 +61,11 @@ def test_partition_aggregates(skewed, rows):
     assert rows(totals, *columns) == rows(expected, *columns)
 
 
+def test_totals_need_a_key(skewed):
+    with pytest.raises(ValueError):
+        W.partition_aggregates(skewed, ([], [F.sum("v").alias("t")]))
+
+
 def test_group_count(skewed):
     assert W.join_group_count(skewed, ["k"], "n").where("k IS NULL AND n = 50").count() == 50
 
