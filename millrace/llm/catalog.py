@@ -9,7 +9,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules that define QUERIES: name -> (plan, SQL or None).
-MODULES = ("token_counts", "quality_rules", "url_rules", "license_scan", "simhash_dedup")
+MODULES = ("token_counts", "quality_rules", "url_rules", "license_scan", "simhash_dedup", "decontaminate")
 
 
 @dataclass(frozen=True)
