@@ -16,7 +16,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.words import raw
+from millrace.llm.words import raw, row_groups
+
+#: Bytes of texts cut into pieces at a time; a longer text is cut alone.
+GROUP_BYTES = 1_000_000
 
 #: Kept counts per worker process; the store starts anew when full, which changes no result.
 KEPT = 400_000
@@ -117,7 +120,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", key: str = "doc
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = Counter(path, proved.value)
         for batch in batches:
-            yield pa.array(counter.count([x.decode() for x in raw(batch)]), pa.int64())
+            blobs = raw(batch)
+            yield pa.array([n for start, stop in row_groups([len(b) for b in blobs], GROUP_BYTES)
+                            for n in counter.count([b.decode() for b in blobs[start:stop]])], pa.int64())
 
     counted = docs.select(F.col(key), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"),
                           tokens(F.col(text)).alias("n_tokens"))
