@@ -9,7 +9,8 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules that define QUERIES: name -> (plan, SQL or None).
-MODULES = ("token_counts", "quality_rules", "url_rules", "license_scan", "simhash_dedup", "decontaminate")
+MODULES = ("token_counts", "quality_rules", "url_rules", "license_scan", "simhash_dedup", "decontaminate",
+           "line_chunks", "packing")
 
 
 @dataclass(frozen=True)
@@ -24,7 +25,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def queries() -> dict[str, TextQuery]:
-    found = {}
+    import corpus_pipeline
+
+    found = {"pipeline": TextQuery("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
     for module in MODULES:
         for name, (run, oracle) in import_module(f"millrace.llm.{module}").QUERIES.items():
             found[name] = TextQuery(name, run, oracle)
