@@ -145,9 +145,10 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     groups, _ = groups_of(marked, radius)
     first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "content")).alias("first")
     chosen, _ = stage(marked.groupBy("mark").agg(first).join(groups, "mark").groupBy("root")
-                      .agg(F.min("first").alias("first")).select("first.key", "first.content").distinct(), "chosen")
+                      .agg(F.min("first").alias("first")).select(F.col("first.key").alias("chosen"), F.col("first.content").alias("chosen_content")).distinct(),
+                      "chosen")
     kept = rows.withColumn("content", content).join(
-        chosen, F.col(k).eqNullSafe(chosen["key"]) & (F.col("content") == chosen["content"]), "left_semi")
+        chosen, F.col(k).eqNullSafe(F.col("chosen")) & (F.col("content") == F.col("chosen_content")), "left_semi")
     return kept.dropDuplicates([k, "content"]).select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
