@@ -19,7 +19,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.llm.words import content_key, raw, row_groups
+from millrace.llm.words import content_key, local_table, raw, row_groups
 
 #: Words of a text, after A-Z are lower-cased.
 WORDS = regex.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -122,7 +122,8 @@ def license_hits(docs: DataFrame, templates, key: str, text: str, k: int) -> Dat
     scanned = source.mapInArrow(lambda batches: _scan_words(batches, k),
                                 f"key {key_type}, content bigint, place bigint, run_hash bigint, run string")
     places, _ = template_runs(templates, k)
-    wanted = spark.createDataFrame(places, "template int, position int, run_hash bigint, wanted string")
+    wanted = local_table(spark, places, pa.schema([("template", pa.int32()), ("position", pa.int32()), ("run_hash", pa.int64()),
+                                                   ("wanted", pa.string())]))
     hits = scanned.join(wanted, "run_hash").where(F.col("run") == F.col("wanted"))
     # positions are bounded by the template's length, however often the text repeats them
     return (hits.groupBy("key", "content", "template", (F.col("place") - F.col("position")).alias("diagonal"))

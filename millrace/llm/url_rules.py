@@ -12,8 +12,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.llm.words import local_table
+
 #: A token of a lower-cased URL.
 TOKEN = "[a-z0-9]+"
 
@@ -79,14 +82,14 @@ def pattern_verdicts(urls: DataFrame, rules) -> DataFrame:
     spark = urls.sparkSession
     tokens = urls.select("url", F.explode(F.array_distinct(
         F.expr(f"regexp_extract_all(lower(url), '{TOKEN}', 0)"))).alias("token"))
-    literals = spark.createDataFrame([(i, t) for i, r in enumerate(rules) for t in sorted(set(r.tokens))],
-                                     "n int, token string")
+    literals = local_table(spark, [(i, t) for i, r in enumerate(rules) for t in sorted(set(r.tokens))],
+                           pa.schema([("n", pa.int32()), ("token", pa.string())]))
     # rarity in the URLs at hand, counted for the rules' tokens only
     counts = tokens.join(literals.select("token").distinct(), "token").groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
     index = (literals.join(counts, "token", "left").groupBy("n")
              .agg(F.min_by("token", F.struct(F.coalesce("uses", F.lit(0)), F.col("token"))).alias("token")))
-    details = spark.createDataFrame([(i, r.name, r.pattern, r.action) for i, r in enumerate(rules)],
-                                    "n int, name string, pattern string, action string")
+    details = local_table(spark, [(i, r.name, r.pattern, r.action) for i, r in enumerate(rules)],
+                          pa.schema([("n", pa.int32())] + [(c, pa.string()) for c in ("name", "pattern", "action")]))
     # the candidates of a URL only; a token that no rule is indexed under fetches nothing
     hits = tokens.join(index.join(details, "n"), "token").where(F.expr("rlike(lower(url), pattern)"))
     best = F.min(F.struct("n", "name", "action")).alias("best")

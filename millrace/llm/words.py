@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The six ASCII characters that separate words; ``bytes.split()`` uses the same ones.
 SPACES = " \t\n\x0b\x0c\r"
@@ -39,3 +39,8 @@ def row_groups(sizes: list[int], most: int):
 def content_key(key: str, text: str) -> Column:
     """64 bits of a row's content. Together with the key it tells rows apart that share a key."""
     return F.xxhash64(F.col(key).cast("string"), F.col(text))
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """A frame of rows given as parameters. From Arrow, so that Spark knows its true size when it plans joins."""
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema))
