@@ -144,7 +144,6 @@ def scan_licenses(docs: DataFrame, templates=PHRASES + STATEMENTS, key: str = "d
     empty table gives no rows. A phrase or line that stands in every text adds one
     row per text and diagonal, spread by key and content.
     """
-    spark = docs.sparkSession
     _, facts = template_runs(templates, k)
     votes = license_hits(docs, templates, key, text, k)
     # templates are few and short, so their facts come as a list of constants
