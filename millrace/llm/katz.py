@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.staging import stage
 from millrace.llm.words import row_groups
-from millrace.sources.writers import save_table
 from millrace.workspace import new_name, new_path
 
 #: Counts up to this one are discounted.
@@ -328,7 +327,9 @@ def katz_scores(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     made = rows.mapInArrow(make_blocks, BLOCK.format(key=kind))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # bucketed by block, so that answers come to the blocks and blocks are never shuffled
-    blocks = save_table(made, new_name("blocks"), path=new_path(spark, "blocks"), bucket_by=["block"], buckets=count)
+    name = new_name("blocks")
+    made.write.format("parquet").option("path", new_path(spark, "blocks")).bucketBy(count, "block").saveAsTable(name)
+    blocks = spark.table(name)
     tokens = blocks.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(tokens / BUCKET_KEYS))
     asked = blocks.mapInArrow(lambda b: ask_totals(b, buckets), REQUEST)
