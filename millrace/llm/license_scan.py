@@ -15,14 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millrace.llm.words import content_key, local_table, raw, row_groups
 
-#: Words of a text, after A-Z are lower-cased.
-WORDS = regex.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Keeps digits, lower-case ASCII letters and all bytes beyond ASCII; the rest separates words.
+SEPARATE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 #: Words per run. Two is the most that the shortest phrase allows.
 K = 2
@@ -59,13 +58,19 @@ STATEMENTS = (
 )
 
 
+def words_of(blob: bytes) -> list[bytes]:
+    """Words of a text, after A-Z are lower-cased."""
+    return blob.lower().translate(SEPARATE).split()
+
+
 def runs(words: list[bytes], k: int, kept: dict[bytes, int]) -> tuple[np.ndarray, list[bytes]]:
     """Rolling hashes of all runs of ``k`` words, mixed from word hashes."""
     n = len(words) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64), []
-    for w in set(words) - kept.keys():
-        kept[w] = xxhash.xxh64_intdigest(w)
+    for w in words:
+        if w not in kept:
+            kept[w] = xxhash.xxh64_intdigest(w)
     hashes = np.fromiter(map(kept.__getitem__, words), np.uint64, len(words))
     mixed = np.zeros(n, np.uint64)
     for j in range(k):
@@ -86,7 +91,7 @@ def _scan_words(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
                 kept = {}
             counts, hashes, texts, places = [], [], [], []
             for blob in blobs[start:stop]:
-                words = WORDS.findall(blob.lower())
+                words = words_of(blob)
                 mixed, found = runs(words, k, kept)
                 # the first row of a text stands for the text itself
                 hashes += [np.zeros(1, np.uint64), mixed]
@@ -106,7 +111,7 @@ def template_runs(templates, k: int) -> tuple[list, list]:
     """Rows (template, position, hash, run) and (template, label, is a phrase, runs)."""
     places, facts = [(-1, 0, 0, "")], []
     for t, template in enumerate(templates):
-        hashes, texts = runs(WORDS.findall(template.text.encode().lower()), k, {})
+        hashes, texts = runs(words_of(template.text.encode()), k, {})
         if not texts:
             raise ValueError(f"template {template.label} has fewer than {k} words")
         places += [(t, j, int(h), s.decode()) for j, (h, s) in enumerate(zip(hashes.view(np.int64), texts))]

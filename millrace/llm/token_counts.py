@@ -98,7 +98,7 @@ class Counter:
                 cut.append((i, ([first] if first else []) + [" " + x for x in others]))
         if len(self.kept) > KEPT:
             self.kept = {}
-        new = set().union(*(pieces for _, pieces in cut)) - self.kept.keys() if cut else set()
+        new = {piece for _, pieces in cut for piece in pieces if piece not in self.kept}
         self.learn(new)
         get = self.kept.__getitem__
         for i, pieces in cut:

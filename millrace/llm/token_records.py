@@ -57,7 +57,7 @@ class WordEncoder:
         if len(self.kept) > KEPT:
             self.kept = {}
         cut = [b.split() for b in blobs]
-        new = list(set().union(*cut) - self.kept.keys())
+        new = list({w for words in cut for w in words if w not in self.kept})
         encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         self.kept.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, encoded))
         get = self.kept.__getitem__
