@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,20 @@ def encode_json(*columns: Column) -> Column:
     return F.encode(F.to_json(F.struct(*columns)), "UTF-8")
 
 
+def json_array_files(df: DataFrame, document: str) -> DataFrame:
+    """Lines of one JSON array per task, each document over several lines, for the text sink."""
+    pretty = df.select(F.to_json(F.col(document), {"pretty": "true"}).alias("value"))
+
+    def lines(batches):
+        separator = "["
+        for batch in batches:
+            for text in batch["value"]:
+                yield pd.DataFrame({"value": [separator, *text.split("\n")]})
+                separator = ","
+        yield pd.DataFrame({"value": ["[", "]"] if separator == "[" else ["]"]})
+    return pretty.mapInPandas(lines, "value string")
+
+
 def decode_json(df: DataFrame, schema: T.StructType | str, payload: str = "value",
                 name: str = "msg") -> DataFrame:
     """Parse the payload. Fields outside the schema are dropped; malformed messages give NULL fields."""
@@ -21,12 +36,22 @@ def decode_json(df: DataFrame, schema: T.StructType | str, payload: str = "value
 
 
 def decode_items(df: DataFrame, schema: T.StructType | str, items: str, header: Sequence[str],
-                 fields: Sequence[str], payload: str = "value", position: str = "pos") -> DataFrame:
+                 fields: Sequence[str], payload: str = "value", position: str = "pos", keep_empty: bool = False,
+                 malformed: str | None = None) -> DataFrame:
     """One row per item of the array in each message, with header fields, position and item fields.
 
-    Messages without items give no rows.
+    With ``keep_empty`` a message without items gives one row without position and
+    item. With ``malformed``, a column of that name holds the text of a message that
+    could not be parsed, and such messages are kept in any case.
     """
-    decoded = decode_json(df, schema, payload, "_msg").select(
-        *[F.col(f"_msg.{h}").alias(h) for h in header],
-        F.posexplode(F.col(f"_msg.{items}")).alias(position, "_item"))
-    return decoded.select(*header, position, *[F.col(f"_item.{f}").alias(f) for f in fields])
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
+    parsed = df.withColumn("_msg", F.from_json(F.col(payload).cast("string"), kind.add("_broken", "string"),
+                                               {"columnNameOfCorruptRecord": "_broken"}))
+    names = [*header, *([malformed] if malformed else [])]
+    decoded = parsed.select(*[F.col(f"_msg.{h}").alias(h) for h in header],
+                            *([F.col("_msg._broken").alias(malformed)] if malformed else []),
+                            F.posexplode_outer(F.col(f"_msg.{items}")).alias(position, "_item"))
+    if not keep_empty:
+        wanted = F.col(position).isNotNull()
+        decoded = decoded.where(wanted | F.col(malformed).isNotNull() if malformed else wanted)
+    return decoded.select(*names, position, *[F.col(f"_item.{f}").alias(f) for f in fields])

@@ -31,8 +31,9 @@ def path_segment(column: Column | str, position: int) -> Column:
 
 
 def extract_id(column: Column | str, position: int = 4) -> Column:
-    """Whole-number id in a path segment; NULL where the segment is no number."""
-    return path_segment(column, position).try_cast("int")
+    """Whole-number id in a path segment; NULL where the segment is anything but digits or beyond 31 bits."""
+    segment = path_segment(column, position)
+    return F.when(segment.rlike(r"\A[0-9]+\z"), segment.try_cast("int"))
 
 
 def time_key(column: Column | str, pattern: str = MINUTE_KEY) -> Column:
@@ -46,8 +47,8 @@ def element(column: Column | str, index: int) -> Column:
 
 
 def explode_words(df: DataFrame, keys: list[str], text: str, name: str = "word",
-                  position: str | None = None, parent: str | None = None) -> DataFrame:
-    """One row per word with the parent keys.
+                  position: str | None = None, parent: str | None = None, keep_empty: bool = False) -> DataFrame:
+    """One row per word with the parent keys; with ``keep_empty`` one row without a word for a text that has none.
 
     On request also the 0-based position, and a ``parent`` number that is unique
     per input row, for telling rows with equal keys apart.
@@ -55,8 +56,9 @@ def explode_words(df: DataFrame, keys: list[str], text: str, name: str = "word",
     if parent:
         df, keys = df.withColumn(parent, F.monotonically_increasing_id()), [*keys, parent]
     if position:
-        return df.select(*keys, F.posexplode(words(text)).alias(position, name))
-    return df.select(*keys, F.explode(words(text)).alias(name))
+        explode = F.posexplode_outer if keep_empty else F.posexplode
+        return df.select(*keys, explode(words(text)).alias(position, name))
+    return df.select(*keys, (F.explode_outer if keep_empty else F.explode)(words(text)).alias(name))
 
 
 def word_frequencies(df: DataFrame, text: str, name: str = "count") -> DataFrame:
@@ -67,8 +69,8 @@ def word_frequencies(df: DataFrame, text: str, name: str = "count") -> DataFrame
 def renest_words(df: DataFrame, keys: list[str], word: str, position: str, name: str) -> DataFrame:
     """Inverse of the positional explode: words of a parent in their old order as one text.
 
-    With the parent number among the keys, a group is never more than what one
+    Parents without words are there, with an empty text, when they were kept. With the parent number among the keys, a group is never more than what one
     row held before.
     """
-    pairs = F.sort_array(F.collect_list(F.struct(position, word)))
+    pairs = F.sort_array(F.collect_list(F.when(F.col(word).isNotNull(), F.struct(position, word))))
     return df.groupBy(*keys).agg(F.array_join(F.transform(pairs, lambda p: p[word]), " ").alias(name))

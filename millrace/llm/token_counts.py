@@ -16,13 +16,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.words import raw, row_groups
+from millrace.llm.words import encode_each, load_tokenizer, raw, row_groups
 
 #: Bytes of texts cut into pieces at a time; a longer text is cut alone.
 GROUP_BYTES = 1_000_000
 
 #: Kept counts per worker process; the store starts anew when full, which changes no result.
-KEPT = 400_000
+KEPT = 250_000
 
 #: The pre-token pattern of byte-level BPE for texts of ASCII characters only (fixed values).
 ASCII_PIECES = re.compile(
@@ -41,23 +41,20 @@ def whole_tokens(path: str) -> frozenset[str]:
 
     Bounded by the vocabulary, whatever the size of the corpus.
     """
-    from tokenizers import Tokenizer, decoders
+    from tokenizers import decoders
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = load_tokenizer(path)
     decoder = decoders.ByteLevel()
     special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     strings = [s for t in tokenizer.get_vocab() if (s := decoder.decode([t])) and "�" not in s and t not in special]
-    encoded = tokenizer.encode_batch(strings, add_special_tokens=False)
-    return frozenset(s for s, e in zip(strings, encoded) if len(e.ids) == 1)
+    return frozenset(s for s, ids in zip(strings, encode_each(tokenizer, strings)) if len(ids) == 1)
 
 
 class Counter:
     """Counts the tokens of texts in one worker process."""
 
     def __init__(self, path: str, proved: frozenset[str]):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = load_tokenizer(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         kind = json.loads(self.tokenizer.to_str())
         if kind["normalizer"] or kind["pre_tokenizer"]["type"] != "ByteLevel" or kind["pre_tokenizer"]["add_prefix_space"]:
@@ -66,7 +63,7 @@ class Counter:
         self.kept: dict[str, int] = {}
 
     def merged(self, pieces: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [len(ids) for ids in encode_each(self.tokenizer, pieces)]
 
     def learn(self, pieces: set[str]) -> None:
         """Counts of pieces not met before: proved pre-tokens count one, the rest is merged."""
@@ -106,6 +103,10 @@ class Counter:
         return found
 
 
+#: The counter of this worker process by tokenizer; it goes on from task to task.
+_COUNTERS: dict[str, Counter] = {}
+
+
 def count_tokens(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", limit: int = 1024) -> DataFrame:
     """Bytes and tokens of every whole text: key, ``n_bytes``, ``n_tokens``, ``over_limit``.
 
@@ -118,7 +119,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", key: str = "doc
 
     @F.arrow_udf("bigint")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = Counter(path, proved.value)
+        counter = _COUNTERS.get(path) or _COUNTERS.setdefault(path, Counter(path, proved.value))
         for batch in batches:
             blobs = raw(batch)
             yield pa.array([n for start, stop in row_groups([len(b) for b in blobs], GROUP_BYTES)

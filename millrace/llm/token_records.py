@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millrace.llm.crc32c import crc32c_all, masked
 from millrace.llm.staging import stage
-from millrace.llm.words import content_key, raw, row_groups
+from millrace.llm.words import content_key, encode_each, load_tokenizer, raw, row_groups
 from millrace.workspace import new_path
 
 #: Kept encodings of words per worker process; the store starts anew when full.
@@ -44,9 +44,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = load_tokenizer(path)
         if [len(self.tokenizer.encode(t, add_special_tokens=False).ids) for t in (" ", "\n \t")] != [0, 0]:
             raise ValueError("the tokenizer keeps white space; words cannot be encoded alone")
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
@@ -58,12 +56,16 @@ class WordEncoder:
             self.kept = {}
         cut = [b.split() for b in blobs]
         new = list({w for words in cut for w in words if w not in self.kept})
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.kept.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, encoded))
+        encoded = encode_each(self.tokenizer, [w.decode() for w in new])
+        self.kept.update((w, np.array(ids, self.kind).tobytes()) for w, ids in zip(new, encoded))
         get = self.kept.__getitem__
         return [b"".join([*map(get, words), self.end]) for words in cut]
 
 
+#: The encoder of this worker process; it goes on from task to task.
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
+
+
 def frames(payloads: list[bytes]) -> list[bytes]:
     lengths = [struct.pack("<Q", len(p)) for p in payloads]
     heads = masked(crc32c_all(lengths)).astype("<u4")
@@ -87,7 +89,7 @@ def shard_name(number: int) -> str:
 
 
 def _write(batches: Iterator[pa.RecordBatch], root: str, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = WordEncoder(path, end_id)
+    encoder = _ENCODERS.get((path, end_id)) or _ENCODERS.setdefault((path, end_id), WordEncoder(path, end_id))
     files, folder = pa.fs.FileSystem.from_uri(root)
     number = TaskContext.get().partitionId()
     final = f"{folder}/{shard_name(number)}"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import os
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,20 @@ def numbered(words: list[bytes], known: dict | None = None) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
+def load_tokenizer(path: str):
+    """A tokenizer that stays in its task's core: threads of its own would take those of other tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
+def encode_each(tokenizer, texts: list[str], size: int = 4000) -> Iterator[list[int]]:
+    """Ids of each text without added tokens; encodings are large, so only ``size`` are held at a time."""
+    for start in range(0, len(texts), size):
+        for encoding in tokenizer.encode_batch_fast(texts[start:start + size], add_special_tokens=False):
+            yield encoding.ids
+
+
 def row_groups(sizes: list[int], most: int):
     """Slices of consecutive rows with ``most`` units together, or one row above that."""
     start, total = 0, 0

@@ -27,11 +27,15 @@ def category_index(column: str, output: str) -> StringIndexer:
 
 
 def index_by_frequency(df: DataFrame, column: str, output: str) -> DataFrame:
-    """The same index for any number of distinct values, without a model on the driver."""
-    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    """The same index for any number of distinct values, without a model on the driver.
+
+    Unknown values get the index after the last, as in the fitted one.
+    """
+    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     numbered = row_numbers(counted, [], [F.desc("_n"), F.asc(column)], "_i")
     index = numbered.select(F.col(column), (F.col("_i") - 1).cast("double").alias(output))
-    return df.join(index, column, "left")
+    last = numbered.agg(F.count(F.lit(1)).cast("double")).scalar()
+    return df.join(index, column, "left").withColumn(output, F.coalesce(F.col(output), last))
 
 
 def quantile_bins(column: str, output: str, bins: int, error: float = 0.001) -> QuantileDiscretizer:
@@ -60,7 +64,7 @@ def unpack(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:
     return values.withColumns({n: F.col("_v")[i] for i, n in enumerate(names)}).drop("_v", vector)
 
 
-def linear(label: str, elastic_net: float = 0.4, iterations: int = 100, regularization: float = 0.0,
+def linear(label: str, elastic_net: float = 0.5, iterations: int = 50, regularization: float = 0.0,
            **params) -> LinearRegression:
     """Linear regression; the elastic-net mix acts once the regularization is above 0."""
     return LinearRegression(labelCol=label, elasticNetParam=elastic_net, maxIter=iterations,

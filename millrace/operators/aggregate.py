@@ -10,23 +10,32 @@ from pyspark.sql import functions as F
 Aggregate = Callable[[Column], Column]
 
 
-def exact_sum(column: Column | str, scale: int = 2) -> Column:
-    """Sum of values with ``scale`` decimal places that does not depend on the order of the rows.
+def exact_sum(column: Column | str, scale: int) -> Column:
+    """Sum of values with at most ``scale`` decimal places that does not depend on the order of the rows.
 
-    Added up as whole numbers of the smallest unit, which is exact and stays in
-    generated code. In ANSI mode, the default, a sum beyond 63 bits is an error.
+    Added up as decimals of 38 digits. A value with more places stops the query
+    instead of being rounded; NaN and infinities add up as doubles do. NULLs are
+    left out. For sums that may depend on the order in the last bits, use ``F.sum``.
     """
-    column = F.col(column) if isinstance(column, str) else column
-    units = F.sum(F.rint(column * F.lit(float(10 ** scale))).cast("bigint"))
-    return units.cast("double") / F.lit(float(10 ** scale))
+    column = (F.col(column) if isinstance(column, str) else column).cast("double")
+    finite = F.abs(column) < F.lit(float("inf"))
+    units = F.when(finite, column).cast(f"decimal(38,{scale})")
+    checked = F.when(units.cast("double") == column, units).when(
+        finite, F.raise_error(F.lit(f"a value has more than {scale} decimal places")).cast(f"decimal(38,{scale})"))
+    return F.coalesce(F.sum(F.when(~finite, column)), F.sum(checked).cast("double"))
 
 
-def exact_mean(column: Column | str, scale: int = 2) -> Column:
+def exact_mean(column: Column | str, scale: int) -> Column:
     """Mean of the known values, from the exact sum."""
     column = F.col(column) if isinstance(column, str) else column
     return exact_sum(column, scale) / F.nullif(F.count(column), F.lit(0))
 
 
+def rounded_mean(digits: int = 6) -> Aggregate:
+    """Mean as an aggregate whose result, not its input, is rounded."""
+    return lambda column: F.round(F.avg(column), digits)
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = (), id_suffix: str | None = None) -> list[str]:
     """Numeric columns by schema, without the excluded ones and those with an id suffix."""
     kinds = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -76,6 +85,14 @@ def distinct_count(df: DataFrame, keys: Sequence[str], column: str, name: str) -
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), F.count_distinct(column).alias(name))
 
 
+def pivot_values(df: DataFrame, column: str, most: int = 1000) -> list:
+    """The values of a column for a pivot, in order; more than ``most`` are an error, none is left out."""
+    found = [r[0] for r in df.select(column).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values; use the long form")
+    return sorted(found, key=lambda v: (v is None, v))
+
+
 def pivot_aggregate(df: DataFrame, keys: Sequence[str], column: str, values: Sequence,
                     aggregates: Sequence[Column]) -> DataFrame:
     """Pivot over given values; naming them saves the pass that would look for them."""

@@ -99,37 +99,67 @@ def salt_sides(left: DataFrame, right: DataFrame, key: str, salts: int = 16, sup
     return salted, repeated
 
 
-def join_prepartitioned(left: DataFrame, right: DataFrame, key: str, partitions: int | None = None,
-                        how: str = "inner", salts: int | None = None, support: float = 0.02) -> DataFrame:
-    """Hash both sides on the join key first, so the join adds no exchange of its own.
+def salt_by_share(left: DataFrame, right: DataFrame, key: str, target_rows: int = 1_000_000,
+                  salt_name: str = "_salt") -> tuple[DataFrame, DataFrame]:
+    """Spread each key of ``left`` that has more than ``target_rows`` rows over as many salts as it needs.
 
-    Adaptive skew handling leaves explicit partitionings alone; ``salts``
-    spreads hot keys of the left side instead.
+    The list of such keys has at most rows / target_rows entries. A key that is
+    that frequent on the right as well would have all of it repeated per salt, so
+    it is refused: aggregate or split one side first.
     """
-    if salts and how not in _SALTED_TYPES:
+    def large(df: DataFrame) -> DataFrame:
+        return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > target_rows))
+    salts = F.ceil(F.col("_n") / target_rows).cast("int").alias("_salts")
+    hot = materialize(large(left).select(F.col(key).alias("_hot"), salts), "hot-keys")
+    both = large(right).join(hot, F.col(key) == F.col("_hot"), "leftsemi").limit(5).collect()
+    if both:
+        raise ValueError(f"keys frequent on both sides: {[r[0] for r in both]}")
+    hot = checked_broadcast(hot)
+    salted = (left.join(hot, F.col(key) == F.col("_hot"), "left")
+              .withColumn(salt_name, F.coalesce(F.pmod(spread(left), F.col("_salts")).cast("int"), F.lit(0)))
+              .drop("_hot", "_salts"))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    repeated = (right.join(hot, F.col(key) == F.col("_hot"), "left")
+                .withColumn(salt_name, F.explode(copies)).drop("_hot", "_salts"))
+    return salted, repeated
+
+
+def _salted(left: DataFrame, right: DataFrame, key: str, how: str, salts: int | None, support: float,
+            target_rows: int | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    if (salts or target_rows) and how not in _SALTED_TYPES:
         raise ValueError(f"salting repeats the right side, which a {how} join cannot have")
-    keys = [key]
+    if target_rows:
+        return *salt_by_share(left, right, key, target_rows), [key, "_salt"]
     if salts:
-        left, right = salt_sides(left, right, key, salts, support)
-        keys = [key, "_salt"]
+        return *salt_sides(left, right, key, salts, support), [key, "_salt"]
+    return left, right, [key]
+
+
+def join_prepartitioned(left: DataFrame, right: DataFrame, key: str, partitions: int | None = None,
+                        how: str = "inner", salts: int | None = None, support: float = 0.02,
+                        target_rows: int | None = None) -> DataFrame:
+    """Hash both sides on the join key first, so the join adds no exchange of its own.
+
+    Adaptive skew handling leaves explicit partitionings alone. ``target_rows``
+    spreads every key of the left side beyond that size by its counted share;
+    ``salts`` spreads the keys beyond ``support`` evenly.
+    """
+    left, right, keys = _salted(left, right, key, how, salts, support, target_rows)
     count = [partitions] if partitions else []
     joined = left.repartition(*count, *keys).join(right.repartition(*count, *keys), keys, how)
     return joined.drop("_salt")
 
 
 def join_bucketed(left: DataFrame, right: DataFrame, key: str, buckets: int, how: str = "inner",
-                  salts: int | None = None, support: float = 0.02, label: str = "bucketed") -> DataFrame:
+                  salts: int | None = None, support: float = 0.02, label: str = "bucketed",
+                  target_rows: int | None = None) -> DataFrame:
     """Store both sides bucketed alike and join the stored tables without any exchange.
 
-    Worth it when the tables are joined more than once. With ``salts`` the
-    bucket key is (key, salt), so a hot key fills several buckets.
+    Worth it when the tables are joined more than once. With ``target_rows`` or
+    ``salts`` the bucket key is (key, salt), so a hot key fills several buckets.
     """
-    if salts and how not in _SALTED_TYPES:
-        raise ValueError(f"salting repeats the right side, which a {how} join cannot have")
-    keys = [key]
-    if salts:
-        left, right = salt_sides(left, right, key, salts, support)
-        keys = [key, "_salt"]
+    left, right, keys = _salted(left, right, key, how, salts, support, target_rows)
     sides = []
     for side in (left, right):
         name = new_name(label)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from math import ceil, inf
+from math import ceil, inf, log2
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +19,13 @@ def partition_report(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def partition_summary(df: DataFrame) -> DataFrame:
+    """One row: partitions that have rows, rows of the smallest and the largest, and all rows."""
+    return partition_report(df).agg(
+        F.count(F.lit(1)).alias("partitions"), F.coalesce(F.min("rows"), F.lit(0)).alias("least"),
+        F.coalesce(F.max("rows"), F.lit(0)).alias("most"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
 def partition_count(df: DataFrame) -> int:
     """Number of physical partitions of a batch frame."""
     return df.rdd.getNumPartitions()
@@ -26,8 +33,10 @@ def partition_count(df: DataFrame) -> int:
 
 def target_files(spark: SparkSession, path: str, target_bytes: int) -> int:
     """How many files of ``target_bytes`` the data below ``path`` fills."""
-    total = file_sizes(spark, path).agg(F.sum("length")).first()[0] or 0
-    return max(1, ceil(total / target_bytes))
+    found = file_sizes(spark, path).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("total")).first()
+    if not found.files:
+        raise ValueError(f"no data files below {path}")
+    return max(1, ceil(found.total / target_bytes))
 
 
 def compact(spark: SparkSession, path: str, new_path: str, target_bytes: int = 256 << 20,
@@ -47,44 +56,74 @@ def compact(spark: SparkSession, path: str, new_path: str, target_bytes: int = 2
     return spark.read.parquet(new_path)
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number for a column: the leading bytes stand for a string."""
-    kind = dict(df.dtypes)[name]
-    if kind == "string":
-        leading = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(leading, 16, 10).cast("double")
+def _as_number(column: Column, kind: str) -> Column:
+    """An order-preserving number for a column that is not text."""
     if kind.startswith("timestamp") or kind == "date":
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    return F.col(name).cast("double")
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    return column.cast("double")
+
+
+def _text_cuts(df: DataFrame, name: str, slots: int) -> list[str]:
+    """Values that cut a text column into about ``slots`` equal parts, compared as whole strings.
+
+    Spark's range partitioning finds them from a sample; they only shape the layout.
+    """
+    ranged = df.where(F.col(name).isNotNull()).select(name).repartitionByRange(slots, name)
+    firsts = ranged.groupBy(F.spark_partition_id()).agg(F.min(name).alias("cut"))
+    return sorted(r.cut for r in firsts.collect())[1:]
 
 
-def with_z_value(df: DataFrame, columns: Sequence[str], name: str, bits: int = 6, accuracy: int = 1000) -> DataFrame:
+def _text_slot(column: Column, cuts: list[str], step: int = 32) -> Column:
+    """How many cuts a value has reached: every ``step``-th cut first, then those in between."""
+    if not cuts:
+        return F.lit(0)
+    every, coarse = F.array(*[F.lit(c) for c in cuts]), F.array(*[F.lit(c) for c in cuts[::step]])
+    blocks = F.size(F.filter(coarse, lambda c: c <= column))
+    inside = F.size(F.filter(F.slice(every, F.greatest((blocks - 1) * step + 1, F.lit(1)), F.lit(step)),
+                             lambda c: c <= column))
+    return F.when(blocks == 0, F.lit(0)).otherwise((blocks - 1) * step + inside)
+
+
+def z_bits(partitions: int, columns: int) -> int:
+    """Bits per column: enough that every partition covers several slots of each column."""
+    return max(1, min(ceil(log2(max(2, partitions)) / columns) + 2, 62 // columns, 12))
+
+
+def with_z_value(df: DataFrame, columns: Sequence[str], name: str, bits: int = 6, accuracy: int = 10_000) -> DataFrame:
     """Add the bit-interleaved position of a row among the quantiles of the columns.
 
-    Quantiles instead of equal widths keep skewed columns useful. The driver
-    receives 2**bits - 1 cut points per column and nothing else.
+    Quantiles instead of equal widths keep skewed columns useful, and text is
+    ranked by its whole value. The driver receives 2**bits - 1 cut points per
+    column and nothing else. Unknown values share the last slot.
     """
     if not 1 <= bits * len(columns) <= 62:
         raise ValueError("the interleaved value has to fit 62 bits")
+    kinds = dict(df.dtypes)
+    slots: dict[str, Column] = {}
     steps = [i / 2 ** bits for i in range(1, 2 ** bits)]
-    numbers = {f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)}
-    numbered = df.withColumns(numbers)
-    found = numbered.agg(*[F.percentile_approx(n, steps, accuracy).alias(n) for n in numbers]).first()
-    splits = [[-inf, *sorted(set(found[n] or [0.0])), inf] for n in numbers]
-    ranks = [n + "_rank" for n in numbers]
-    ranked = Bucketizer(splitsArray=splits, inputCols=list(numbers), outputCols=ranks,
-                        handleInvalid="keep").transform(numbered)
-    value = F.lit(0).cast("long")
-    for index, (rank, split) in enumerate(zip(ranks, splits)):
+    numbers = {f"_n{i}": _as_number(F.col(c), kinds[c]) for i, c in enumerate(columns) if kinds[c] != "string"}
+    numbered = df.withColumns(numbers) if numbers else df
+    if numbers:
+        found = numbered.agg(*[F.percentile_approx(n, steps, accuracy).alias(n) for n in numbers]).first()
+        splits = {n: [-inf, *sorted(set(found[n] or [0.0])), inf] for n in numbers}
+        numbered = Bucketizer(splitsArray=list(splits.values()), inputCols=list(numbers),
+                              outputCols=[n + "_rank" for n in numbers], handleInvalid="keep").transform(numbered)
         # an unknown value has the bucket after the last and shares the last one here
-        slot = F.least(F.col(rank), F.lit(float(len(split) - 2))).cast("long")
+        slots = {n: F.least(F.col(n + "_rank"), F.lit(float(len(s) - 2))).cast("long") for n, s in splits.items()}
+    value = F.lit(0).cast("long")
+    for index, column in enumerate(columns):
+        if kinds[column] == "string":
+            cuts = _text_cuts(df, column, 2 ** bits)
+            slot = F.coalesce(_text_slot(F.col(column), cuts), F.lit(len(cuts))).cast("long")
+        else:
+            slot = slots[f"_n{index}"]
         for bit in range(bits):
             one = F.shiftright(slot, bit).bitwiseAND(F.lit(1))
             value = value.bitwiseOR(F.shiftleft(one, bit * len(columns) + index))
-    return ranked.withColumn(name, value).drop(*numbers, *ranks)
+    return numbered.withColumn(name, value).drop(*numbers, *[n + "_rank" for n in numbers])
 
 
-def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 6) -> DataFrame:
+def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int | None = None) -> DataFrame:
     """Cluster rows so that each partition covers a small range of all the columns at once.
 
     One column is a plain range sort. A row hash comes last in the range keys, so
@@ -93,6 +132,7 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None,
     count = [partitions] if partitions else []
     order = list(columns)
     marked = df.withColumn("_tie", spread(df))
+    bits = bits or z_bits(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(columns))
     if len(columns) > 1:
         marked = with_z_value(marked, columns, "_z", bits)
         order = ["_z", *columns]

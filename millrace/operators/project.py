@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,3 +83,8 @@ def spread(df: DataFrame) -> Column:
 def stable_row_id(columns: Sequence[str]) -> Column:
     """A 64-bit hash of the columns: the same on every run, equal for equal rows."""
     return F.xxhash64(*columns)
+
+
+def with_work_date(df: DataFrame, day: date, name: str = "work_date") -> DataFrame:
+    """Add the date that a run stands for; given by the caller, so that a later run gives the same rows."""
+    return df.withColumn(name, F.lit(day))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import anti_join
+from millrace.operators.project import hashable_columns
 from millrace.workspace import materialize
 
 VERSION = "_version"
@@ -98,20 +99,25 @@ def open_history(df: DataFrame, at: datetime, valid_from: str = "valid_from",
 
 
 def scd2_apply(history: DataFrame, changes: DataFrame, keys: Sequence[str], at: datetime,
-               compare: Sequence[str] = (), valid_from: str = "valid_from", valid_to: str = "valid_to"
-               ) -> DataFrame:
+               compare: Sequence[str] = (), valid_from: str = "valid_from", valid_to: str = "valid_to",
+               skip_null_keys: bool = False) -> DataFrame:
     """Close the open version of each changed key and open a new one from ``at`` on.
 
     Keys without an open version get their first. With ``compare``, a key whose
     listed columns are all unchanged keeps its version. Applying the same
     changes at the same time again changes nothing; a change that lies before
-    the open version is an error, as are two changes of one key. The changes are
+    the open version is an error, as are two changes of one key and a change without
+    a key; with ``skip_null_keys`` changes without a key are left out. The changes are
     stored on the way, so a small set of them is sent to the history and the
     history is never shuffled for it.
     """
     start, end = moment(at), moment(OPEN_END)
     compared = [c for c in compare if c not in keys]
-    staged = materialize(unique_by_key(changes, keys), "scd-changes")
+    unknown = F.lit(False)
+    for key in keys:
+        unknown = unknown | F.col(key).isNull()
+    named = changes.where(~unknown) if skip_null_keys else changes.where(_fail_if(unknown, "a change has no key"))
+    staged = materialize(unique_by_key(named, keys), "scd-changes")
     current = _touched(history.where(F.col(valid_to) == end), staged, keys, [*keys, valid_from, *compared])
     current = current.select(*[F.col(c).alias("_c_" + c) for c in current.columns])
     began = F.col("_c_" + valid_from)
@@ -135,7 +141,8 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
           timestamp: datetime | None = None) -> DataFrame:
     """State of a change log at a version or a time: the last change per key, deletions left out.
 
-    A version holds at most one change per key. Later versions are cut off at
+    ``append_version`` with keys sees to it that a version holds one change per key;
+    in other logs the later time and then a hash of the row decide. Later versions are cut off at
     the scan, and the rank limit keeps one row per key and task before the shuffle.
     """
     if (version is None) == (timestamp is None):
@@ -144,7 +151,8 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
         seen = log.where(F.col(VERSION) <= F.lit(version))
     else:
         seen = log.where(F.col(TIME) <= moment(timestamp))
-    latest = Window.partitionBy(*keys).orderBy(F.desc(VERSION))
+    latest = Window.partitionBy(*keys).orderBy(
+        F.desc(VERSION), F.desc(TIME), F.desc(F.xxhash64(*hashable_columns(log))))
     return (seen.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1)
             .where(F.col(OP) != DELETE).drop("_rank"))
 

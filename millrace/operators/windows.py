@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.workspace import materialize
 
-#: Largest group that a plain window may sort in one task.
-GROUP_BUDGET = 2_000_000
-
 
 def _match(keys: Sequence[str], prefix: str) -> Column:
     condition = F.lit(True)
@@ -58,12 +55,6 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: str, total: Column
         share_name, F.col(value).cast("double") / F.nullif(F.col(total_name), F.lit(0.0)).cast("double"))
 
 
-def fits_budget(df: DataFrame, keys: Sequence[str], budget: int) -> bool:
-    """Is every group small enough for one task? One counting pass over the keys."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return (counted.agg(F.max("n")).first()[0] or 0) <= budget
-
-
 def _in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], label: str,
                blocks: int | None) -> DataFrame:
     """Cut the data into ordered blocks: rows equal in keys and order share a block.
@@ -87,45 +78,33 @@ def _with_offset(blocks: DataFrame, keys: Sequence[str], per_block: Column) -> D
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
-                budget: int = GROUP_BUDGET, blocks: int | None = None) -> DataFrame:
-    """Number the rows of each group in a total ``order``, from 1.
+                blocks: int | None = None) -> DataFrame:
+    """Number the rows of each group in a total ``order``, from 1, block by block.
 
-    When a group is above ``budget`` rows, all are numbered block by block.
+    Without keys all rows are one group; it is never sorted in one task.
     """
-    if fits_budget(df, keys, budget):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-                             .cast("long"))
     cut = _with_offset(_in_blocks(df, keys, order, "numbered", blocks), keys, F.count(F.lit(1)))
     within = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*order))
     return cut.withColumn(name, within + F.coalesce(F.col("_before"), F.lit(0))).drop("_block", "_before")
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
-                budget: int = GROUP_BUDGET, blocks: int | None = None) -> DataFrame:
+                blocks: int | None = None) -> DataFrame:
     """Sum of ``value`` over the group up to and including the row; rows that tie share the result.
 
-    When a group is above ``budget`` rows, the sums run block by block; when
-    even one order value of a group is, rows are reduced to one per order value
-    before that. So neither a hot group nor a hot order value meets in one task.
-    ``value`` should be a decimal for a result that does not depend on the order
-    of addition.
+    Rows are first reduced to one per order value, before any shuffle, and those
+    are summed block by block, so neither a hot group nor a hot order value meets in
+    one task. The plan and the output type, that of ``sum``, are the same for every
+    size. ``value`` should be a decimal for a result that does not depend on the
+    order of addition.
     """
-    if fits_budget(df, keys, budget):
-        return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order)))
     marks = [*keys, order]
-    if fits_budget(df, marks, budget):
-        return _sum_by_block(df, keys, order, value, name, blocks)
+    kind = df.select(F.sum(value).alias("_value")).schema["_value"].dataType
     points = df.groupBy(*marks).agg(F.sum(value).alias("_value"))
-    summed = _sum_by_block(points, keys, order, F.col("_value"), name, blocks)
-    summed = summed.select(*[F.col(m).alias("_p_" + m) for m in marks], name)
-    return df.join(summed, _match(marks, "_p_"), "left").drop(*["_p_" + m for m in marks])
-
-
-def _sum_by_block(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
-                  blocks: int | None) -> DataFrame:
-    cut = _with_offset(_in_blocks(df, keys, [F.col(order)], "running", blocks), keys, F.sum(value))
-    within = F.sum(value).over(Window.partitionBy(*keys, "_block").orderBy(order))
+    cut = _with_offset(_in_blocks(points, keys, [F.col(order)], "running", blocks), keys, F.sum("_value"))
+    within = F.sum("_value").over(Window.partitionBy(*keys, "_block").orderBy(order))
     # A block or prefix without any known value adds nothing, but all-NULL so far stays NULL.
-    total = F.when(within.isNull(), F.col("_before")).otherwise(
-        within + F.coalesce(F.col("_before"), F.lit(0)))
-    return cut.withColumn(name, total).drop("_block", "_before")
+    total = F.when(within.isNull(), F.col("_before")).otherwise(within + F.coalesce(F.col("_before"), F.lit(0)))
+    summed = cut.select(*[F.col(m).alias("_p_" + m) for m in marks], total.cast(kind).alias(name))
+    summed = materialize(summed, "sums")
+    return df.join(summed, _match(marks, "_p_"), "left").drop(*["_p_" + m for m in marks])

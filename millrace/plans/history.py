@@ -91,11 +91,11 @@ def _log(t):
     """Three versions of the orders: all inserted, open ones updated, final urgent ones deleted."""
     path = new_path(t.spark, "order-log")
     orders = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
-    change_log.append_version(orders, path, 1, "insert", datetime(2024, 1, 1))
+    change_log.append_version(orders, path, 1, "insert", datetime(2024, 1, 1), ["o_orderkey"])
     change_log.append_version(orders.where("o_orderstatus = 'O'").withColumn(
-        "o_totalprice", F.col("o_totalprice") * 0.5), path, 2, "update", datetime(2024, 1, 2))
+        "o_totalprice", F.col("o_totalprice") * 0.5), path, 2, "update", datetime(2024, 1, 2), ["o_orderkey"])
     change_log.append_version(orders.where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"),
-                              path, 3, U.DELETE, datetime(2024, 1, 3))
+                              path, 3, U.DELETE, datetime(2024, 1, 3), ["o_orderkey"])
     return change_log.read_log(t.spark, path)
 
 

@@ -13,7 +13,7 @@ from millrace.plans.relational import sql_mean, sql_sum
 from millrace.sources import readers as R
 from millrace.sources.readers import named_view
 from millrace.sources.writers import write_csv, write_parquet
-from millrace.workspace import new_path
+from millrace.workspace import materialize, new_path
 
 
 def group_maxima(df, key):
@@ -50,7 +50,7 @@ def etl_clean(t):
 
 
 def _wide(t):
-    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return materialize(t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")), "wide")
 
 
 @query("star_split", "JOB3", """
@@ -79,7 +79,7 @@ def _cases(t):
     SELECT o_orderpriority, {sql_sum('o_totalprice')} AS amount FROM orders WHERE o_orderstatus = 'F'
     GROUP BY 1 ORDER BY 2 DESC""")
 def loss_by_category(t):
-    return (_cases(t).groupBy("o_orderpriority").agg(A.exact_sum("o_totalprice").alias("amount"))
+    return (_cases(t).groupBy("o_orderpriority").agg(A.exact_sum("o_totalprice", 2).alias("amount"))
             .orderBy(F.desc("amount")))
 
 
@@ -129,7 +129,7 @@ def yearly_summary(t):
     FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def top_k_stats(t):
     stats = t.orders.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("orders"), A.exact_mean("o_totalprice").alias("mean"),
+        F.count(F.lit(1)).alias("orders"), A.rounded_mean()(F.col("o_totalprice")).alias("mean"),
         F.max("o_totalprice").alias("highest"), F.min("o_totalprice").alias("lowest"),
         F.min("o_orderdate").alias("first_day"))
     return top_k(stats, 10, F.desc("orders"), F.asc("o_custkey"))

@@ -12,6 +12,7 @@ from millrace.operators.project import rename_columns
 from millrace.plans.registry import query
 from millrace.plans.relational import MONEY, sql_sum
 from millrace.sources.readers import named_view
+from millrace.workspace import materialize
 
 
 def _orders_on_custkey(t):
@@ -45,7 +46,9 @@ def join_left(t):
     JOIN (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1) USING (o_orderpriority)""")
 def join_using_sql(t):
     orders = named_view(t.orders)
-    counted = named_view(t.spark.sql(f"SELECT o_orderpriority, count(*) AS n FROM {orders} GROUP BY 1"))
+    # staged, so that a few groups are sent to the orders and the orders are not shuffled onto a few keys
+    counted = named_view(materialize(t.spark.sql(
+        f"SELECT o_orderpriority, count(*) AS n FROM {orders} GROUP BY 1"), "priorities"))
     return t.spark.sql(f"""SELECT o_orderkey, o_orderpriority, o_totalprice, n AS orders_of_priority
                            FROM {orders} JOIN {counted} USING (o_orderpriority)""")
 
@@ -60,16 +63,13 @@ def join_on_condition(t):
 
 
 @query("join_disambiguated", "JN5", """
-    SELECT c_nationkey AS nationkey, c_name AS name, s_name AS s_name, c_acctbal AS acctbal, s_acctbal AS s_acctbal
-    FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_acctbal < s_acctbal
-    WHERE s_acctbal > 9000""")
+    SELECT c_custkey AS custkey, c_nationkey AS nationkey, c_name AS name, n_name AS nation_name
+    FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def join_disambiguated(t):
-    customers = t.customer.select(F.col("c_nationkey").alias("nationkey"), F.col("c_name").alias("name"),
-                                  F.col("c_acctbal").alias("acctbal"))
-    suppliers = t.supplier.where("s_acctbal > 9000").select(
-        F.col("s_nationkey").alias("nationkey"), F.col("s_name").alias("name"),
-        F.col("s_acctbal").alias("acctbal"))
-    return J.join_prefixed(customers, suppliers, ["nationkey"], "s_").where("acctbal < s_acctbal")
+    customers = t.customer.select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"),
+                                  F.col("c_name").alias("name"))
+    nations = t.nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("name"))
+    return J.join_prefixed(customers, J.checked_broadcast(nations), ["nationkey"], "nation_")
 
 
 @query("join_semi", "JN6 JN8", """
@@ -80,6 +80,15 @@ def join_semi(t):
     return J.semi_join(_customers_on_custkey(t).select("custkey", "c_name"), large, ["custkey"])
 
 
+@query("join_distinct_inner", "JN8", """
+    SELECT c_custkey AS custkey, c_name FROM customer
+    WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)""")
+def join_distinct_inner(t):
+    # the same rows as the semi join: distinct keys cannot multiply the left side
+    large = _orders_on_custkey(t).where("o_totalprice > 450000").select("custkey").distinct()
+    return _customers_on_custkey(t).select("custkey", "c_name").join(large, "custkey")
+
+
 @query("join_anti", "JN7", """
     SELECT c_custkey AS custkey, c_name FROM customer
     WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)""")
@@ -105,7 +114,7 @@ def join_broadcast(t):
     SELECT o_custkey AS custkey, count(*) AS orders, count(DISTINCT o_orderpriority) AS priorities
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def join_prepartitioned(t):
-    joined = J.join_prepartitioned(_orders_on_custkey(t), _customers_on_custkey(t), "custkey")
+    joined = J.join_prepartitioned(_orders_on_custkey(t), _customers_on_custkey(t), "custkey", target_rows=1_000_000)
     return joined.groupBy("custkey").agg(F.count(F.lit(1)).alias("orders"),
                                          F.count_distinct("o_orderpriority").alias("priorities"))
 
@@ -119,7 +128,8 @@ def join_salted(t):
 
 @query("bucketed_join", "JN13 SNK9 SNK10", _JOINED)
 def bucketed_join(t):
-    joined = J.join_bucketed(_orders_on_custkey(t), _customers_on_custkey(t), "custkey", buckets=8)
+    joined = J.join_bucketed(_orders_on_custkey(t), _customers_on_custkey(t), "custkey", buckets=8,
+                             target_rows=1_000_000)
     return joined.select("custkey", "o_orderkey", "o_totalprice", "c_name", "c_mktsegment")
 
 
@@ -141,7 +151,8 @@ def star_join_top_k(t):
     counted = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     # at most k rows, so the broadcast has a bound; the orders shrink before they meet the line items
     best = F.broadcast(top_k(counted, 20, F.desc("n"), F.asc("o_custkey")).select("o_custkey"))
-    wanted = orders.join(best, "o_custkey", "leftsemi")
+    # staged, so that its true size decides and the line items are not shuffled for a few orders
+    wanted = J.checked_broadcast(materialize(orders.join(best, "o_custkey", "leftsemi"), "wanted"))
     parts = J.checked_broadcast(t.part.select("p_partkey", "p_type"))
     lines = (t.lineitem.select("l_orderkey", "l_partkey")
              .join(wanted, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -151,9 +162,9 @@ def star_join_top_k(t):
 
 @query("agg_then_join", "JN15 ST18", f"""
     SELECT c_name, volume FROM customer
-    JOIN (SELECT user_id, round({sql_sum('value')}, 2) AS volume FROM events GROUP BY 1) ON user_id = c_custkey""")
+    JOIN (SELECT user_id, {sql_sum('value')} AS volume FROM events GROUP BY 1) ON user_id = c_custkey""")
 def agg_then_join(t):
-    volumes = t.events.groupBy("user_id").agg(F.round(A.exact_sum("value"), 2).alias("volume"))
+    volumes = t.events.groupBy("user_id").agg(F.round(F.sum("value"), 2).alias("volume"))
     return volumes.join(t.customer, F.col("user_id") == F.col("c_custkey")).select("c_name", "volume")
 
 
@@ -163,7 +174,7 @@ def agg_then_join(t):
     WHERE o_orderpriority = '2-HIGH'""")
 def join_filtered(t):
     orders = t.orders.select("o_orderkey", "o_orderpriority")
-    priciest = t.orders.groupBy("o_orderpriority").agg(F.max("o_totalprice").alias("priciest"))
+    priciest = materialize(t.orders.groupBy("o_orderpriority").agg(F.max("o_totalprice").alias("priciest")), "priciest")
     return J.join_on_keys(orders, priciest, "o_orderpriority").where("o_orderpriority = '2-HIGH'")
 
 
@@ -181,8 +192,8 @@ def _orders_with_amount(t):
 
 
 _RUNNING = """
-    SELECT o_orderkey, o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (
-        PARTITION BY o_orderpriority ORDER BY o_orderdate) AS DOUBLE) AS running FROM orders"""
+    SELECT o_orderkey, o_orderpriority, round(sum(o_totalprice) OVER (
+        PARTITION BY o_orderpriority ORDER BY o_orderdate), 2) AS running FROM orders"""
 
 
 def _running(t, **limits):
@@ -198,7 +209,7 @@ def running_sum(t):
 
 @query("running_sum_blocks", "WIN1", _RUNNING)
 def running_sum_blocks(t):
-    return _running(t, budget=0, blocks=16)
+    return _running(t, blocks=16)
 
 
 _NUMBERED = """
@@ -219,19 +230,17 @@ def row_numbers(t):
 
 @query("row_numbers_blocks", "WIN2", _NUMBERED)
 def row_numbers_blocks(t):
-    return _numbered(t, budget=0, blocks=16)
+    return _numbered(t, blocks=16)
 
 
 @query("partition_totals", "WIN3 WIN5", """
     SELECT o_orderkey, o_totalprice,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderpriority, o_orderstatus)
-                AS DOUBLE) AS total_priority_status,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderpriority) AS DOUBLE)
-               AS total_priority
+           round(sum(o_totalprice) OVER (PARTITION BY o_orderpriority, o_orderstatus), 2) AS total_priority_status,
+           round(sum(o_totalprice) OVER (PARTITION BY o_orderpriority), 2) AS total_priority
     FROM orders""")
 def partition_totals(t):
     source = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
-    total = A.exact_sum("o_totalprice")
+    total = A.exact_sum("o_totalprice", 2)
     attached = W.partition_aggregates(
         source, (["o_orderpriority", "o_orderstatus"], [total.alias("total_priority_status")]),
         (["o_orderpriority"], [total.alias("total_priority")]))
@@ -241,10 +250,25 @@ def partition_totals(t):
 @query("share_of_total", "WIN4 JOB5", """
     SELECT o_orderkey, o_orderpriority, o_totalprice, total,
            o_totalprice / total AS share FROM (
-        SELECT *, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderpriority) AS DOUBLE)
-            AS total
+        SELECT *, round(sum(o_totalprice) OVER (PARTITION BY o_orderpriority), 2) AS total
         FROM orders WHERE o_orderstatus = 'F')""")
 def share_of_total(t):
     cases = t.orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return W.share_of_total(cases, ["o_orderpriority"], "o_totalprice", A.exact_sum("o_totalprice"),
+    return W.share_of_total(cases, ["o_orderpriority"], "o_totalprice", A.exact_sum("o_totalprice", 2),
                             "total", "share")
+
+
+_AMENDED = ("o_totalprice", "total_priority_status", "total_priority")
+
+
+@query("amended_aggs", "JOB10", "SELECT " + ", ".join(
+    f"round(avg({c}), 4) AS {c}_avg, max({c}) AS {c}_max, min({c}) AS {c}_min" for c in _AMENDED) + """ FROM (
+    SELECT o_totalprice, round(sum(o_totalprice) OVER (PARTITION BY o_orderpriority, o_orderstatus), 2)
+               AS total_priority_status,
+           round(sum(o_totalprice) OVER (PARTITION BY o_orderpriority), 2) AS total_priority FROM orders)""")
+def amended_aggs(t):
+    """Figures of every numeric column of the frame with its totals, but not of the row id."""
+    amended = partition_totals(t)
+    columns = A.numeric_columns(amended, id_suffix="key")
+    functions = {"avg": A.rounded_mean(4), "max": F.max, "min": F.min}
+    return A.group_aggregate(amended, [], A.build_aggregates(columns, functions))

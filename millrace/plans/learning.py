@@ -128,3 +128,40 @@ def ml_stages_validated(t):
     path = new_path(t.spark, "best-model")
     M.store(fitted.bestModel, path)
     return M.predict(M.load(path), t.part, ["p_partkey", "p_retailprice"])
+
+
+@query("ml_quantile_facts", "ML3", "SELECT 10 AS bins, count(*) AS rows, true AS is_even FROM orders")
+def ml_quantile_facts(t):
+    """Every bin is within twice the stated error of a tenth of the rows."""
+    sizes = ml_quantile_bins(t).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    rows = F.sum("n")
+    return sizes.agg(F.count(F.lit(1)).cast("int").alias("bins"), rows.alias("rows"),
+                     (F.greatest(F.max("n") - rows / 10, rows / 10 - F.min("n")) <= rows * 0.002 + 1).alias("is_even"))
+
+
+@query("ml_forest_facts", "ML7", "SELECT count(*) AS rows, true AS in_range, true AS better_than_mean FROM part")
+def ml_forest_facts(t):
+    """Predictions are means of labels, so they lie in the labels' range, and they beat the plain mean."""
+    error = F.col("p_retailprice") - F.col("prediction")
+    return ml_forest(t).agg(
+        F.count(F.lit(1)).alias("rows"),
+        ((F.min("prediction") >= F.min("p_retailprice")) & (F.max("prediction") <= F.max("p_retailprice"))).alias("in_range"),
+        (F.avg(error * error) < F.var_pop("p_retailprice")).alias("better_than_mean"))
+
+
+@query("ml_cross_validate_facts", "ML9", "SELECT 4 AS combinations, true AS is_score")
+def ml_cross_validate_facts(t):
+    """One score for each combination of two depths and two sizes, none above 1."""
+    scores = ml_cross_validate(t)
+    return scores.agg(F.count_distinct("params").cast("int").alias("combinations"), (F.max("score") <= 1).alias("is_score"))
+
+
+@query("ml_stored_facts", "ML10", "SELECT count(*) AS rows, 0 AS differences FROM part")
+def ml_stored_facts(t):
+    """The reloaded model predicts what the stored one does."""
+    model = M.chained(*_part_stages("p_retailprice")).fit(t.part)
+    path = new_path(t.spark, "stored-model")
+    M.store(model, path)
+    stored = M.predict(model, t.part, ["p_partkey"]).withColumnRenamed("prediction", "before")
+    both = stored.join(M.predict(M.load(path), t.part, ["p_partkey"]), "p_partkey")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") != F.col("prediction")).cast("int").alias("differences"))

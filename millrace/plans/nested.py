@@ -24,7 +24,17 @@ def split_words(t):
 
 
 #: Pages without a number in that place show as -1.
-_IDS = "SELECT page_id, coalesce(TRY_CAST(split_part(url, '/', 5) AS INTEGER), -1) AS url_id FROM pages"
+_IDS = """SELECT page_id, CASE WHEN regexp_full_match(split_part(url, '/', 5), '[0-9]+')
+                               THEN coalesce(TRY_CAST(split_part(url, '/', 5) AS INTEGER), -1) ELSE -1 END AS url_id
+          FROM (SELECT page_id, CASE page_id % 5 WHEN 1 THEN replace(url, 'en/', 'en/-') WHEN 2 THEN replace(url, 'en/', 'en/+')
+                                     WHEN 3 THEN replace(url, 'en/', 'en/ ') ELSE url END AS url FROM pages)"""
+
+
+def _odd_pages(t):
+    """The pages with signs and blanks before some of the numbers."""
+    rest = F.pmod("page_id", F.lit(5))
+    sign = F.when(rest == 1, "en/-").when(rest == 2, "en/+").when(rest == 3, "en/ ").otherwise("en/")
+    return t.pages.select("page_id", F.replace("url", F.lit("en/"), sign).alias("url"))
 
 
 def _known_id(column):
@@ -33,23 +43,23 @@ def _known_id(column):
 
 @query("extract_id", "STR2", _IDS)
 def extract_id(t):
-    return t.pages.select("page_id", _known_id(X.extract_id("url")))
+    return _odd_pages(t).select("page_id", _known_id(X.extract_id("url")))
 
 
 @query("udf_extract_id", "UDF1", _IDS)
 def udf_extract_id(t):
-    return t.pages.select("page_id", _known_id(U.id_udf()("url")))
+    return _odd_pages(t).select("page_id", _known_id(U.id_udf()("url")))
 
 
 @query("udf_sql", "UDF2", _IDS)
 def udf_sql(t):
     function = U.register_for_sql(t.spark)
-    return t.spark.sql(f"SELECT page_id, coalesce({function}(url), -1) AS url_id FROM {named_view(t.pages)}")
+    return t.spark.sql(f"SELECT page_id, coalesce({function}(url), -1) AS url_id FROM {named_view(_odd_pages(t))}")
 
 
 @query("pandas_udf_extract_id", "UDF3 UDF5", _IDS)
 def pandas_udf_extract_id(t):
-    return t.pages.select("page_id", _known_id(U.id_pandas_udf()("url")))
+    return _odd_pages(t).select("page_id", _known_id(U.id_pandas_udf()("url")))
 
 
 @query("pandas_udf_double", "UDF4", "SELECT p_partkey, p_retailprice * 2 AS twice FROM part")
@@ -104,18 +114,17 @@ def word_count(t):
 
 
 @query("collect_words", "AGG14", f"""
-    SELECT doc_id, array_to_string(list_sort(list_distinct({_WORDS})), '|') AS words FROM documents
-    WHERE len({_WORDS}) > 0""")
+    SELECT doc_id, array_to_string(list_sort(list_distinct({_WORDS})), '|') AS words FROM documents""")
 def collect_words(t):
     # grouped by parent row, so that a group is bounded by one text even where keys repeat
-    exploded = X.explode_words(t.documents, ["doc_id"], "text", parent="parent")
+    exploded = X.explode_words(t.documents, ["doc_id"], "text", parent="parent", keep_empty=True)
     return collect_joined(exploded, ["doc_id", "parent"], "word", "words").drop("parent")
 
 
 @query("renest_words", "ARR9 AGG14", f"""
-    SELECT doc_id, array_to_string({_WORDS}, ' ') AS joined FROM documents WHERE len({_WORDS}) > 0""")
+    SELECT doc_id, array_to_string({_WORDS}, ' ') AS joined FROM documents""")
 def renest_words(t):
-    exploded = X.explode_words(t.documents, ["doc_id"], "text", position="pos", parent="parent")
+    exploded = X.explode_words(t.documents, ["doc_id"], "text", position="pos", parent="parent", keep_empty=True)
     return X.renest_words(exploded, ["doc_id", "parent"], "word", "pos", "joined").drop("parent")
 
 

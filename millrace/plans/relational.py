@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregate as A
@@ -16,13 +18,13 @@ MONEY = "decimal(18,2)"
 
 
 def sql_mean(column: str) -> str:
-    """The exact mean in SQL."""
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE) / count({column})"
+    """The mean in SQL; the result is rounded, the values are not."""
+    return f"round(avg({column}), 6)"
 
 
 def sql_sum(column: str) -> str:
-    """The exact sum in SQL."""
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    """The sum in SQL; the result is rounded, the values are not."""
+    return f"round(sum({column}), 2)"
 
 
 # projections
@@ -95,7 +97,7 @@ def casts(t):
 @query("case_flags", "PRJ12 PRJ14 AGG17", """
     SELECT o_orderpriority, sum(CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END)::BIGINT AS large_orders,
            sum(CASE WHEN year(o_orderdate) > 1997 THEN 1 ELSE 0 END)::BIGINT AS recent_orders,
-           '2024-01-31' AS work_day
+           DATE '2024-01-31' AS work_day
     FROM orders GROUP BY o_orderpriority""")
 def case_flags(t):
     flagged = P.derive_columns(t.orders, {
@@ -103,7 +105,7 @@ def case_flags(t):
         "recent": P.flag(F.year("o_orderdate") > 1997)})
     return (flagged.groupBy("o_orderpriority")
             .agg(F.sum("large").alias("large_orders"), F.sum("recent").alias("recent_orders"))
-            .withColumn("work_day", F.lit("2024-01-31")))
+            .transform(P.with_work_date, date(2024, 1, 31), "work_day"))
 
 
 # filters and missing data
@@ -219,6 +221,23 @@ def sample_rows(t):
     return M.sample_rows(t.orders, 0.5, seed=42)
 
 
+@query("sample_facts", "FLT14", "SELECT true AS is_subset, true AS is_unique, true AS is_half")
+def sample_facts(t):
+    """The sample holds only given rows, each once, and its size is within five deviations of the half."""
+    sampled = sample_rows(t)
+    strangers = sampled.join(t.orders, list(t.orders.columns), "leftanti").agg(F.count(F.lit(1)))
+    total = t.orders.agg(F.count(F.lit(1))).scalar()
+    figures = sampled.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("keys"))
+    return figures.select((strangers.scalar() == 0).alias("is_subset"), (F.col("n") == F.col("keys")).alias("is_unique"),
+                          (F.abs(F.col("n") - total / 2) <= 5 * F.sqrt(total / 4)).alias("is_half"))
+
+
+@query("row_id_unique", "PRJ13", "SELECT count(*) AS rows, count(*) AS ids FROM lineitem")
+def row_id_unique(t):
+    return t.lineitem.select(P.unique_row_id().alias("id")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))
+
+
 @query("sample_stable", "FLT14", """
     SELECT o_orderkey, o_totalprice FROM orders
     WHERE CAST('0x' || substr(md5('s' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) < 2147483648""")
@@ -265,28 +284,32 @@ def group_all_numeric(t):
 
 
 @query("group_stats", "AGG6 AGG8 AGG18", f"""
-    SELECT l_returnflag, {sql_sum('l_quantity')} AS sum_qty, max(l_quantity) AS max_qty,
+    SELECT l_returnflag, {sql_sum('l_quantity')} AS sum_qty,
+           {sql_sum('l_extendedprice * (1 - l_discount)')} AS sum_net,
+           {sql_mean('l_extendedprice * (1 - l_discount) * (1 + l_tax)')} AS mean_charge, max(l_quantity) AS max_qty,
            min(l_quantity) AS min_qty, {sql_mean('l_extendedprice')} AS mean_price,
            max(l_extendedprice) AS max_price, avg(l_linenumber)::DOUBLE AS "avg(l_linenumber)"
     FROM lineitem GROUP BY l_returnflag""")
 def group_stats(t):
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     named = A.group_aggregate(t.lineitem, ["l_returnflag"], [
-        A.exact_sum("l_quantity").alias("sum_qty"), F.max("l_quantity").alias("max_qty"),
-        F.min("l_quantity").alias("min_qty"), A.exact_mean("l_extendedprice").alias("mean_price"),
+        A.exact_sum("l_quantity", 2).alias("sum_qty"),
+        F.round(F.sum(net), 2).alias("sum_net"), A.rounded_mean()(net * (1 + F.col("l_tax"))).alias("mean_charge"), F.max("l_quantity").alias("max_qty"),
+        F.min("l_quantity").alias("min_qty"), A.rounded_mean()(F.col("l_extendedprice")).alias("mean_price"),
         F.max("l_extendedprice").alias("max_price"), F.expr("avg(l_linenumber)")])
     return named
 
 
 @query("rounded_means", "AGG7 MTH1", f"""
-    SELECT l_linestatus, round({sql_mean('l_quantity')}, 2) AS qty, round({sql_mean('l_extendedprice')}, 1) AS price
+    SELECT l_linestatus, round(avg(l_quantity), 2) AS qty, round(avg(l_extendedprice), 1) AS price
     FROM lineitem GROUP BY l_linestatus
     UNION ALL
-    SELECT 'all' AS l_linestatus, round({sql_mean('l_quantity')}, 2) AS qty,
-           round({sql_mean('l_extendedprice')}, 1) AS price
+    SELECT 'all' AS l_linestatus, round(avg(l_quantity), 2) AS qty,
+           round(avg(l_extendedprice), 1) AS price
     FROM lineitem""")
 def rounded_means(t):
-    means = [F.round(A.exact_mean("l_quantity"), 2).alias("qty"),
-             F.round(A.exact_mean("l_extendedprice"), 1).alias("price")]
+    means = [F.round(F.avg("l_quantity"), 2).alias("qty"),
+             F.round(F.avg("l_extendedprice"), 1).alias("price")]
     grouped = A.group_aggregate(t.lineitem, ["l_linestatus"], means)
     overall = A.group_aggregate(t.lineitem, [], means).withColumn("l_linestatus", F.lit("all"))
     return O.union_all(grouped, overall)
@@ -307,7 +330,7 @@ _LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 def dynamic_aggs(t):
     lineitem = t.lineitem
     columns = A.numeric_columns(lineitem, exclude=["l_linenumber"], id_suffix="key")
-    functions = {"avg": A.exact_mean, "min": F.min, "max": F.max}
+    functions = {"avg": A.rounded_mean(), "min": F.min, "max": F.max}
     return A.group_aggregate(lineitem, ["l_returnflag"], A.build_aggregates(columns, functions))
 
 
@@ -323,12 +346,13 @@ def _when_mean(column: str, condition: str) -> str:
     f"max(CASE WHEN {w} THEN {c} END) AS {c}_max_{n}"
     for c in _LINE_MEASURES for n, w in _LINE_CONDITIONS.items()) + " FROM lineitem GROUP BY l_returnflag")
 def conditional_aggs(t):
-    functions = {"avg": A.exact_mean, "min": F.min, "max": F.max}
+    functions = {"avg": A.rounded_mean(), "min": F.min, "max": F.max}
     conditions = {"total": None, "open": F.col("l_linestatus") == "O", "filled": F.col("l_linestatus") == "F"}
     return A.group_aggregate(t.lineitem, ["l_returnflag"],
                              A.build_aggregates(_LINE_MEASURES, functions, conditions))
 
 
+#: The statuses of the given tables, for the SQL only.
 _STATUSES = ("F", "O", "P")
 
 
@@ -336,15 +360,15 @@ _STATUSES = ("F", "O", "P")
     _when_mean("o_totalprice", f"o_orderstatus = '{s}'") + f' AS "{s}"' for s in _STATUSES)
     + " FROM orders GROUP BY o_orderpriority")
 def pivot_mean(t):
-    return A.pivot_aggregate(t.orders, ["o_orderpriority"], "o_orderstatus", _STATUSES,
-                             [A.exact_mean("o_totalprice")])
+    return A.pivot_aggregate(t.orders, ["o_orderpriority"], "o_orderstatus", A.pivot_values(t.orders, "o_orderstatus"),
+                             [A.rounded_mean()(F.col("o_totalprice"))])
 
 
 @query("pivot_max", "AGG13", "SELECT o_orderpriority, " + ", ".join(
     f"max(CASE WHEN o_orderstatus = '{s}' THEN o_totalprice END) AS \"{s}\"" for s in _STATUSES)
     + " FROM orders GROUP BY o_orderpriority")
 def pivot_max(t):
-    return A.pivot_aggregate(t.orders, ["o_orderpriority"], "o_orderstatus", _STATUSES, [F.max("o_totalprice")])
+    return A.pivot_aggregate(t.orders, ["o_orderpriority"], "o_orderstatus", A.pivot_values(t.orders, "o_orderstatus"), [F.max("o_totalprice")])
 
 
 @query("first_by_order", "AGG15", """
@@ -377,7 +401,7 @@ def describe_numeric(t):
            count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P"
     FROM orders GROUP BY o_orderpriority""")
 def crosstab(t):
-    return S.crosstab_wide(t.orders, "o_orderpriority", "o_orderstatus", _STATUSES)
+    return S.crosstab_wide(t.orders, "o_orderpriority", "o_orderstatus", A.pivot_values(t.orders, "o_orderstatus"))
 
 
 @query("crosstab_pairs", "STA2", """

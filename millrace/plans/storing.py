@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.nested import at_path
+from millrace.functions.payload import json_array_files
 from millrace.operators import layout as L
 from millrace.operators.ordering import union_all
 from millrace.plans.registry import query
@@ -36,12 +38,14 @@ def scan_partitioned(t):
 
 
 @query("append_dedup", "SNK3 UP8", """
-    SELECT (SELECT 3 * count(*) FROM orders) AS appended, (SELECT count(*) FROM (SELECT DISTINCT * FROM orders))
+    SELECT (SELECT 4 * count(*) FROM orders) AS appended, (SELECT count(*) FROM (SELECT DISTINCT * FROM orders))
         AS remaining""")
 def append_dedup(t):
     path = new_path(t.spark, "orders-appended")
-    for _ in range(3):
-        S.write_parquet(t.orders, path, mode="append")
+    S.write_parquet(t.orders, path)
+    for _ in range(2):
+        # the table is appended to itself: the files to read are known before the new ones are written
+        S.write_parquet(R.parquet(t.spark, path), path, mode="append")
     stored = R.parquet(t.spark, path)
     unique = stored.dropDuplicates().agg(F.count(F.lit(1)).alias("n"))
     return stored.agg(F.count(F.lit(1)).alias("appended")).withColumn("remaining", unique.scalar())
@@ -93,18 +97,70 @@ def saved_table(t):
     return R.catalog_table(t.spark, name)
 
 
-@query("json_round_trip", "SRC12", """
-    SELECT event_id, user_id, event_type, value FROM events""")
+@query("json_round_trip", "SRC12", "SELECT * FROM events")
 def json_round_trip(t):
-    events = t.events.select("event_id", "user_id", "event_type", "value")
+    events = t.events
     path = new_path(t.spark, "events-json")
-    events.write.json(path)
-    return R.json(t.spark, path, schema=events.schema)
+    # the default format stops at milliseconds
+    micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    events.write.options(**micros).json(path)
+    return R.json(t.spark, path, schema=events.schema, **micros)
 
 
-@query("partition_report", "LAY8 D10", "SELECT count(*) AS rows FROM lineitem")
+@query("partition_report", "LAY8 D10", """
+    SELECT count(*) AS rows, 8 AS partitions, true AS within_bounds, true AS even FROM lineitem""")
 def partition_report(t):
-    return L.partition_report(t.lineitem.repartition("l_partkey")).agg(F.sum("rows").alias("rows"))
+    summary = L.partition_summary(t.lineitem.repartition(8))
+    mean = F.col("rows") / F.col("partitions")
+    return summary.select("rows", F.col("partitions").cast("int").alias("partitions"),
+                          ((F.col("least") <= mean) & (mean <= F.col("most"))).alias("within_bounds"),
+                          (F.col("most") <= 2 * mean).alias("even"))
+
+
+@query("scan_csv_plain", "SRC6", """
+    SELECT CAST(n_nationkey AS VARCHAR) AS _c0, n_name AS _c1, CAST(n_regionkey AS VARCHAR) AS _c2 FROM nation""")
+def scan_csv_plain(t):
+    path = new_path(t.spark, "nations-csv")
+    S.write_csv(t.nation, path, header=False)
+    return R.csv(t.spark, path)
+
+
+@query("scan_csv_inferred", "SRC7", """
+    SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
+def scan_csv_inferred(t):
+    path = new_path(t.spark, "suppliers-csv")
+    S.write_csv(t.supplier, path)
+    return R.csv(t.spark, path, header=True, infer=True)
+
+
+@query("scan_csv_dialect", "SRC9", "SELECT doc_id, text, lang FROM documents")
+def scan_csv_dialect(t):
+    # separator, quotes, escapes and line ends inside the texts have to survive
+    documents = t.documents.select("doc_id", "text", "lang")
+    path = new_path(t.spark, "documents-csv")
+    dialect = {"sep": ";", "quote": "'", "escape": "\\", "encoding": "UTF-8", "emptyValue": "''",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    S.write_csv(documents, path, **dialect)
+    return R.csv(t.spark, path, schema=documents.schema, header=True, multiLine=True, **dialect)
+
+
+@query("scan_json_documents", "SRC12 NST1 NST2", """
+    SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority,
+           row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity)::INT - 1 AS pos,
+           l_partkey AS part FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+def scan_json_documents(t):
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))).alias("lines"))
+    head = F.struct("o_orderkey", F.struct("o_orderstatus", "o_orderpriority").alias("state")).alias("head")
+    documents = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.struct(head, "lines").alias("document"))
+    path = new_path(t.spark, "order-documents")
+    json_array_files(documents, "document").write.text(path)
+    scanned = R.json(t.spark, path, multi_line=True)
+    return scanned.select(
+        F.col("head.o_orderkey").alias("o_orderkey"), at_path("head", "state", "o_orderstatus").alias("status"),
+        at_path("head", "state", "o_orderpriority").alias("priority"),
+        F.posexplode(F.col("lines.l_partkey")).alias("pos", "part"))
 
 
 @query("union_of_files", "SRC10 SRC13", """

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.text import time_key
-from millrace.operators.aggregate import exact_sum
 from millrace.plans.nested import DECODED_LINES, decoded_lines, line_messages
 from millrace.plans.registry import query
 from millrace.streaming import io, jobs
@@ -80,12 +79,12 @@ def stream_decode_sink(t):
 
 
 @query("stream_partitioned_sink", "ST13", """
-    SELECT event_id, user_id, value, strftime(ts, '%Y%m%d%H%M') AS minute, strftime(ts, '%Y%m%d') AS day
+    SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y%m%d%H%M') AS minute, strftime(ts, '%Y%m%d') AS day
     FROM events""")
 def stream_partitioned_sink(t):
     # the minute stays a column and the day is the folder: a folder per minute makes tiny files
-    keyed = _event_stream(t).select("event_id", "user_id", "value", time_key("ts").alias("minute"),
-                                    time_key("ts", "yyyyMMdd").alias("day"))
+    keyed = _event_stream(t).select("event_id", "user_id", "event_type", "value", "props",
+                                    time_key("ts").alias("minute"), time_key("ts", "yyyyMMdd").alias("day"))
     path = new_path(t.spark, "events-by-day")
     io.finish(io.to_files(keyed, path, _checkpoint(t), partition_by=["day"]))
     return t.spark.read.schema(keyed.schema).parquet(path)
@@ -98,7 +97,7 @@ def stream_partitioned_sink(t):
     HAVING window_end <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE""")
 def two_stage_stream(t):
     raw, closed = new_path(t.spark, "raw-events"), new_path(t.spark, "closed-windows")
-    first = _event_stream(t).select("user_id", "ts")
+    first = _event_stream(t)
     io.finish(io.to_files(first, raw, _checkpoint(t)))
     second = io.file_stream(t.spark, "parquet", raw, first.schema)
     counted = jobs.windowed(second, ["user_id"], "ts", "5 minutes", [F.count(F.lit(1)).alias("count")],
@@ -109,10 +108,51 @@ def two_stage_stream(t):
 
 @query("stream_static_join", "JN16 ST16", """
     SELECT c_name, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
-           round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE), 2) AS volume
+           round(sum(value), 2) AS volume
     FROM events JOIN customer ON user_id = c_custkey GROUP BY 1, 2""")
 def stream_static_join(t):
     joined = jobs.windowed_with_dimension(
-        _event_stream(t), "user_id", "ts", "5 minutes", [F.round(exact_sum("value"), 2).alias("volume")],
+        _event_stream(t), "user_id", "ts", "5 minutes", [F.round(F.sum("value"), 2).alias("volume")],
         t.customer, "c_custkey", ["c_name"], [F.desc("volume"), F.asc("c_name")])
     return _snapshot(t, joined.select("c_name", "window_start", "volume"))
+
+
+@query("stream_memory", "ST10", "SELECT event_type, count(*) AS count FROM events GROUP BY 1")
+def stream_memory(t):
+    # five groups, so the preview on the driver has a bound
+    name = new_name("preview")
+    io.finish(io.to_memory(jobs.grouped_counts(_event_stream(t), ["event_type"]), name))
+    return t.spark.sql(f"SELECT event_type, count FROM {name}")
+
+
+def _late(t):
+    """Every tenth event arrives in a second file, after the others."""
+    return F.col("event_id") % 10 == 0
+
+
+@query("stream_restart", "ST8", "SELECT * FROM events")
+def stream_restart(t):
+    source, sink, progress = (new_path(t.spark, label) for label in ("arrivals", "restarted", "stream-progress"))
+    for arrived in (~_late(t), _late(t)):
+        t.events.where(arrived).write.mode("append").parquet(source)
+        stream = io.file_stream(t.spark, "parquet", source, t.events.schema)
+        io.finish(io.to_files(stream, sink, progress))
+    return t.spark.read.schema(t.events.schema).parquet(sink)
+
+
+@query("stream_late_rows", "ST6", """
+    WITH marks AS (SELECT max(ts) FILTER (event_id % 10 <> 0) - INTERVAL 5 MINUTE AS early,
+                          max(ts) - INTERVAL 5 MINUTE AS final FROM events)
+    SELECT event_type, date_trunc('minute', ts) AS window_start,
+           date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end, count(*) AS count
+    FROM events, marks
+    WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= final
+      AND (event_id % 10 <> 0 OR date_trunc('minute', ts) + INTERVAL 1 MINUTE > early)
+    GROUP BY 1, 2""")
+def stream_late_rows(t):
+    source, sink, progress = (new_path(t.spark, label) for label in ("arrivals", "in-time", "stream-progress"))
+    for arrived in (~_late(t), _late(t)):
+        t.events.where(arrived).write.mode("append").parquet(source)
+        counted = _minutes(io.file_stream(t.spark, "parquet", source, t.events.schema), "5 minutes")
+        io.finish(io.to_files(counted, sink, progress))
+    return t.spark.read.schema(counted.schema).parquet(sink)

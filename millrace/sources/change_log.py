@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.upsert import OP, TIME, VERSION, moment
+from millrace.operators.upsert import OP, TIME, VERSION, moment, unique_by_key
 
 
-def append_version(df: DataFrame, path: str, version: int, op: str, at: datetime) -> None:
-    """Add ``df`` as one version. Writing the same version again replaces it, so retries are safe."""
+def append_version(df: DataFrame, path: str, version: int, op: str, at: datetime,
+                   keys: Sequence[str] = ()) -> None:
+    """Add ``df`` as one version. Writing the same version again replaces it, so retries are safe.
+
+    With ``keys``, a key that occurs twice stops the write.
+    """
+    if keys:
+        df = unique_by_key(df, keys)
     (df.withColumn(OP, F.lit(op)).withColumn(TIME, moment(at))
        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{VERSION}={version}"))
 

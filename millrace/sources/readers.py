@@ -105,10 +105,13 @@ def catalog_overview(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW TABLES").withColumn("currentDatabase", F.lit(spark.catalog.currentDatabase()))
 
 
-def file_sizes(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
-    """One row per data file with its length. The listing runs on Spark and no content is read."""
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """One row per data file with its length, whatever its name.
+
+    Like every scan, the listing leaves out names that start with ``_`` or ``.``.
+    It runs on Spark and no content is read.
+    """
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .load(path).select(F.col("path"), F.col("length")))
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace.operators.missing import dedup_by_key
+from millrace.sources.readers import file_sizes
+from millrace.workspace import materialize, remove
+
 BATCH = "_batch"
 
 
@@ -74,26 +78,55 @@ def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def to_snapshots(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Complete mode: each batch stores the whole result in a folder of its own."""
-    return to_batches(df, _write_batch(path), checkpoint, "complete", every)
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the stored batches, from the file names, so that batches without rows count."""
+    number = F.regexp_extract("path", f"/{BATCH}=([0-9]+)/", 1).cast("long").alias("n")
+    return sorted(r.n for r in file_sizes(spark, path).select(number).distinct().collect())
+
+
+def to_snapshots(df: DataFrame, path: str, checkpoint: str, every: str | None = None, keep: int = 2
+                 ) -> StreamingQuery:
+    """Complete mode: each batch stores the whole result in a folder of its own; the last ``keep`` stay."""
+    write = _write_batch(path)
+
+    def replace(batch: DataFrame, number: int) -> None:
+        write(batch, number)
+        for old in _batches(batch.sparkSession, path):
+            if old <= number - max(1, keep):
+                remove(batch.sparkSession, f"{path}/{BATCH}={old}")
+    return to_batches(df, replace, checkpoint, "complete", every)
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The result as of the last batch; older snapshots are pruned by folder."""
-    stored = spark.read.parquet(path)
-    last = stored.agg(F.max(BATCH)).scalar()
-    return stored.where(F.col(BATCH) == last).drop(BATCH)
+    """The result as of the last batch, also when it has no rows."""
+    return spark.read.parquet(f"{path}/{BATCH}={_batches(spark, path)[-1]}")
+
+
+def to_update_log(df: DataFrame, path: str, checkpoint: str, every: str | None = None,
+                  keys: Sequence[str] = (), fold_every: int = 20) -> StreamingQuery:
+    """Update mode: each batch stores only the rows that changed.
 
+    With ``keys``, every ``fold_every`` batches the log is folded into one row per
+    key, so its size follows the number of keys. A fold is stored before older
+    batches go, and folding again gives the same.
+    """
+    write = _write_batch(path)
 
-def to_update_log(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Update mode: each batch stores only the rows that changed."""
-    return to_batches(df, _write_batch(path), checkpoint, "update", every)
+    def store(batch: DataFrame, number: int) -> None:
+        if not keys or number % fold_every or not number:
+            return write(batch, number)
+        spark = batch.sparkSession
+        both = spark.read.parquet(path).unionByName(batch.withColumn(BATCH, F.lit(number)))
+        folded = materialize(dedup_by_key(both, keys, [F.desc(BATCH)]).drop(BATCH), "folded")
+        write(folded, number)
+        for old in _batches(spark, path):
+            if old < number:
+                remove(spark, f"{path}/{BATCH}={old}")
+    return to_batches(df, store, checkpoint, "update", every)
 
 
 def latest_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Keyed upsert on read: the row of the latest batch for each key."""
-    from millrace.operators.missing import dedup_by_key
     return dedup_by_key(spark.read.parquet(path), keys, [F.desc(BATCH)]).drop(BATCH)
 
 

@@ -1,0 +1,70 @@
+import random
+import re
+
+from millrace.llm import license_scan as L
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    places = sorted((t.label, i) for t in L.PHRASES for p in [t.text.split()] for i in range(len(words))
+                    if words[i:i + len(p)] == p)
+    return len(words), places
+
+
+def scan(df):
+    return {r.doc_id: r for r in L.scan_licenses(df).collect()}
+
+
+def test_phrases_equal_brute_force(documents, texts):
+    found = scan(documents)
+    assert found.keys() == texts.keys()
+    for i, text in texts.items():
+        assert (found[i].n_words, [tuple(p) for p in found[i].places]) == brute(text)
+
+
+def test_phrases_in_odd_places(spark):
+    cases = ["CC-BY cc by CC_BY", "all rights reserved all rights reserved", "all rights all rights reserved",
+             "general public license general public", "ccby cc b y", "é CC BY-NC 4.0", "all\nrights\treserved."]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id int, text string")
+    found = scan(df)
+    for i, text in enumerate(cases):
+        assert (found[i].n_words, [tuple(p) for p in found[i].places]) == brute(text), text
+
+
+def test_statements_with_changes(spark):
+    rng = random.Random(4)
+    fill = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(50)]
+    bsd = next(t.text for t in L.STATEMENTS if t.label == "bsd").split()
+    inserted = bsd[:8] + ["really"] + bsd[8:]
+    missing = bsd[:9] + bsd[10:]
+    far = bsd[:4] + fill[:9] + bsd[12:]
+    cases = {"exact": bsd, "inserted": inserted, "missing": missing, "far": far, "none": []}
+    df = spark.createDataFrame([(k, " ".join(fill + v + fill)) for k, v in cases.items()], "doc_id string, text string")
+    found = scan(df)
+    assert {k: [s.label for s in r.spans] for k, r in found.items()} == {
+        "exact": ["bsd"], "inserted": ["bsd"], "missing": ["bsd"], "far": [], "none": []}
+    span = found["exact"].spans[0]
+    assert (span.first, span.last, span.similarity) == (50, 49 + len(bsd), 1.0)
+    assert 0.8 <= found["inserted"].spans[0].similarity < 1
+
+
+def test_two_copies_are_two_spans(spark):
+    text = "released under the mit license " + "x y " * 20 + "Released under the MIT License."
+    found = scan(spark.createDataFrame([(1, text)], "doc_id int, text string"))
+    assert [s.first for s in found[1].spans] == [0, 45]
+
+
+def test_odd_rows(odd, empty):
+    found = L.scan_licenses(odd)
+    assert found.count() == odd.count() and found.columns == ["doc_id", "n_words", "places", "spans"]
+    counts = sorted((r.doc_id or 0, r.n_words) for r in found.collect())
+    assert counts == [(0, 0), (0, 3), (1, 0), (2, 0), (3, 0), (4, 3), (4, 3), (5, 30_000), (6, 15)]
+    assert L.scan_licenses(empty).count() == 0
+
+
+def test_query(spark):
+    found = L._query(spark, "/root/testdata/sf0.001").where("n_base > 0").collect()
+    for r in found:
+        assert set(r.base_labels.split(",")) <= set(r.labels.split(",")) and r.score == 1.0 and r.first_word <= r.last_word

@@ -50,7 +50,7 @@ def differences(spark, connection, query, folder: str) -> str | None:
     for mine, other in zip(ours, theirs):
         if mine != other or [type(v) for v in mine] != [type(v) for v in other]:
             return f"first difference: {mine} / {other}"
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    kinds = {"date": "DATE", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
              "timestamp_ntz": "TIMESTAMP"}
     expected = {c: str(k) for c, k in zip(relation.columns, relation.types)}
     odd = {c: (k, expected[c]) for c, k in frame.dtypes if kinds.get(k, k) != expected[c]}

@@ -1,5 +1,6 @@
 """Projections, filters, missing data, aggregation, statistics and order on small frames."""
 
+import math
 import pytest
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -109,8 +110,21 @@ def test_generated_aggregates(parts):
 
 def test_exact_figures(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.3,), (None,)], "v double")
-    assert df.agg(A.exact_sum("v"), A.exact_mean("v")).first() == (0.6, 0.6 / 3)
-    assert df.where("v IS NULL").agg(A.exact_mean("v")).first()[0] is None
+    assert df.agg(A.exact_sum("v", 1), A.exact_mean("v", 1)).first() == (0.6, 0.6 / 3)
+    assert df.where("v IS NULL").agg(A.exact_mean("v", 1)).first()[0] is None
+
+
+def test_sums_are_neither_rounded_nor_bounded(spark):
+    def total(values, scale):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(A.exact_sum("v", scale)).first()[0]
+    assert total([0.001, 0.002, 0.004], 3) == 0.007
+    assert total([9e15] * 20, 2) == 1.8e17 and total([1e17, 1e17], 2) == 2e17
+    assert math.isnan(total([1.0, float("nan")], 2)) and total([1.0, float("inf")], 2) == float("inf")
+    with pytest.raises(Exception, match="more than 2 decimal places"):
+        total([0.001], 2)
+    df = spark.createDataFrame([(0.001,), (0.002,), (0.004,)], "v double")
+    figures = {r.stat: r.value for r in S.describe_long(df, ["v"]).collect()}
+    assert figures["mean"] == 0.002333 and figures["min"] == 0.001
 
 
 def test_frequencies_with_ties(parts):

@@ -43,6 +43,8 @@ def test_explode_and_renest(spark, rows):
     repeated = X.explode_words(df.union(df), ["id"], "t", position="pos", parent="p")
     assert rows(X.renest_words(repeated, ["id", "p"], "word", "pos", "t"), "id", "t") == [
         (1, "b a b"), (1, "b a b"), (3, "x y"), (3, "x y")]
+    kept = X.explode_words(df, ["id"], "t", position="pos", keep_empty=True)
+    assert rows(X.renest_words(kept, ["id"], "word", "pos", "t")) == [(1, "b a b"), (2, ""), (3, "x y")]
     assert rows(X.word_frequencies(df, "t")) == [("a", 1), ("b", 2), ("x", 1), ("y", 1)]
     with pytest.raises(AnalysisException):
         df.select(F.explode("t"))
@@ -76,6 +78,11 @@ def test_payloads(spark, rows):
     df = spark.createDataFrame([(bytearray(m, "utf8"),) for m in messages], "value binary")
     items = Y.decode_items(df, MESSAGE, "lines", ["sender", "at"], ["part", "amount"])
     assert rows(items, "sender", "pos", "part", "amount") == [("ann", 0, 1, 0.5), ("ann", 1, 2, 1.0)]
+    every = Y.decode_items(df, MESSAGE, "lines", ["sender"], ["part"], keep_empty=True, malformed="bad")
+    assert [(r.sender, r.bad, r.pos, r.part) for r in every.collect()] == [
+        ("ann", None, 0, 1), ("ann", None, 1, 2), ("bob", None, None, None), (None, "broken", None, None),
+        ("eve", None, None, None)]
+    assert Y.decode_items(df, MESSAGE, "lines", ["sender"], ["part"], malformed="bad").count() == 3
     parsed = Y.decode_json(df, "sender string, other int")
     assert [r.msg.sender for r in parsed.collect()] == ["ann", "bob", None, "eve"]
     assert all(r.msg.other is None for r in parsed.collect())

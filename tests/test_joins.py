@@ -81,6 +81,21 @@ def test_salts_spread_the_hot_key(hot, dimension):
     assert largest < 1500
 
 
+def test_salts_follow_the_share_of_a_key(spark, rows):
+    left = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") < 4500, 7).otherwise(F.col("id")).alias("k"),
+                                             F.col("id").alias("v"))
+    right = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+    salted, repeated = J.salt_by_share(left, right, "k", target_rows=500)
+    assert salted.where("k = 7").select("_salt").distinct().count() == 9
+    report = partition_report(salted.repartition(16, "k", "_salt")).agg(F.max("rows"), F.avg("rows")).first()
+    assert report[0] < 4 * report[1] and repeated.where("k = 7").count() == 9
+    for how in ("inner", "left", "leftsemi", "leftanti"):
+        expected = rows(left.join(right, "k", how))
+        assert rows(J.join_prepartitioned(left, right, "k", 4, how, target_rows=500)) == expected
+    with pytest.raises(ValueError, match="both sides"):
+        J.salt_by_share(left, left.withColumnRenamed("v", "d"), "k", target_rows=500)
+
+
 def test_salts_spread_copies_of_one_row(spark, rows):
     copies = spark.range(0, 4000, 1, 8).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
     salted, _ = J.salt_sides(copies, copies.limit(1), "k", salts=4, support=0.1)

@@ -49,6 +49,13 @@ def test_index_without_a_model(data):
     assert plain.exceptAll(M.index_by_frequency(data, "c", "i").select("id", "i")).count() == 0
 
 
+def test_index_of_unknown_values(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate([None, None, None, "a", "a", "b"])], "id int, c string")
+    fitted = M.category_index("c", "i").fit(df).transform(df)
+    assert sorted(map(tuple, M.index_by_frequency(df, "c", "i").select("id", "i").collect())) == sorted(
+        map(tuple, fitted.select("id", "i").collect()))
+
+
 def test_bins_are_even(data):
     binned = M.quantile_bins("id", "bin", 4).fit(data).transform(data)
     sizes = [r["count"] for r in binned.groupBy("bin").count().collect()]

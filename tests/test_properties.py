@@ -56,11 +56,10 @@ def test_salted_joins(spark, left, right, how):
 
 
 @QUICK
-@given(rows=st.lists(st.tuples(KEYS, st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))), max_size=15),
-       budget=st.sampled_from([0, 2]))
-def test_running_sums(spark, rows, budget):
+@given(rows=st.lists(st.tuples(KEYS, st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))), max_size=15))
+def test_running_sums(spark, rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, k int, o int, v int")
-    found = {r.i: r.s for r in W.running_sum(df, ["k"], "o", F.col("v"), "s", budget=budget, blocks=3).collect()}
+    found = {r.i: r.s for r in W.running_sum(df, ["k"], "o", F.col("v"), "s", blocks=3).collect()}
     for i, (k, o, _) in enumerate(rows):
         known = [v for other, order, v in rows if other == k and order <= o and v is not None]
         assert found[i] == (sum(known) if known else None)

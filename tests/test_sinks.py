@@ -79,6 +79,29 @@ def test_compaction(spark, tmp_path):
     assert sorted(map(tuple, result.collect())) == sorted(map(tuple, _frame(spark).collect()))
 
 
+def test_compaction_counts_files_of_any_name(spark, tmp_path):
+    small, large = tmp_path / "small", str(tmp_path / "large")
+    small.mkdir()
+    for i in range(4):
+        _frame(spark).toPandas().to_parquet(small / f"orders-{i}.parquet", index=False)
+    size = sum(f.stat().st_size for f in small.iterdir())
+    assert layout.target_files(spark, str(small), size // 3) >= 3
+    assert layout.compact(spark, str(small), large, target_bytes=size).count() == 400
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    with pytest.raises(ValueError, match="no data files"):
+        layout.target_files(spark, str(empty), 100)
+
+
+def test_zorder_ranks_whole_strings(spark):
+    df = spark.range(2000).select(F.format_string("Customer#%09d", F.col("id")).alias("s"), F.col("id").alias("n"))
+    ranked = layout.with_z_value(df, ["s"], "z", bits=6)
+    assert ranked.select("z").distinct().count() > 40
+    pairs = ranked.orderBy("s").select("z").collect()
+    assert [r.z for r in pairs] == sorted(r.z for r in pairs)
+    assert layout.z_bits(100_000, 2) > layout.z_bits(16, 2) > 1
+
+
 def test_compaction_keeps_folders(spark, tmp_path):
     small, large = str(tmp_path / "small"), str(tmp_path / "large")
     _frame(spark).repartition(20).write.partitionBy("k").parquet(small)

@@ -54,6 +54,23 @@ def test_update_log_keeps_the_latest_row(spark, source, tmp_path, rows):
     assert rows(io.latest_updates(spark, str(tmp_path / "out"), ["user"]), "user", "count") == [(1, 3), (2, 2)]
 
 
+def test_the_update_log_is_folded(spark, source, tmp_path, rows):
+    out = tmp_path / "out"
+    counted = jobs.grouped_counts(_stream(spark, source), ["user"])
+    for i in range(5):
+        io.finish(io.to_update_log(counted, str(out), str(tmp_path / "cp"), keys=["user"], fold_every=2))
+        _write(spark, source, f"b{i}", [(i % 3, "2024-01-01 00:30:00", 1.0)])
+    assert len([p for p in out.iterdir() if p.name.startswith("_batch=")]) == 1
+    assert rows(io.latest_updates(spark, str(out), ["user"]), "user", "count") == [(0, 2), (1, 4), (2, 2)]
+
+
+def test_the_last_snapshot_may_be_empty(spark, tmp_path):
+    write = io._write_batch(str(tmp_path / "out"))
+    write(spark.range(3), 0)
+    write(spark.range(0), 1)
+    assert io.latest_snapshot(spark, str(tmp_path / "out")).count() == 0
+
+
 def test_restart_reprocesses_nothing(spark, source, tmp_path):
     for _ in range(2):
         io.finish(io.to_files(_stream(spark, source), str(tmp_path / "out"), str(tmp_path / "cp")))

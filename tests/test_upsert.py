@@ -61,9 +61,13 @@ def _versions(df, rows):
 
 
 def test_history(base, changes, rows):
-    history = U.scd2_apply(U.open_history(base, T0), changes, ["k"], T1)
+    with pytest.raises(Exception, match="a change has no key"):
+        U.scd2_apply(U.open_history(base, T0), changes, ["k"], T1).count()
+    history = U.scd2_apply(U.open_history(base, T0), changes, ["k"], T1, skip_null_keys=True)
+    again = U.scd2_apply(history, changes, ["k"], T1, skip_null_keys=True)
+    assert sorted(map(str, again.collect())) == sorted(map(str, history.collect()))
     assert _versions(history, rows) == [(1, "a", 1, 2199), (2, "B", 2, 2199), (2, "b", 1, 2), (3, "C", 2, 2199)]
-    assert history.where("k IS NULL").count() == 2
+    assert history.where("k IS NULL").count() == 1
 
 
 def test_history_is_idempotent(base, changes, rows):
@@ -102,6 +106,16 @@ def log(spark, tmp_path):
     return change_log.read_log(spark, path)
 
 
+def test_a_version_holds_one_change_per_key(spark, tmp_path):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="same merge key"):
+        change_log.append_version(twice, str(tmp_path / "log"), 1, "insert", T0, keys=["k"])
+    change_log.append_version(twice, str(tmp_path / "log"), 1, "insert", T0)
+    found = {tuple(U.as_of(change_log.read_log(spark, str(tmp_path / "log")).repartition(n), ["k"], version=1)
+                   .select("k", "v").first()) for n in (1, 2, 3)}
+    assert len(found) == 1
+
+
 def test_as_of(log, rows):
     assert rows(U.as_of(log, ["k"], version=1), "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
     assert rows(U.as_of(log, ["k"], version=2), "k", "v") == [(1, "a"), (2, "B"), (3, "c")]

@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import windows as W
-from millrace.operators.layout import partition_report
+from millrace.operators.layout import partition_summary
 
 
 @pytest.fixture
@@ -17,7 +17,7 @@ def skewed(spark):
         "id").repartition(5)
 
 
-LIMITS = [{"budget": 0}, {"budget": 0, "blocks": 13}, {"budget": 1000, "blocks": 13}, {}]
+LIMITS = [{"blocks": 13}, {}]
 
 
 @pytest.mark.parametrize("limits", LIMITS)
@@ -29,8 +29,13 @@ def test_running_sum(skewed, rows, limits):
 def test_running_sum_without_values_yet(spark, rows):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, 4), ("a", 3, None), ("b", 1, None)], "k string, o int, v int")
     expected = rows(df.withColumn("r", F.sum("v").over(Window.partitionBy("k").orderBy("o"))))
-    for budget in (0, 1):
-        assert rows(W.running_sum(df, ["k"], "o", F.col("v"), "r", budget=budget, blocks=3)) == expected
+    summed = W.running_sum(df, ["k"], "o", F.col("v"), "r", blocks=3)
+    assert rows(summed) == expected
+
+
+def test_running_sum_has_the_type_of_sum(skewed):
+    for blocks in (None, 3):
+        assert dict(W.running_sum(skewed, ["k"], "o", F.col("v"), "r", blocks=blocks).dtypes)["r"] == "decimal(28,2)"
 
 
 @pytest.mark.parametrize("limits", LIMITS)
@@ -41,7 +46,7 @@ def test_row_numbers(skewed, rows, limits):
 
 
 def test_row_numbers_over_everything(skewed, rows):
-    numbered = W.row_numbers(skewed.select("id"), [], [F.desc("id")], "r", budget=0, blocks=7)
+    numbered = W.row_numbers(skewed.select("id"), [], [F.desc("id")], "r", blocks=7)
     assert rows(numbered) == [(i, 3000 - i) for i in range(3000)]
 
 
@@ -76,7 +81,6 @@ def test_share_of_total(spark, rows):
     assert rows(shares, "k", "s") == [("a", 0.25), ("a", 0.75), ("b", None), (None, 1.0)]
 
 
-def test_budget(skewed):
-    assert W.fits_budget(skewed, ["k"], 2000) and not W.fits_budget(skewed, ["k"], 1999)
-    assert W.fits_budget(skewed.limit(0), ["k"], 0)
-    assert partition_report(skewed).count() == 5
+def test_partition_summary(skewed):
+    report = partition_summary(skewed).first()
+    assert (report.partitions, report.rows) == (5, 3000) and report.least <= 600 <= report.most
