@@ -9,25 +9,44 @@ occurrence and removed where they are equal.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.staging import stage
 from millrace.llm.words import content_key
 
 
-def chunks_of(text: Column, roll: int = 2, every: int = 4) -> Column:
-    """array<struct<first, lines>>: the chunks of ``\\n``-separated lines, ``first`` from 0."""
-    lines = F.split(text, "\n", -1)
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it, also inside other functions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def chunk_starts(lines: Column, roll: int, every: int) -> Column:
+    """Numbers of the lines that start a chunk: the first, and those that follow an end."""
     hashes = F.transform(lines, lambda line: F.xxhash64(line))
 
-    def rolled(i: Column) -> Column:
-        return F.xxhash64(*[F.get(hashes, i - back) for back in range(roll - 1, -1, -1)])
-    places = F.sequence(F.lit(0), F.size(lines) - 1)
-    # the first line of a chunk follows an end; a hash over fewer lines than ``roll`` never ends one
-    firsts = F.filter(places, lambda i: (i == 0) | ((i >= roll) & (F.pmod(rolled(i - 1), F.lit(every)) == 0)))
-    return F.transform(firsts, lambda first, n: F.struct(
-        first.alias("first"),
-        F.slice(lines, first + 1, F.coalesce(F.get(firsts, n + 1), F.size(lines)) - first).alias("lines")))
+    if roll == 1:
+        marks = F.transform(hashes, lambda h: F.xxhash64(h))
+    elif roll == 2:
+        marks = let(hashes, lambda h: F.zip_with(F.concat(F.array(F.lit(None).cast("bigint")), h), h,
+                                                 lambda old, new: F.xxhash64(old, new)))
+    else:
+        raise ValueError("one or two lines are rolled over")
+    # marks[i] covers the lines up to i; a hash over fewer lines than ``roll`` ends nothing
+    ends = F.transform(marks, lambda mark, i: F.when((i >= roll - 1) & (F.pmod(mark, F.lit(every)) == 0), i + 1))
+    inner = F.filter(ends, lambda i: i.isNotNull() & (i < F.size(lines)))
+    return F.concat(F.array(F.lit(0)), inner)
+
+
+def chunks_of(text: Column, roll: int = 2, every: int = 4) -> Column:
+    """array<struct<first, lines>>: the chunks of ``\\n``-separated lines, ``first`` from 0."""
+    def cut(lines: Column, starts: Column) -> Column:
+        return F.transform(starts, lambda first, n: F.struct(
+            first.alias("first"),
+            F.slice(lines, first + 1, F.coalesce(F.get(starts, n + 1), F.size(lines)) - first).alias("lines")))
+    return let(F.split(text, "\n", -1), lambda lines: let(
+        chunk_starts(lines, roll, every), lambda starts: cut(lines, starts)))
 
 
 def repeated_chunks(rows: DataFrame, text: str, identity: list[str], min_lines: int, roll: int, every: int) -> DataFrame:
