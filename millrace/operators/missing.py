@@ -40,7 +40,7 @@ def drop_missing(df: DataFrame, how: str = "any", subset: Sequence[str] | None =
     return df.dropna(how=how, thresh=at_least, subset=list(subset) if subset else None)
 
 
-def null_shares(columns: Sequence[str], prefix: str = "nulls_for_") -> list[Column]:
+def null_shares(columns: Sequence[str], prefix: str = "null_share_") -> list[Column]:
     """One share-of-NULLs aggregate per column, all computed in a single pass."""
     return [F.avg(F.when(F.col(c).isNull(), 1.0).otherwise(0.0)).alias(prefix + c) for c in columns]
 

@@ -194,10 +194,10 @@ def drop_missing(t):
 
 
 @query("null_profile", "FLT11", f"""
-    SELECT avg(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS nulls_for_o_orderkey,
-           avg(CASE WHEN status IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS nulls_for_status,
-           avg(CASE WHEN priority IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS nulls_for_priority,
-           avg(CASE WHEN o_totalprice IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS nulls_for_o_totalprice
+    SELECT avg(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS null_share_o_orderkey,
+           avg(CASE WHEN status IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS null_share_status,
+           avg(CASE WHEN priority IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS null_share_priority,
+           avg(CASE WHEN o_totalprice IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS null_share_o_totalprice
     FROM {_GAPS}""")
 def null_profile(t):
     return M.null_profile(_with_gaps(t))
@@ -334,7 +334,7 @@ def dynamic_aggs(t):
     return A.group_aggregate(lineitem, ["l_returnflag"], A.build_aggregates(columns, functions))
 
 
-_LINE_CONDITIONS = {"total": "true", "open": "l_linestatus = 'O'", "filled": "l_linestatus = 'F'"}
+_LINE_CONDITIONS = {"every": "true", "open": "l_linestatus = 'O'", "filled": "l_linestatus = 'F'"}
 
 
 def _when_mean(column: str, condition: str) -> str:
@@ -347,7 +347,7 @@ def _when_mean(column: str, condition: str) -> str:
     for c in _LINE_MEASURES for n, w in _LINE_CONDITIONS.items()) + " FROM lineitem GROUP BY l_returnflag")
 def conditional_aggs(t):
     functions = {"avg": A.rounded_mean(), "min": F.min, "max": F.max}
-    conditions = {"total": None, "open": F.col("l_linestatus") == "O", "filled": F.col("l_linestatus") == "F"}
+    conditions = {"every": None, "open": F.col("l_linestatus") == "O", "filled": F.col("l_linestatus") == "F"}
     return A.group_aggregate(t.lineitem, ["l_returnflag"],
                              A.build_aggregates(_LINE_MEASURES, functions, conditions))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +28,6 @@ def from_pandas(spark: SparkSession, frame, schema: T.StructType | None = None)
     return spark.createDataFrame(frame, schema=schema)
 
 
-def row_as_dict(row: Row, recursive: bool = False) -> dict[str, Any]:
-    """Dictionary view of one result row."""
-    return row.asDict(recursive)
-
-
 def reader(spark: SparkSession, fmt: str, schema: T.StructType | str | None = None,
            **options: Any) -> DataFrameReader:
     """A configured reader that can ``load`` any number of paths."""
@@ -69,10 +64,6 @@ def xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str
     return reader(spark, "xml", schema, rowTag=row_tag, **options).load(path)
 
 
-def catalog_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.table(name)
-
-
 def named_view(df: DataFrame, name: str | None = None) -> str:
     """Register ``df`` for SQL and return the name it is known by."""
     name = name or new_name("view")
@@ -113,17 +104,3 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     """
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .load(path).select(F.col("path"), F.col("length")))
-
-
-def dtypes_of(df: DataFrame) -> dict[str, str]:
-    return dict(df.dtypes)
-
-
-def columns_of_type(df: DataFrame, *type_names: str) -> list[str]:
-    """Names of the columns whose simple type is one of ``type_names``."""
-    return [name for name, kind in df.dtypes if kind in type_names]
-
-
-def column(name: str) -> Column:
-    """A column expression that is not bound to any DataFrame yet."""
-    return F.col(name)

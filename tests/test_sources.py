@@ -33,7 +33,7 @@ def test_row_objects(spark):
     df = readers.from_rows(spark, [Row(company="x", value=1.5), Row(company="y", value=2.5)])
     first = df.orderBy("company").first()
     assert first.company == "x" and first[1] == 1.5 and first["value"] == 1.5
-    assert readers.row_as_dict(first) == {"company": "x", "value": 1.5}
+    assert first.asDict() == {"company": "x", "value": 1.5}
 
 
 def test_pandas_round_trip(spark):
@@ -57,8 +57,7 @@ def test_csv_variants(spark, tmp_path):
     plain = readers.csv(spark, str(folder))
     assert plain.columns == ["_c0", "_c1"] and plain.count() == 3
     inferred = readers.csv(spark, str(folder), header=True, infer=True)
-    assert readers.dtypes_of(inferred) == {"n": "int", "t": "string"}
-    assert readers.columns_of_type(inferred, "int") == ["n"]
+    assert dict(inferred.dtypes) == {"n": "int", "t": "string"}
     declared = readers.csv(spark, str(folder), schema="n long, t string", header=True)
     assert declared.agg(F.sum("n")).first()[0] == 3
     with pytest.raises(ValueError):
@@ -97,7 +96,7 @@ def test_sql_on_file_with_options(spark, tmp_path):
 
 def test_catalog(spark):
     name = readers.named_view(spark.range(3).toDF("id"))
-    assert readers.catalog_table(spark, name).count() == 3
+    assert spark.table(name).count() == 3
     assert name in [r.tableName for r in readers.catalog_overview(spark).collect()]
     assert spark.catalog.currentDatabase() in [d.name for d in spark.catalog.listDatabases()]
 
