@@ -11,6 +11,7 @@ Parquet table, has a row per record, for reads in any order.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -27,8 +28,15 @@ from millrace.llm.staging import stage
 from millrace.llm.words import content_key, encode_each, load_tokenizer, raw, row_groups
 from millrace.workspace import new_path
 
-#: Kept encodings of words per worker process; the store starts anew when full.
-KEPT = 300_000
+#: Kept encodings of words and of pieces per worker process; a store starts anew when full.
+KEPT_WORDS, KEPT_PIECES = 400_000, 600_000
+
+#: Words of these characters are cut into pieces here; others are left to the library as a whole. In this range
+#: (ASCII and the letters of Latin-1) lower-casing goes by character and nothing is composed.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+#: The tokenizer's pattern for such words in lower case (fixed values).
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 #: Bytes of texts encoded, or of records read, together.
 GROUP_BYTES = 2_000_000
@@ -39,8 +47,9 @@ HEAD, TAIL = 12, 4
 class WordEncoder:
     """Ids of texts, word by word.
 
-    For tokenizers whose pre-tokens never cross white space and that drop it: a word
-    then has the same ids in any text, and each distinct word is encoded once.
+    For lower-casing tokenizers whose pre-tokens never cross white space and that drop
+    it: a word then has the same ids in any text, and its pieces in any word, so each
+    distinct piece is merged once.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -49,16 +58,35 @@ class WordEncoder:
             raise ValueError("the tokenizer keeps white space; words cannot be encoded alone")
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.end = np.array([end_id], self.kind).tobytes()
-        self.kept: dict[bytes, bytes] = {}
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _cut(self, word: str) -> list[str]:
+        if PLAIN.fullmatch(word) and not (self.special and self.special.search(word)):
+            return PIECES.findall(word.lower())
+        return [word]
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.words) > KEPT_WORDS:
+            self.words = {}
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces = {}
+        cut = {w: self._cut(w.decode()) for w in words}
+        new = list({p for pieces in cut.values() for p in pieces if p not in self.pieces})
+        self.pieces.update((p, struct.pack(f"<{len(ids)}{self.kind.char}", *ids))
+                           for p, ids in zip(new, encode_each(self.tokenizer, new)))
+        get = self.pieces.__getitem__
+        self.words.update((w, get(pieces[0]) if len(pieces) == 1 else b"".join(map(get, pieces))) for w, pieces in cut.items())
 
     def encode(self, blobs: list[bytes]) -> list[bytes]:
-        if len(self.kept) > KEPT:
-            self.kept = {}
         cut = [b.split() for b in blobs]
-        new = list({w for words in cut for w in words if w not in self.kept})
-        encoded = encode_each(self.tokenizer, [w.decode() for w in new])
-        self.kept.update((w, np.array(ids, self.kind).tobytes()) for w, ids in zip(new, encoded))
-        get = self.kept.__getitem__
+        new = {w for words in cut for w in words if w not in self.words}
+        if len(self.words) > KEPT_WORDS:
+            new = {w for words in cut for w in words}
+        self._learn(new)
+        get = self.words.__getitem__
         return [b"".join([*map(get, words), self.end]) for words in cut]
 
 
