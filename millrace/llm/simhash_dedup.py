@@ -26,6 +26,9 @@ from millrace.llm.words import content_key, raw
 #: Largest number of differing bits that two halves and anchors within 2 bits guarantee.
 RADIUS = 3
 
+#: Seeds of the word marks that near copies are found by.
+SEEDS = (42, 7, 99, 1234, 31, 5)
+
 _ROWS = 65_536
 
 
@@ -60,6 +63,22 @@ def _bit(position: Column) -> Column:
     return F.call_function("shiftleft", F.expr("1L"), position)
 
 
+def word_marks(text: Column, seeds: tuple[int, ...]) -> Column:
+    """For each seed the majority of the bits of the hashes of the distinct words; zero without words."""
+    @F.arrow_udf("array<bigint>")
+    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for blob in raw(batch):
+                words = set(blob.lower().split())
+                joined = np.fromiter((xxhash.xxh64_intdigest(w, s) for s in seeds for w in words), "<u8", len(seeds) * len(words))
+                bits = np.unpackbits(joined.view(np.uint8).reshape(len(seeds), len(words), 8), axis=2, bitorder="little")
+                marks = np.packbits(2 * bits.sum(axis=1, dtype=np.int64) > len(words), axis=1, bitorder="little")
+                out.append(marks.view("<i8").ravel())
+            yield pa.array(out, pa.list_(pa.int64()))
+    return made(text)
+
+
 def syndrome(half: Column) -> Column:
     """Zero for a code word, else the position (1 to 31) of the bit to flip."""
     found = F.lit(0)
@@ -86,13 +105,19 @@ def with_anchors(marks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fingerprint_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b) of distinct marks that differ in 1 to ``radius`` bits; a link may come twice."""
+    """(a, b), a < b, of distinct marks that differ in 1 to ``radius`` bits, each once.
+
+    The smaller mark is met at its home, on the first side if the first halves differ
+    in one bit at most, else on the second.
+    """
     if not 1 <= radius <= RADIUS:
         raise ValueError(f"anchors guarantee radius 1 to {RADIUS}")
     homes, guests = with_anchors(marks)
     guests = guests.withColumnRenamed("mark", "b")
-    near = F.bit_count(F.col("mark").bitwiseXOR(F.col("b")))
-    return homes.join(guests, ["side", "anchor"]).where((F.col("mark") != F.col("b")) & (near <= radius)).select(
+    apart = F.col("mark").bitwiseXOR(F.col("b"))
+    first = (F.col("side") == 0) == (F.bit_count(apart.bitwiseAND(F.lit(0xFFFFFFFF))) <= 1)
+    return homes.join(guests, ["side", "anchor"]).where(
+        (F.col("mark") < F.col("b")) & (F.bit_count(apart) <= radius) & first).select(
         F.col("mark").alias("a"), "b")
 
 
@@ -129,23 +154,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         F.col("key").alias(key), F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", seeds: tuple[int, ...] = SEEDS,
                          radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with one row of each group: the smallest key, among equal keys the smallest content hash.
-
-    Rows without a key stay only where no row of the group has one; of repeated rows one stays.
+    """The rows of ``docs`` with one row of each group of near copies.
+
+    Marks are SimHashes of the distinct words of a text, one for each of ``seeds``;
+    texts are linked where any of their marks differ in ``radius`` bits or fewer.
+    With the default seeds this finds nearly all pairs whose runs of five words are
+    alike to 0.8 or more, which fingerprints of the runs themselves do not: a changed
+    word changes five runs. The smallest key of a group stays, among equal keys the
+    smallest content hash. Rows without a key stay only where no row of the group has
+    one; of repeated rows one stays; texts without words are copies of each other.
     """
     names = docs.columns
     own = {c: f"c{i}" for i, c in enumerate(names)}
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
     k, t = own[key], own[text]
     content = content_key(k, t)
-    marked, _ = stage(rows.select(F.col(k).alias("key"), content.alias("content"),
-                                  fingerprints(F.col(t), size).alias("mark")), "marked")
-    groups, _ = groups_of(marked, radius)
+    marked, _ = stage(rows.select(F.col(k).alias("key"), content.alias("content"), F.xxhash64(F.col(t)).alias("node"),
+                                  word_marks(F.col(t), seeds).alias("marks")), "marked")
+    # equal texts are one node; nodes of one mark hang on the smallest of them, and marks are linked through it
+    by_mark, path = stage(marked.select("node", F.posexplode("marks").alias("seed", "mark")).distinct(), "by-mark")
+    heads, head_path = stage(by_mark.groupBy("seed", "mark").agg(F.min("node").alias("head")), "heads")
+    links = by_mark.join(heads, ["seed", "mark"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    for seed in range(len(seeds)):
+        of = heads.where(F.col("seed") == seed).select("mark", "head")
+        near = fingerprint_links(of.select("mark"), radius)
+        links = links.union(near.join(of.select(F.col("mark").alias("a"), F.col("head").alias("ha")), "a")
+                            .join(of.select(F.col("mark").alias("b"), F.col("head").alias("hb")), "b").select("ha", "hb"))
+    roots, _ = components(links)
+    for used in (path, head_path):
+        remove(docs.sparkSession, used)
     first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "content")).alias("first")
-    chosen, _ = stage(marked.groupBy("mark").agg(first).join(groups, "mark").groupBy("root")
-                      .agg(F.min("first").alias("first")).select(F.col("first.key").alias("chosen"), F.col("first.content").alias("chosen_content")).distinct(),
+    groups = marked.groupBy("node").agg(first).join(roots, F.col("node") == F.col("u"), "left").groupBy(
+        F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
+    chosen, _ = stage(groups.select(F.col("first.key").alias("chosen"), F.col("first.content").alias("chosen_content")).distinct(),
                       "chosen")
     kept = rows.withColumn("content", content).join(
         chosen, F.col(k).eqNullSafe(F.col("chosen")) & (F.col("content") == F.col("chosen_content")), "left_semi")

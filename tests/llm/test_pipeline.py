@@ -6,7 +6,7 @@ import corpus_pipeline
 from millrace.llm import decontaminate, quality_rules
 from millrace.llm.catalog import queries
 from test_line_chunks import brute
-from test_simhash_dedup import groups, mark
+from test_simhash_dedup import near_groups
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,7 +20,7 @@ def test_the_pipeline_equals_its_stages_by_hand(spark, texts):
             left[i] = text
     assert 0 < len(left) < len(texts)
     left = brute(left)
-    least = groups({i: mark(t, 5) for i, t in left.items()})
+    least = near_groups(left)
     left = {i: t for i, t in left.items() if least[i] == i}
     items = [decontaminate.words_of(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     leaked = set()

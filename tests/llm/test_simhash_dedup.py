@@ -54,8 +54,8 @@ def clustered():
 @pytest.mark.parametrize("radius", [1, 2, 3])
 def test_links_equal_brute_force(spark, clustered, radius):
     df = spark.createDataFrame([(signed(v),) for v in clustered], "mark long")
-    found = {tuple(sorted(r)) for r in S.fingerprint_links(df, radius).collect()}
-    assert found == {tuple(sorted((signed(a), signed(b)))) for i, a in enumerate(clustered) for b in clustered[:i]
+    found = [tuple(r) for r in S.fingerprint_links(df, radius).collect()]
+    assert len(found) == len(set(found)) and set(found) == {tuple(sorted((signed(a), signed(b)))) for i, a in enumerate(clustered) for b in clustered[:i]
                      if (a ^ b).bit_count() <= radius}
 
 
@@ -92,12 +92,51 @@ def test_documents_equal_brute_force(documents, texts):
         i: (f"{marks[i]:016x}", expected[i]) for i in texts}
 
 
+def word_mark(text, seed):
+    words = set(text.encode().lower().split())
+    hashes = [xxhash.xxh64_intdigest(w, seed) for w in words]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_groups(texts, seeds=S.SEEDS):
+    """Smallest id reachable over texts of which some mark is within the radius."""
+    marks = {i: [word_mark(t, s) for s in seeds] for i, t in texts.items()}
+    linked = lambda a, b: any((x ^ y).bit_count() <= 3 for x, y in zip(marks[a], marks[b]))
+    least = {}
+    for start in sorted(texts):
+        queue = [] if start in least else [start]
+        while queue:
+            a = queue.pop()
+            if a not in least:
+                least[a] = start
+                queue += [b for b in texts if b not in least and linked(a, b)]
+    return least
+
+
 def test_one_of_each_group_stays(documents, texts):
-    marks = {i: mark(t, 5) for i, t in texts.items()}
-    least = groups(marks)
     kept = S.drop_near_duplicates(documents)
     assert kept.columns == documents.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(near_groups(texts).values()))
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=rng.randint(2, 8))) for _ in range(5000)]
+    draw = lambda n: [vocabulary[int(rng.paretovariate(0.6)) % 5000] for _ in range(n)]
+    rows, copies = [], 0
+    for i in range(100):
+        base = draw(300)
+        rows.append((10 * i, " ".join(base)))
+        changed = list(base)
+        for at in (rng.randrange(20, 280), rng.randrange(20, 280)):
+            changed[at] = "changed"
+        shingles = [{tuple(w[j:j + 5]) for j in range(296)} for w in (base, changed)]
+        if len(shingles[0] & shingles[1]) >= 0.8 * len(shingles[0] | shingles[1]):
+            rows.append((10 * i + 1, " ".join(changed)))
+            copies += 1
+    kept = [r.doc_id for r in S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id int, text string")).collect()]
+    assert {i for i in kept if i % 10 == 0} == {10 * i for i in range(100)}
+    assert copies == 100 and sum(i % 10 == 1 for i in kept) <= 5
 
 
 def test_odd_rows(odd, empty):
