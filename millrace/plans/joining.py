@@ -47,8 +47,8 @@ def join_left(t):
 def join_using_sql(t):
     orders = named_view(t.orders)
     # staged, so that a few groups are sent to the orders and the orders are not shuffled onto a few keys
-    counted = named_view(materialize(t.spark.sql(
-        f"SELECT o_orderpriority, count(*) AS n FROM {orders} GROUP BY 1"), "priorities"))
+    counted = named_view(J.checked_broadcast(materialize(t.spark.sql(
+        f"SELECT o_orderpriority, count(*) AS n FROM {orders} GROUP BY 1"), "priorities")))
     return t.spark.sql(f"""SELECT o_orderkey, o_orderpriority, o_totalprice, n AS orders_of_priority
                            FROM {orders} JOIN {counted} USING (o_orderpriority)""")
 
@@ -174,7 +174,8 @@ def agg_then_join(t):
     WHERE o_orderpriority = '2-HIGH'""")
 def join_filtered(t):
     orders = t.orders.select("o_orderkey", "o_orderpriority")
-    priciest = materialize(t.orders.groupBy("o_orderpriority").agg(F.max("o_totalprice").alias("priciest")), "priciest")
+    priciest = J.checked_broadcast(materialize(
+        t.orders.groupBy("o_orderpriority").agg(F.max("o_totalprice").alias("priciest")), "priciest"))
     return J.join_on_keys(orders, priciest, "o_orderpriority").where("o_orderpriority = '2-HIGH'")
 
 

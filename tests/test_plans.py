@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans import REGISTRY
 from millrace.plans.inspect import exchanges, operators, plan_text
-from millrace.workspace import materialize, new_path, shared_folder
+from millrace.workspace import materialize, new_path, shared_folder, staging_scope
 
 
 def _plan(spark, name, folder, mode="formatted"):
@@ -56,6 +56,40 @@ def test_small_changes_leave_the_base_in_place(spark, small_tables):
         assert "SortMergeJoin" not in operators(result)
 
 
+def test_few_keys_and_few_orders_do_not_shuffle_the_large_side(spark, small_tables):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # not by estimate, but because their size was checked
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for name in ("join_using_sql", "join_filtered"):
+            assert exchanges(REGISTRY[name].run(spark, small_tables)) == []
+        plan = _plan(spark, "star_join_top_k", small_tables, "simple")
+        assert "l_orderkey" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", plan))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_the_wide_frame_is_joined_once(spark, small_tables):
+    found = operators(REGISTRY["star_split"].run(spark, small_tables))
+    assert sum("Join" in name for name in found) == 1
+
+
+def test_overwriting_lists_no_files():
+    import inspect
+
+    from millrace.sources import writers
+    assert "inputFiles" not in inspect.getsource(writers)
+
+
+def test_a_scope_leaves_nothing_staged(spark, tmp_path):
+    with staging_scope(spark):
+        path = new_path(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_projections_need_no_shuffle(spark, small_tables):
     for name in ("derived_columns", "casts", "fill_missing", "update_where", "decode_and_explode", "explode_words",
                  "extract_id", "nested_path"):
