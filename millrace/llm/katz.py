@@ -35,10 +35,10 @@ from millrace.workspace import new_name, new_path
 KATZ = 5
 
 #: UTF-8 bytes of texts in a block, about six to a token.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 
 #: Keys of a bucket on average.
-BUCKET_KEYS = 2_000_000
+BUCKET_KEYS = 1_500_000
 
 #: They hold white space, so no word is equal to them.
 START, END = b"\nstart", b"\nend"
