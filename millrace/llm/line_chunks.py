@@ -60,10 +60,11 @@ def repeated_chunks(rows: DataFrame, text: str, identity: list[str], min_lines:
     # places and hashes alone are counted; the few repeated hashes then fetch the chunks themselves
     repeated, _ = stage(marked.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("origin"))
                         .where("n > 1").select("hash", "origin"), "repeated")
-    candidates, _ = stage(marked.join(repeated, "hash"), "candidates")
+    # a merge join at every size: what repeats grows with the texts, and adaptive execution may split a hot hash
+    candidates, _ = stage(marked.join(repeated.hint("merge"), "hash"), "candidates")
     origins = candidates.where(F.col("place").eqNullSafe(F.col("origin"))).groupBy("hash").agg(F.max("body").alias("first_body"))
     origins, _ = stage(origins, "origins")
-    return (candidates.where(~F.col("place").eqNullSafe(F.col("origin"))).join(origins, "hash")
+    return (candidates.where(~F.col("place").eqNullSafe(F.col("origin"))).join(origins.hint("merge"), "hash")
             .where(F.col("body") == F.col("first_body")).select("place.*"))
 
 
@@ -87,7 +88,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_li
                             ["unnamed", "key", "content"], min_lines, roll, every)
             .groupBy("key", "content").agg(F.collect_set("first").alias("gone")))
     gone, _ = stage(gone.withColumnRenamed("content", "gone_content"), "gone")
-    found = rows.join(gone, F.col(k).eqNullSafe(gone["key"]) & (F.col("content") == F.col("gone_content")), "left")
+    found = rows.join(gone.hint("merge"), F.col(k).eqNullSafe(gone["key"]) & (F.col("content") == F.col("gone_content")), "left")
     chunks = chunks_of(F.col(t), roll, every)
     kept = F.array_join(F.flatten(F.transform(
         F.filter(chunks, lambda c: ~F.array_contains("gone", c["first"])), lambda c: c["lines"])), "\n")
