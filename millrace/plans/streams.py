@@ -50,7 +50,7 @@ def _minutes(df, watermark=None):
     return jobs.windowed(df, ["event_type"], "ts", "1 minute", [F.count(F.lit(1)).alias("count")], watermark)
 
 
-@query("tumbling_counts", "ST5 ST10", _MINUTES)
+@query("tumbling_counts", "ST5", _MINUTES)
 def tumbling_counts(t):
     return _snapshot(t, _minutes(_event_stream(t)))
 
@@ -67,7 +67,7 @@ def watermark_append(t):
     return t.spark.table(name)
 
 
-@query("stream_decode_sink", "ST12 ST15 SRC19", DECODED_LINES)
+@query("stream_decode_sink", "ST12 ST15", DECODED_LINES)
 def stream_decode_sink(t):
     source, sink = new_path(t.spark, "messages"), new_path(t.spark, "decoded")
     messages = line_messages(t)
