@@ -95,11 +95,17 @@ class Items:
         self.sizes = {}
         for n, found in by_size.items():
             marks = np.array([m for _, m in found], np.uint32)
-            tables = []
-            for low, high in zip(cuts, cuts[1:]):
-                table = np.zeros(1 << (high - low), bool)
-                table[(marks >> np.uint32(low)) & np.uint32((1 << (high - low)) - 1)] = True
-                tables.append((np.uint32(low), np.uint32((1 << (high - low)) - 1), table))
+            # two blocks share a table where it has 16 bits at most, which halves the look-ups
+            tables, start = [], 0
+            while start < len(cuts) - 1:
+                stop = start + 2 if start + 2 < len(cuts) and cuts[start + 2] - cuts[start] <= 16 else start + 1
+                low, width = cuts[start], cuts[stop] - cuts[start]
+                values, table = np.arange(1 << width, dtype=np.uint32), np.zeros(1 << width, bool)
+                for a, b in zip(cuts[start:stop], cuts[start + 1:stop + 1]):
+                    mask = np.uint32((1 << (b - a)) - 1)
+                    table |= np.isin((values >> np.uint32(a - low)) & mask, (marks >> np.uint32(a)) & mask)
+                tables.append((np.uint32(low), np.uint32((1 << width) - 1), table))
+                start = stop
             self.sizes[n] = (np.array([i for i, _ in found]), marks, tables)
 
     def candidates(self, counts: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
