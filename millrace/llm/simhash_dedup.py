@@ -92,7 +92,8 @@ def with_anchors(marks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(side, anchor, mark) of the homes and of the guests of distinct 64-bit ``mark``."""
     low = F.col("mark").bitwiseAND(F.lit(0xFFFFFFFF))
     high = F.call_function("shiftrightunsigned", F.col("mark"), F.lit(32))
-    halves = marks.select("mark", F.posexplode(F.array(low, high)).alias("side", "half"))
+    group = [c for c in marks.columns if c == "group"]
+    halves = marks.select("mark", *group, F.posexplode(F.array(low, high)).alias("side", "half"))
     halves = halves.withColumn("flip", syndrome(F.col("half")))
     halves = halves.withColumn("home", F.when(F.col("flip") == 0, F.col("half")).otherwise(
         F.col("half").bitwiseXOR(_bit(F.col("flip") - 1))))
@@ -100,24 +101,27 @@ def with_anchors(marks: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = F.expr("""transform(filter(sequence(1, 31), i -> flip <> 0 and i < (i ^ flip)),
                        i -> half ^ shiftleft(1L, i - 1) ^ shiftleft(1L, (i ^ flip) - 1))""")
     near = F.concat(F.array("home", F.col("home").bitwiseXOR(F.lit(1 << 31))), second)
-    return (halves.select("side", F.col("home").alias("anchor"), "mark"),
-            halves.select("side", F.explode(near).alias("anchor"), "mark"))
+    return (halves.select("side", F.col("home").alias("anchor"), "mark", *group),
+            halves.select("side", F.explode(near).alias("anchor"), "mark", *group))
 
 
 def fingerprint_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b), a < b, of distinct marks that differ in 1 to ``radius`` bits, each once.
 
     The smaller mark is met at its home, on the first side if the first halves differ
-    in one bit at most, else on the second.
+    in one bit at most, else on the second. With a column ``group``, links inside a
+    group, which are known already, are not given out.
     """
     if not 1 <= radius <= RADIUS:
         raise ValueError(f"anchors guarantee radius 1 to {RADIUS}")
     homes, guests = with_anchors(marks)
-    guests = guests.withColumnRenamed("mark", "b")
+    known = "group" in marks.columns
+    guests = guests.withColumnsRenamed({"mark": "b", "group": "b_group"})
     apart = F.col("mark").bitwiseXOR(F.col("b"))
     first = (F.col("side") == 0) == (F.bit_count(apart.bitwiseAND(F.lit(0xFFFFFFFF))) <= 1)
+    other = F.col("group") != F.col("b_group") if known else F.lit(True)
     return homes.join(guests, ["side", "anchor"]).where(
-        (F.col("mark") < F.col("b")) & (F.bit_count(apart) <= radius) & first).select(
+        other & (F.col("mark") < F.col("b")) & (F.bit_count(apart) <= radius) & first).select(
         F.col("mark").alias("a"), "b")
 
 
@@ -177,13 +181,22 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     by_mark, path = stage(marked.select("node", F.posexplode("marks").alias("seed", "mark")).distinct(), "by-mark")
     heads, head_path = stage(by_mark.groupBy("seed", "mark").agg(F.min("node").alias("head")), "heads")
     links = by_mark.join(heads, ["seed", "mark"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    for seed in range(len(seeds)):
-        of = heads.where(F.col("seed") == seed).select("mark", "head")
-        near = fingerprint_links(of.select("mark"), radius)
-        links = links.union(near.join(of.select(F.col("mark").alias("a"), F.col("head").alias("ha")), "a")
-                            .join(of.select(F.col("mark").alias("b"), F.col("head").alias("hb")), "b").select("ha", "hb"))
+
+
+    def near(seed: int, of: DataFrame) -> DataFrame:
+        of = of.where(F.col("seed") == seed)
+        marks = of.select("mark", *[c for c in of.columns if c == "group"])
+        return (fingerprint_links(marks, radius).join(of.select(F.col("mark").alias("a"), F.col("head").alias("ha")), "a")
+                .join(of.select(F.col("mark").alias("b"), F.col("head").alias("hb")), "b").select("ha", "hb"))
+    # what the first seed links is one group for the others, so a dense group is not linked pair by pair again
+    found, found_path = components(links.union(near(0, heads)))
+    grouped = heads.join(found, F.col("head") == F.col("u"), "left").select(
+        "seed", "mark", "head", F.coalesce("root", "head").alias("group"))
+    links = found.select(F.col("u").alias("a"), F.col("root").alias("b"))
+    for seed in range(1, len(seeds)):
+        links = links.union(near(seed, grouped))
     roots, _ = components(links)
-    for used in (path, head_path):
+    for used in (path, head_path, found_path):
         remove(docs.sparkSession, used)
     first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "content")).alias("first")
     groups = marked.groupBy("node").agg(first).join(roots, F.col("node") == F.col("u"), "left").groupBy(
