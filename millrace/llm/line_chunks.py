@@ -5,6 +5,10 @@ A hash rolls over the hashes of the last lines of a text; where it is divisible
 stands in two texts is cut alike in both, whatever precedes it. Chunks of two or
 more lines that occur again anywhere are compared as bytes with their first
 occurrence and removed where they are equal.
+
+Such chunks are too coarse for passages of a few lines. ``passages_of`` therefore
+gives every run of two lines, and every long line by itself, so that all repeated
+passages of two lines, or of one long line, are found whole.
 """
 
 from __future__ import annotations
@@ -17,6 +21,10 @@ from millrace.llm.staging import stage
 from millrace.llm.words import content_key
 
 
+#: Words of a line that is a passage by itself.
+PASSAGE = 50
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often ``body`` names it, also inside other functions."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -49,14 +57,29 @@ def chunks_of(text: Column, roll: int = 2, every: int = 4) -> Column:
         chunk_starts(lines, roll, every), lambda starts: cut(lines, starts)))
 
 
-def repeated_chunks(rows: DataFrame, text: str, identity: list[str], min_lines: int, roll: int, every: int) -> DataFrame:
-    """(identity, first) of every repeated chunk but its first occurrence, by the order of ``identity`` and place."""
-    exploded = rows.where(F.col(text).isNotNull()).select(*identity, F.explode(chunks_of(F.col(text), roll, every)).alias("chunk"))
-    exploded = exploded.where((F.size("chunk.lines") >= min_lines)
-                              & F.exists("chunk.lines", lambda line: F.length(F.trim(line)) > 0))
+def passages_of(text: Column, size: int, alone: int) -> Column:
+    """array<struct<first, lines>>: all runs of ``size`` lines, and all lines of ``alone`` words or more, counted by blanks."""
+    def runs(lines: Column) -> Column:
+        starts = F.filter(F.transform(lines, lambda line, i: i), lambda i: i + size <= F.size(lines))
+        return F.transform(starts, lambda i: F.struct(i.alias("first"), F.slice(lines, i + 1, size).alias("lines")))
+
+    def singles(lines: Column) -> Column:
+        found = F.transform(lines, lambda line, i: F.struct(i.alias("first"), F.array(line).alias("lines")))
+        return F.filter(found, lambda c: F.length(c["lines"][0]) - F.length(F.replace(c["lines"][0], F.lit(" "), F.lit(""))) >= alone - 1)
+    return let(F.split(text, "\n", -1), lambda lines: F.concat(runs(lines), singles(lines)))
+
+
+def repeated_chunks(rows: DataFrame, text: str, identity: list[str], chunks: Column, wanted: Column) -> DataFrame:
+    """(identity, first, size) of every repeated chunk but its first occurrence, by the order of ``identity`` and place.
+
+    Chunks may overlap; one that overlaps its own first occurrence is left out.
+    """
+    exploded = rows.where(F.col(text).isNotNull()).select(*identity, F.explode(chunks).alias("chunk"))
+    exploded = exploded.where(wanted & F.exists("chunk.lines", lambda line: F.length(F.trim(line)) > 0))
     joined = F.array_join("chunk.lines", "\n")
     place = F.struct(*[F.col(c) for c in identity], F.col("chunk.first").alias("first"))
-    marked = exploded.select(place.alias("place"), F.xxhash64(joined, F.size("chunk.lines")).alias("hash"), joined.alias("body"))
+    marked = exploded.select(place.alias("place"), F.xxhash64(joined, F.size("chunk.lines")).alias("hash"), joined.alias("body"),
+                             F.size("chunk.lines").alias("size"))
     # places and hashes alone are counted; the few repeated hashes then fetch the chunks themselves
     repeated, _ = stage(marked.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("origin"))
                         .where("n > 1").select("hash", "origin"), "repeated")
@@ -64,14 +87,22 @@ def repeated_chunks(rows: DataFrame, text: str, identity: list[str], min_lines:
     candidates, _ = stage(marked.join(repeated.hint("merge"), "hash"), "candidates")
     origins = candidates.where(F.col("place").eqNullSafe(F.col("origin"))).groupBy("hash").agg(F.max("body").alias("first_body"))
     origins, _ = stage(origins, "origins")
-    return (candidates.where(~F.col("place").eqNullSafe(F.col("origin"))).join(origins.hint("merge"), "hash")
-            .where(F.col("body") == F.col("first_body")).select("place.*"))
+    within = F.lit(True)
+    for c in identity:
+        within = within & F.col(f"place.{c}").eqNullSafe(F.col(f"origin.{c}"))
+    apart = ~within | (F.col("place.first") >= F.col("origin.first") + F.col("size"))
+    return (candidates.where(apart).join(origins.hint("merge"), "hash")
+            .where(F.col("body") == F.col("first_body")).select("place.*", "size"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 2, roll: int = 2,
-                every: int = 4, removed_into: str | None = None) -> DataFrame:
+                every: int = 4, removed_into: str | None = None, alone: int | None = None) -> DataFrame:
     """``docs`` without repeated chunks of ``min_lines`` lines or more; the first occurrence stays.
 
+    With ``alone``, chunks are all runs of ``min_lines`` lines and all single lines of
+    ``alone`` words or more, so every repeated passage of such a size goes, wherever it
+    stands; ``roll`` and ``every`` are not used then.
+
     All rows and columns stay, also where nothing is left of a text (it is then
     empty). First is the smallest key (null last), then content hash, then place.
     Rows equal in key and text are one document: what one keeps, all keep. Null and
@@ -84,25 +115,29 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_li
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
     k, t = own[key], own[text]
     rows = rows.withColumns({"unnamed": F.col(k).isNull(), "content": content_key(k, t)})
+    if alone is None:
+        chunks, wanted = chunks_of(F.col("text"), roll, every), F.size("chunk.lines") >= min_lines
+    else:
+        chunks, wanted = passages_of(F.col("text"), min_lines, alone), F.lit(True)
+    numbers = F.sequence("first", F.col("first") + F.col("size") - 1)
     gone = (repeated_chunks(rows.select("unnamed", F.col(k).alias("key"), "content", F.col(t).alias("text")), "text",
-                            ["unnamed", "key", "content"], min_lines, roll, every)
-            .groupBy("key", "content").agg(F.collect_set("first").alias("gone")))
+                            ["unnamed", "key", "content"], chunks, wanted)
+            .select("key", "content", F.explode(numbers).alias("line"))
+            .groupBy("key", "content").agg(F.collect_set("line").alias("gone")))
     gone, _ = stage(gone.withColumnRenamed("content", "gone_content"), "gone")
     found = rows.join(gone.hint("merge"), F.col(k).eqNullSafe(gone["key"]) & (F.col("content") == F.col("gone_content")), "left")
-    chunks = chunks_of(F.col(t), roll, every)
-    kept = F.array_join(F.flatten(F.transform(
-        F.filter(chunks, lambda c: ~F.array_contains("gone", c["first"])), lambda c: c["lines"])), "\n")
+    kept = let(F.split(F.col(t), "\n", -1), lambda lines: F.array_join(F.transform(
+        F.array_except(F.transform(lines, lambda line, i: i), "gone"), lambda i: F.get(lines, i)), "\n"))
     changed = F.when(F.col("gone").isNull(), F.col(t)).otherwise(kept)
     found = found.withColumns({"new": changed})
-    left = F.when(F.col("new") == "", 0).otherwise(F.size(F.split("new", "\n", -1)))
-    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size(F.split(F.col(t), "\n", -1)) - left).cast("bigint")
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint")
     out = [F.col("new" if n == t else n).alias(c) for c, n in own.items() if c != removed_into]
     return found.select(*out, *([removed.alias(removed_into)] if removed_into else []))
 
 
 def _query(spark, folder):
     from millrace.llm.catalog import table
-    return dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), removed_into="n_removed")
+    return dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), removed_into="n_removed", alone=PASSAGE)
 
 
 QUERIES = {"op10_line_chunks": (_query, None)}

@@ -80,3 +80,24 @@ def test_odd_rows(odd, empty, spark):
     texts = sorted(((r.doc_id or 9), r.text) for r in C.dedup_lines(spark.createDataFrame(rows, "doc_id int, text string")).collect())
     assert [t for i, t in texts if i == 1] == [block, block] and [t for i, t in texts if i in (3, 4)] == ["\n\n\n"] * 2
     assert all(len(t) < len(block) for i, t in texts if i in (2, 9))
+
+
+def test_short_planted_passages_go(spark):
+    rng = random.Random(21)
+    line = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    passages = [[line(60)], [line(27), line(27)], [line(20), line(9), line(30)], [line(12) for _ in range(4)]] * 5
+    texts, left = {}, {}
+    for i, passage in enumerate(passages):
+        for n in range(2):
+            own = [line(27) for _ in range(4)]
+            texts[2 * i + n] = "\n".join([*own[:2], *passage, *own[2:]])
+            left[2 * i + n] = texts[2 * i + n] if i < 4 and n == 0 else "\n".join(own)
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    assert {r.doc_id: r.text for r in C.dedup_lines(df, alone=50).collect()} == left
+
+
+def test_overlaps_and_short_lines_keep_their_first(spark):
+    texts = {1: "a\na\na", 2: "b\nb\nb\nb", 3: "x\ny", 4: "x", 5: "\n\n\n"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    found = {r.doc_id: (r.text, r.gone) for r in C.dedup_lines(df, alone=50, removed_into="gone").collect()}
+    assert found == {1: ("a\na\na", 0), 2: ("b\nb", 2), 3: ("x\ny", 0), 4: ("x", 0), 5: ("\n\n\n", 0)}
