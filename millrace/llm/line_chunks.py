@@ -76,23 +76,33 @@ def repeated_chunks(rows: DataFrame, text: str, identity: list[str], chunks: Col
     """
     exploded = rows.where(F.col(text).isNotNull()).select(*identity, F.explode(chunks).alias("chunk"))
     exploded = exploded.where(wanted & F.exists("chunk.lines", lambda line: F.length(F.trim(line)) > 0))
-    joined = F.array_join("chunk.lines", "\n")
+    size = F.size("chunk.lines")
     place = F.struct(*[F.col(c) for c in identity], F.col("chunk.first").alias("first"))
-    marked = exploded.select(place.alias("place"), F.xxhash64(joined, F.size("chunk.lines")).alias("hash"), joined.alias("body"),
-                             F.size("chunk.lines").alias("size"))
-    # places and hashes alone are counted; the few repeated hashes then fetch the chunks themselves
+    marked = exploded.select(place.alias("place"), F.xxhash64(F.array_join("chunk.lines", "\n"), size).alias("hash"), size.alias("size"))
+    # places and hashes alone are counted; the few repeated ones then fetch the chunks themselves from the texts
     repeated, _ = stage(marked.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("origin"))
                         .where("n > 1").select("hash", "origin"), "repeated")
     # a merge join at every size: what repeats grows with the texts, and adaptive execution may split a hot hash
-    candidates, _ = stage(marked.join(repeated.hint("merge"), "hash"), "candidates")
-    origins = candidates.where(F.col("place").eqNullSafe(F.col("origin"))).groupBy("hash").agg(F.max("body").alias("first_body"))
-    origins, _ = stage(origins, "origins")
+    found = marked.join(repeated.hint("merge"), "hash")
     within = F.lit(True)
     for c in identity:
         within = within & F.col(f"place.{c}").eqNullSafe(F.col(f"origin.{c}"))
-    apart = ~within | (F.col("place.first") >= F.col("origin.first") + F.col("size"))
-    return (candidates.where(apart).join(origins.hint("merge"), "hash")
-            .where(F.col("body") == F.col("first_body")).select("place.*", "size"))
+    first = F.col("place").eqNullSafe(F.col("origin"))
+    found = found.where(first | ~within | (F.col("place.first") >= F.col("origin.first") + F.col("size")))
+    lists = found.groupBy(*[F.col(f"place.{c}").alias(f"own_{c}") for c in identity]).agg(
+        F.collect_set(F.struct("place.first", "size", "hash", first.alias("origin"))).alias("found"))
+    same = F.lit(True)
+    for c in identity:
+        same = same & F.col(c).eqNullSafe(F.col(f"own_{c}"))
+    fetched = rows.join(lists.hint("merge"), same).select(*identity, F.explode(let(
+        F.split(F.col(text), "\n", -1), lambda lines: F.transform("found", lambda c: F.struct(
+            c["first"].alias("first"), c["size"].alias("size"), c["hash"].alias("hash"), c["origin"].alias("origin"),
+            F.array_join(F.slice(lines, c["first"] + 1, c["size"]), "\n").alias("body"))))).alias("c")).select(*identity, "c.*")
+    candidates, _ = stage(fetched, "candidates")
+    origins = candidates.where("origin").groupBy("hash").agg(F.max("body").alias("first_body"))
+    origins, _ = stage(origins, "origins")
+    return (candidates.where("NOT origin").join(origins.hint("merge"), "hash")
+            .where(F.col("body") == F.col("first_body")).select(*identity, "first", "size"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 2, roll: int = 2,
