@@ -1,22 +1,24 @@
 """Phrases whose words stand together more often than apart, by top-order marginalisation.
 
 Only the longest windows are counted: the word at each position and the words
-that follow it as lead columns, padded with empty strings at the end of a piece.
-Every shorter phrase is a prefix of such a window, so one ROLLUP over the lead
-columns gives the counts of all lengths, and no n-grams are made per length. A
-task counts its windows in chunks before they reach Spark, which keeps frequent
-words and phrases from being sent once per occurrence.
+that follow it as lead columns, padded at the end of a piece. Every shorter
+phrase is a prefix of such a window, so one ROLLUP over the lead columns gives
+the counts of all lengths, and no n-grams are made per length. A task counts its
+windows in chunks before they reach Spark, which keeps frequent words and phrases
+from being sent once per occurrence. Windows hold 64-bit hashes of words under a
+seed for which no two words of the corpus share one, so counts are exact.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import xxhash
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millrace.llm.staging import stage, staging
 from millrace.llm.words import numbered
@@ -28,7 +30,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(ord(".") if b in ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 #: Words a task counts together, and bytes it cuts into words at once.
-CHUNK_WORDS, CHUNK_BYTES = 4_000_000, 1 << 20
+CHUNK_WORDS, CHUNK_BYTES = 2_000_000, 1 << 20
 
 _ROWS = 65_536
 
@@ -60,7 +62,13 @@ class _Counter:
         self.parts.append((self.langs.setdefault(lang, len(self.langs)), np.append(ids, 1).astype(np.int32)))
         self.seen += len(ids)
 
-    def windows(self) -> Iterator[pa.RecordBatch]:
+    def hashes(self, seed: int) -> np.ndarray:
+        """Signed 64-bit hash of every word by number; the padding is 0."""
+        found = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words)).view(np.int64)
+        found[0] = 0
+        return found
+
+    def windows(self, seed: int) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate([p for _, p in self.parts] + [np.ones(self.longest, np.int32)])
         lang = np.repeat(np.array([g for g, _ in self.parts], np.int32), [len(p) for _, p in self.parts])
         first = np.flatnonzero(ids[:len(lang)] != 1)
@@ -76,54 +84,70 @@ class _Counter:
             new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
         heads = np.flatnonzero(new)
         uses = np.diff(np.append(heads, len(order)))
-        known = pa.array(list(self.words), pa.binary()).cast(pa.string())
-        langs = pa.array(list(self.langs), pa.string())
+        known, langs = self.hashes(seed), pa.array(list(self.langs), pa.string())
         for low in range(0, len(heads), _ROWS):
             at = heads[low:low + _ROWS]
             yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(columns[0][at])), *[known.take(pa.array(c[at])) for c in columns[1:]],
+                [langs.take(pa.array(columns[0][at])), *[pa.array(known[c[at]]) for c in columns[1:]],
                  pa.array(uses[low:low + _ROWS], pa.int64())],
                 ["lang", *[f"w{i}" for i in range(1, self.longest + 1)], "uses"])
 
+    def vocabulary(self, seed: int) -> Iterator[pa.RecordBatch]:
+        hashes, words = pa.array(self.hashes(seed)), pa.array(list(self.words), pa.binary()).cast(pa.string())
+        for low in range(2, len(words), _ROWS):
+            yield pa.RecordBatch.from_arrays([hashes[low:low + _ROWS], words[low:low + _ROWS]], ["hash", "word"])
 
-def window_counts(rows: DataFrame, longest: int) -> DataFrame:
-    """``lang``, lead columns ``w1`` to ``w<longest>`` and ``uses`` of the windows of every chunk of a task.
 
-    ``rows``: (lang, text) without nulls. A window occurs once per chunk that has it.
-    """
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(rows: DataFrame, longest: int, schema: str, give: Callable[[_Counter], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """What ``give`` makes of every chunk of a task. ``rows``: (lang, text) without nulls."""
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(longest)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 for part in _slices(text.translate(_FOLD)):
                     counter.add(lang, part)
                     if counter.seen >= CHUNK_WORDS:
-                        yield from counter.windows()
+                        yield from give(counter)
                         counter = _Counter(longest)
         if counter.parts:
-            yield from counter.windows()
+            yield from give(counter)
+    return rows.mapInArrow(made, schema)
 
-    leads = ", ".join(f"w{i} string" for i in range(1, longest + 1))
-    return rows.mapInArrow(counted, f"lang string, {leads}, uses bigint")
 
+def window_counts(rows: DataFrame, longest: int, seed: int) -> DataFrame:
+    """``lang``, lead columns ``w1`` to ``w<longest>`` (hashes, 0 as padding) and ``uses`` of every window of a chunk."""
+    leads = ", ".join(f"w{i} bigint" for i in range(1, longest + 1))
+    return _chunks(rows, longest, f"lang string, {leads}, uses bigint", lambda counter: counter.windows(seed))
 
-def phrase_counts(docs: DataFrame, text: str, lang: str, longest: int) -> DataFrame:
-    """``lang``, ``words``, ``f`` of every phrase of 1 to ``longest`` words; the empty phrase has all word occurrences."""
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                       F.coalesce(F.col(text), F.lit("")).alias("text"))
-    leads = [f"w{i}" for i in range(1, longest + 1)]
-    rolled = docs.sparkSession.sql(
-        f"SELECT lang, {', '.join(leads)}, sum(uses) AS f, grouping_id() AS rolled FROM {{windows}} "
-        f"GROUP BY lang, ROLLUP ({', '.join(leads)})", windows=window_counts(rows, longest))
-    # a grouping id has one bit for each column that was summed over, the last column lowest
-    size = F.lit(longest) - F.bit_count("rolled")
-    words = F.slice(F.array(*leads), F.lit(1), size)
-    # a padded window of a shorter phrase is no phrase: its shorter prefix has the count
-    return rolled.select("lang", words.alias("words"), "f").where(~F.array_contains("words", ""))
+
+def vocabulary(put, rows: DataFrame) -> tuple[DataFrame, int]:
+    """Staged (hash, word) of all words, and the first seed under which no two words share a hash."""
+    for seed in itertools.count():
+        found = _chunks(rows, 1, "hash bigint, word string", lambda counter: counter.vocabulary(seed))
+        found = put(found.groupBy("hash").agg(F.min("word").alias("word"), F.max("word").alias("last")), "vocabulary")
+        if found.where("word <> last OR hash = 0").isEmpty():
+            return found.select("hash", "word"), seed
 
 
-def _joined(words: Column) -> Column:
-    return F.array_join(words, " ")
+def phrase_counts(rows: DataFrame, longest: int, least: int, seed: int) -> DataFrame:
+    """``lang``, ``words`` (hashes), ``f`` of every phrase that occurs ``least`` times; the empty phrase has all word occurrences.
+
+    Windows are dealt by range, so that a phrase's windows lie together: they are added
+    up without a further shuffle, and the ROLLUP has few partial sums of each prefix to send.
+    """
+    leads = [f"w{i}" for i in range(1, longest + 1)]
+    whole = window_counts(rows, longest, seed).repartitionByRange("lang", *leads).groupBy("lang", *leads).agg(
+        F.sum("uses").alias("f"))
+    shorter = ", ".join(leads[:-1])
+    rolled = rows.sparkSession.sql(
+        f"SELECT lang, {shorter}, sum(f) AS f, grouping_id() AS rolled FROM {{whole}} GROUP BY lang, ROLLUP ({shorter})", whole=whole)
+    # a grouping id has one bit for each column that was summed over
+    words = F.slice(F.array(*leads[:-1]), F.lit(1), F.lit(longest - 1) - F.bit_count("rolled"))
+    found = rolled.select("lang", words.alias("words"), "f").union(whole.select("lang", F.array(*leads), "f"))
+    # a padded window is no phrase of that length: its prefix without padding has the count. As a product with the
+    # count this stays above the sums, so that both branches of the union read one shuffle
+    unpadded = ~F.array_contains("words", F.lit(0).cast("bigint"))
+    return found.where(F.col("f") * unpadded.cast("bigint") >= least)
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3, least: int = 10,
@@ -149,36 +173,45 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longes
     """
     if longest < 2:
         raise ValueError("phrases have two words at least")
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
+                       F.coalesce(F.col(text), F.lit("")).alias("text"))
     with staging(docs.sparkSession) as put:
-        counts = put(phrase_counts(docs, text, lang, longest).where(
-            (F.size("words") == 0) | (F.col("f") >= least)), "phrase-counts")
+        known, seed = vocabulary(put, rows)
+        counts = put(phrase_counts(rows, longest, least, seed), "phrase-counts")
         totals = counts.where(F.size("words") == 0).select("lang", F.col("f").alias("n"))
         phrases = counts.where(F.size("words") > 0)
-        parts = phrases.select("lang", _joined(F.col("words")).alias("part"), F.col("f"))
+        parts = phrases.select("lang", F.col("words").alias("part"), "f")
         candidates = phrases.where(F.size("words") > 1).withColumnRenamed("f", "a")
 
         m = F.size("words")
         cuts = candidates.select("lang", "words", "a", F.explode(F.sequence(F.lit(1), m - 1)).alias("k"))
-        cuts = cuts.select("lang", _joined(F.col("words")).alias("phrase"), "a", "k",
-                           _joined(F.slice("words", F.lit(1), F.col("k"))).alias("first"),
-                           _joined(F.slice("words", F.col("k") + 1, m - F.col("k"))).alias("rest"))
+        cuts = cuts.select("lang", "words", "a", "k", F.slice("words", F.lit(1), F.col("k")).alias("first"),
+                           F.slice("words", F.col("k") + 1, m - F.col("k")).alias("rest"))
         for side, count in (("first", "l"), ("rest", "r")):
             cuts = put(cuts.join(parts.withColumnsRenamed({"part": side, "f": count}), ["lang", side]), f"cuts-{side}")
         wide = {c: F.col(c).cast("decimal(19,0)") for c in ("a", "l", "r")}
         score = F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (wide["a"] * wide["a"]), wide["l"] * wide["r"])
         worst = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("worst")
-        scored = cuts.groupBy("lang", "phrase", "a").agg(worst)
+        scored = cuts.groupBy("lang", "words", "a").agg(worst)
 
         inner = F.flatten(F.transform(F.sequence(F.lit(2), m - 1), lambda size: F.transform(
-            F.sequence(F.lit(1), m - size + 1), lambda at: _joined(F.slice("words", at, size)))))
-        longer = candidates.where(m > 2).select("lang", F.explode(inner).alias("phrase"), F.col("a").alias("f"))
-        covers = longer.groupBy("lang", "phrase").agg(F.max("f").alias("most"))
+            F.sequence(F.lit(1), m - size + 1), lambda at: F.slice("words", at, size))))
+        longer = candidates.where(m > 2).select("lang", F.explode(inner).alias("words"), F.col("a").alias("f"))
+        covers = longer.groupBy("lang", "words").agg(F.max("f").alias("most"))
         share = round(100 * covered_share)
-        kept = scored.join(covers, ["lang", "phrase"], "left").where(
-            F.col("most").isNull() | (100 * F.col("most") < share * F.col("a")))
-        found = kept.select("lang", "phrase", "a", "worst.l", "worst.r", "worst.score")
-        order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-        ranked = found.withColumn("rank", F.row_number().over(order).cast("bigint"))
+        found = scored.join(covers, ["lang", "words"], "left").where(
+            F.col("most").isNull() | (100 * F.col("most") < share * F.col("a"))).select(
+            "lang", "words", "a", "worst.l", "worst.r", "worst.score")
+        by = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+        if top is not None:
+            # ties at the end stay until the phrases are known
+            found = found.withColumn("rank", F.rank().over(by)).where(F.col("rank") <= top).drop("rank")
+        found = put(found, "found")
+        spelled = found.select("lang", "words", F.posexplode("words").alias("at", "hash")).join(known, "hash").groupBy(
+            "lang", "words").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelled"))
+        spelled = spelled.select("lang", "words", F.array_join("spelled.word", " ").alias("phrase"))
+        by = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+        ranked = found.join(spelled, ["lang", "words"]).withColumn("rank", F.row_number().over(by).cast("bigint"))
         if top is not None:
             ranked = ranked.where(F.col("rank") <= top)
         out, _ = stage(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"), "phrases")
