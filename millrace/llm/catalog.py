@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Modules that define QUERIES: name -> (plan, SQL or None).
 MODULES = ("token_counts", "quality_rules", "url_rules", "license_scan", "simhash_dedup", "decontaminate",
-           "line_chunks", "packing", "token_records", "katz", "phrases", "whitening")
+           "line_chunks", "packing", "token_records", "katz", "phrases", "whitening",
+           "winnowing")
 
 
 @dataclass(frozen=True)
