@@ -99,30 +99,33 @@ def salt_sides(left: DataFrame, right: DataFrame, key: str, salts: int = 16, sup
     return salted, repeated
 
 
-def salt_by_share(left: DataFrame, right: DataFrame, key: str, target_rows: int = 1_000_000,
-                  salt_name: str = "_salt") -> tuple[DataFrame, DataFrame]:
-    """Spread each key of ``left`` that has more than ``target_rows`` rows over as many salts as it needs.
-
-    The list of such keys has at most rows / target_rows entries. A key that is
-    that frequent on the right as well would have all of it repeated per salt, so
-    it is refused: aggregate or split one side first.
+def grid_by_share(left: DataFrame, right: DataFrame, key: str,
+                  target_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """Cut each frequent key into a grid of cells by its counted share on both sides.
+
+    A key with l and r rows gets ceil(l / target_rows) x ceil(r / target_rows) cells.
+    A left row lies in one line of cells and is repeated along it, a right row in one
+    column, so each pair meets in exactly one cell and no cell has much more than
+    ``target_rows`` of a side; a key that is frequent on one side only is repeated on the
+    other alone. Both sides get ``_line`` and ``_column``, the left one also ``_columns``,
+    in how many cells its row is, and the right one ``_hit``. Other keys, and NULL, have
+    one cell. The list of frequent keys has at most rows / target_rows entries a side.
     """
-    def large(df: DataFrame) -> DataFrame:
-        return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > target_rows))
-    salts = F.ceil(F.col("_n") / target_rows).cast("int").alias("_salts")
-    hot = materialize(large(left).select(F.col(key).alias("_hot"), salts), "hot-keys")
-    both = large(right).join(hot, F.col(key) == F.col("_hot"), "leftsemi").limit(5).collect()
-    if both:
-        raise ValueError(f"keys frequent on both sides: {[r[0] for r in both]}")
-    hot = checked_broadcast(hot)
-    salted = (left.join(hot, F.col(key) == F.col("_hot"), "left")
-              .withColumn(salt_name, F.coalesce(F.pmod(spread(left), F.col("_salts")).cast("int"), F.lit(0)))
-              .drop("_hot", "_salts"))
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    repeated = (right.join(hot, F.col(key) == F.col("_hot"), "left")
-                .withColumn(salt_name, F.explode(copies)).drop("_hot", "_salts"))
-    return salted, repeated
+    def large(df: DataFrame, name: str) -> DataFrame:
+        return (df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > target_rows).select("_hot", F.ceil(F.col("_n") / target_rows).cast("int").alias(name)))
+
+    hot = checked_broadcast(materialize(large(left, "_l").join(large(right, "_r"), "_hot", "full").select(
+        "_hot", F.coalesce("_l", F.lit(1)).alias("_l"), F.coalesce("_r", F.lit(1)).alias("_r")), "hot-keys"))
+
+    def dealt(df: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
+        known = df.join(hot, F.col(key) == F.col("_hot"), "left")
+        slot = F.coalesce(F.pmod(spread(df), F.col(own_count)).cast("int"), F.lit(0))
+        cells = F.sequence(F.lit(0), F.coalesce(F.col(other_count), F.lit(1)) - 1)
+        return known.withColumn(own, slot).withColumn(other, F.explode(cells))
+    lines = dealt(left, "_line", "_l", "_column", "_r").withColumn("_columns", F.coalesce("_r", F.lit(1)))
+    columns = dealt(right, "_column", "_r", "_line", "_l").withColumn("_hit", F.lit(True))
+    return lines.drop("_hot", "_l", "_r"), columns.drop("_hot", "_l", "_r")
 
 
 def _salted(left: DataFrame, right: DataFrame, key: str, how: str, salts: int | None, support: float,
@@ -130,25 +133,43 @@ def _salted(left: DataFrame, right: DataFrame, key: str, how: str, salts: int |
     if (salts or target_rows) and how not in _SALTED_TYPES:
         raise ValueError(f"salting repeats the right side, which a {how} join cannot have")
     if target_rows:
-        return *salt_by_share(left, right, key, target_rows), [key, "_salt"]
+        # a semi or anti join needs each right key once, so nothing repeats the left side
+        right = right if how in ("inner", "left") else _keys_of(right, [key])
+        return *grid_by_share(left, right, key, target_rows), [key, "_line", "_column"]
     if salts:
         return *salt_sides(left, right, key, salts, support), [key, "_salt"]
     return left, right, [key]
 
 
+def _unsalted(joined: DataFrame) -> DataFrame:
+    """The result without helper columns. A left row in several cells has a partner, so its lone copies go."""
+    if {"_columns", "_hit"} <= set(joined.columns):
+        joined = joined.where((F.col("_columns") == 1) | F.col("_hit").isNotNull())
+    return joined.drop("_salt", "_line", "_column", "_columns", "_hit")
+
+
 def join_prepartitioned(left: DataFrame, right: DataFrame, key: str, partitions: int | None = None,
                         how: str = "inner", salts: int | None = None, support: float = 0.02,
                         target_rows: int | None = None) -> DataFrame:
     """Hash both sides on the join key first, so the join adds no exchange of its own.
 
     Adaptive skew handling leaves explicit partitionings alone. ``target_rows``
-    spreads every key of the left side beyond that size by its counted share;
-    ``salts`` spreads the keys beyond ``support`` evenly.
+    cuts every key that is larger on either side, or on both, into a grid of cells of
+    that size; ``salts`` spreads the keys of the left side beyond ``support`` evenly.
     """
     left, right, keys = _salted(left, right, key, how, salts, support, target_rows)
     count = [partitions] if partitions else []
     joined = left.repartition(*count, *keys).join(right.repartition(*count, *keys), keys, how)
-    return joined.drop("_salt")
+    return _unsalted(joined)
+
+
+def join_grid(left: DataFrame, right: DataFrame, key: str, target_rows: int = 1_000_000, how: str = "inner") -> DataFrame:
+    """Join that takes keys frequent on both sides, see ``grid_by_share``; inner, left, leftsemi or leftanti.
+
+    Unlike adaptive skew handling it is certain, and it splits both sides of a key.
+    """
+    left, right, keys = _salted(left, right, key, how, None, 0.0, target_rows)
+    return _unsalted(left.join(right, keys, how))
 
 
 def join_bucketed(left: DataFrame, right: DataFrame, key: str, buckets: int, how: str = "inner",
@@ -157,7 +178,7 @@ def join_bucketed(left: DataFrame, right: DataFrame, key: str, buckets: int, how
     """Store both sides bucketed alike and join the stored tables without any exchange.
 
     Worth it when the tables are joined more than once. With ``target_rows`` or
-    ``salts`` the bucket key is (key, salt), so a hot key fills several buckets.
+    ``salts`` the bucket key has the cell or the salt too, so a hot key fills several buckets.
     """
     left, right, keys = _salted(left, right, key, how, salts, support, target_rows)
     sides = []
@@ -165,4 +186,4 @@ def join_bucketed(left: DataFrame, right: DataFrame, key: str, buckets: int, how
         name = new_name(label)
         sides.append(save_table(side, name, path=new_path(side.sparkSession, label),
                                 bucket_by=keys, buckets=buckets))
-    return sides[0].join(sides[1].hint("merge"), keys, how).drop("_salt")
+    return _unsalted(sides[0].join(sides[1].hint("merge"), keys, how))

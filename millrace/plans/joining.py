@@ -140,6 +140,27 @@ def bucketed_join_salted(t):
     return joined.select("custkey", "o_orderkey", "o_totalprice", "c_name", "c_mktsegment")
 
 
+@query("join_grid", "JN11 JN12", """
+    SELECT n_regionkey, c_custkey, s_suppkey FROM customer JOIN nation c ON c_nationkey = n_nationkey
+    JOIN (SELECT s_suppkey, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey) USING (n_regionkey)""")
+def join_grid(t):
+    # suppliers of a customer's region: five keys, each frequent on both sides
+    regions = J.checked_broadcast(t.nation.select("n_nationkey", "n_regionkey"))
+    customers = t.customer.join(regions, F.col("c_nationkey") == F.col("n_nationkey")).select("n_regionkey", "c_custkey")
+    suppliers = t.supplier.join(regions, F.col("s_nationkey") == F.col("n_nationkey")).select("n_regionkey", "s_suppkey")
+    return J.join_grid(customers, suppliers, "n_regionkey", target_rows=50)
+
+
+@query("join_grid_left", "JN2 JN11 JN13", """
+    SELECT o_orderkey, o_orderdate, p_partkey FROM orders
+    LEFT JOIN (SELECT p_partkey, DATE '1995-01-01' + CAST(p_size * p_size AS INTEGER) AS day FROM part) ON day = o_orderdate""")
+def join_grid_left(t):
+    # parts by a day that their size names: few days, which have many parts and many orders; bucketed in cells
+    parts = t.part.select("p_partkey", F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_size") * F.col("p_size")).cast("int"))
+                          .alias("o_orderdate"))
+    return J.join_bucketed(t.orders.select("o_orderkey", "o_orderdate"), parts, "o_orderdate", buckets=8, how="left", target_rows=5)
+
+
 @query("star_join_top_k", "JN14", """
     WITH top AS (SELECT o_custkey FROM orders GROUP BY 1 ORDER BY count(*) DESC, o_custkey LIMIT 20)
     SELECT p_type, count(*) AS count

@@ -81,19 +81,56 @@ def test_salts_spread_the_hot_key(hot, dimension):
     assert largest < 1500
 
 
-def test_salts_follow_the_share_of_a_key(spark, rows):
+def test_cells_follow_the_share_of_a_key(spark, rows):
     left = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") < 4500, 7).otherwise(F.col("id")).alias("k"),
                                              F.col("id").alias("v"))
     right = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
-    salted, repeated = J.salt_by_share(left, right, "k", target_rows=500)
-    assert salted.where("k = 7").select("_salt").distinct().count() == 9
-    report = partition_report(salted.repartition(16, "k", "_salt")).agg(F.max("rows"), F.avg("rows")).first()
-    assert report[0] < 4 * report[1] and repeated.where("k = 7").count() == 9
+    lines, columns = J.grid_by_share(left, right, "k", target_rows=500)
+    assert lines.where("k = 7").select("_line").distinct().count() == 9
+    report = partition_report(lines.repartition(16, "k", "_line", "_column")).agg(F.max("rows"), F.avg("rows")).first()
+    assert report[0] < 4 * report[1] and columns.where("k = 7").count() == 9
     for how in ("inner", "left", "leftsemi", "leftanti"):
         expected = rows(left.join(right, "k", how))
         assert rows(J.join_prepartitioned(left, right, "k", 4, how, target_rows=500)) == expected
-    with pytest.raises(ValueError, match="both sides"):
-        J.salt_by_share(left, left.withColumnRenamed("v", "d"), "k", target_rows=500)
+
+
+@pytest.fixture
+def hot_sides(spark):
+    """Key 7 holds half of both sides, 8 many rows of the left and few of the right, 9 none of the right; some are NULL."""
+    left = spark.range(0, 1600, 1, 5).select(
+        F.when(F.col("id") < 800, 7).when(F.col("id") < 1000, 8).when(F.col("id") < 1200, 9).when(F.col("id") < 1210, F.lit(None))
+        .otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 600, 1, 3).select(
+        F.when(F.col("id") < 300, 7).when(F.col("id") < 303, 8).when(F.col("id") < 310, F.lit(None))
+        .otherwise(F.col("id") + 1000).alias("k"), F.col("id").alias("d"))
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "leftsemi", "leftanti"])
+def test_keys_hot_on_both_sides(hot_sides, rows, how):
+    left, right = hot_sides
+    expected = rows(left.join(right, "k", how))
+    # cells smaller than a slot's luck, so that some of a grid's cells are empty on one side
+    for target in (100, 3):
+        assert rows(J.join_grid(left, right, "k", target, how)) == expected
+    assert rows(J.join_prepartitioned(left, right, "k", 4, how, target_rows=100)) == expected
+    assert rows(J.join_bucketed(left, right, "k", 4, how, target_rows=100)) == expected
+
+
+def test_a_cell_bounds_both_sides(hot_sides):
+    lines, columns = J.grid_by_share(*hot_sides, "k", target_rows=100)
+    sizes = [side.groupBy("k", "_line", "_column").count().agg(F.max("count")).first()[0] for side in (lines, columns)]
+    assert max(sizes) < 200
+    assert lines.where("k = 7").select("_line", "_column").distinct().count() == 8 * 3
+    # repeated as often as the other side has cells, and not where it has one
+    assert (lines.where("k = 7").count(), columns.where("k = 7").count()) == (800 * 3, 300 * 8)
+    assert (lines.where("k = 8").count(), columns.where("k = 8").count()) == (200, 3 * 2)
+    assert lines.where("k IS NULL").count() == 10
+
+
+def test_the_grid_join_hashes_on_cells(hot_sides, no_broadcast):
+    found = exchanges(J.join_grid(*hot_sides, "k", 100))
+    assert len(found) == 2 and all("_line" in e and "_column" in e for e in found)
 
 
 def test_salts_spread_copies_of_one_row(spark, rows):
