@@ -137,13 +137,24 @@ def scd2_apply(history: DataFrame, changes: DataFrame, keys: Sequence[str], at:
     return kept.unionByName(accepted.withColumns({valid_from: start, valid_to: end}))
 
 
+def last_changes(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last change of every key, deletions included.
+
+    ``append_version`` with keys sees to it that a version holds one change per key;
+    in other logs the later time and then a hash of the row decide. The rank limit keeps
+    one row per key and task before the shuffle.
+    """
+    latest = Window.partitionBy(*keys).orderBy(
+        F.desc(VERSION), F.desc(TIME), F.desc(F.xxhash64(*hashable_columns(log))))
+    return log.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1).drop("_rank")
+
+
 def as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
           timestamp: datetime | None = None) -> DataFrame:
     """State of a change log at a version or a time: the last change per key, deletions left out.
 
-    ``append_version`` with keys sees to it that a version holds one change per key;
-    in other logs the later time and then a hash of the row decide. Later versions are cut off at
-    the scan, and the rank limit keeps one row per key and task before the shuffle.
+    Later versions are cut off at the scan. ``change_log.read_as_of`` gives the same
+    from a snapshot, without ranking the whole log.
     """
     if (version is None) == (timestamp is None):
         raise ValueError("give a version or a timestamp")
@@ -151,10 +162,7 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int | None = None,
         seen = log.where(F.col(VERSION) <= F.lit(version))
     else:
         seen = log.where(F.col(TIME) <= moment(timestamp))
-    latest = Window.partitionBy(*keys).orderBy(
-        F.desc(VERSION), F.desc(TIME), F.desc(F.xxhash64(*hashable_columns(log))))
-    return (seen.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1)
-            .where(F.col(OP) != DELETE).drop("_rank"))
+    return last_changes(seen, keys).where(F.col(OP) != DELETE)
 
 
 def change_history(log: DataFrame, last: int | None = None) -> DataFrame:

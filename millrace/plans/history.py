@@ -87,16 +87,26 @@ def scd2_apply_compared(t):
     return U.scd2_apply(history, _changes(t), ["o_orderkey"], _SECOND, compare=["o_orderstatus"])
 
 
-def _log(t):
+def _write_log(t, snapshots=()):
     """Three versions of the orders: all inserted, open ones updated, final urgent ones deleted."""
     path = new_path(t.spark, "order-log")
+
+    def done(version):
+        if version in snapshots:
+            change_log.write_snapshot(t.spark, path, ["o_orderkey"], version)
     orders = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     change_log.append_version(orders, path, 1, "insert", datetime(2024, 1, 1), ["o_orderkey"])
+    done(1)
     change_log.append_version(orders.where("o_orderstatus = 'O'").withColumn(
         "o_totalprice", F.col("o_totalprice") * 0.5), path, 2, "update", datetime(2024, 1, 2), ["o_orderkey"])
+    done(2)
     change_log.append_version(orders.where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"),
                               path, 3, U.DELETE, datetime(2024, 1, 3), ["o_orderkey"])
-    return change_log.read_log(t.spark, path)
+    return path
+
+
+def _log(t):
+    return change_log.read_log(t.spark, _write_log(t))
 
 
 _AS_OF = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 0.5 ELSE o_totalprice END
@@ -115,6 +125,20 @@ def as_of_timestamp(t):
         "o_orderkey", "o_totalprice")
 
 
+@query("as_of_snapshot", "UP6 SRC20 SNK16", _AS_OF
+       + " WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')")
+def as_of_snapshot(t):
+    found = change_log.read_as_of(t.spark, _write_log(t, snapshots=(1, 2)), ["o_orderkey"], version=3)
+    return found.select("o_orderkey", "o_totalprice")
+
+
+@query("as_of_snapshot_time", "UP6 SRC20", _AS_OF)
+def as_of_snapshot_time(t):
+    # between the second and the third version; the snapshot of the third must not serve it
+    found = change_log.read_as_of(t.spark, _write_log(t, snapshots=(1,)), ["o_orderkey"], timestamp=datetime(2024, 1, 2, 12))
+    return found.select("o_orderkey", "o_totalprice")
+
+
 @query("change_history", "UP7", """
     SELECT 3 AS _version, 'delete' AS _op, count(*) AS rows, TIMESTAMP '2024-01-03' AS first_ts,
            TIMESTAMP '2024-01-03' AS last_ts

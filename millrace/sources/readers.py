@@ -104,3 +104,14 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     """
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .load(path).select(F.col("path"), F.col("length")))
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders that a finished write has marked, from one flat listing; none where there is no folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return [s.getPath().getName() for s in files.listStatus(root)
+            if s.isDirectory() and files.exists(marker(s.getPath(), "_SUCCESS"))]

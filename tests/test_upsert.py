@@ -1,10 +1,13 @@
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import upsert as U
+from millrace.plans.inspect import operators
 from millrace.sources import change_log
+from millrace.sources.writers import scan_roots
 
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1)
 
@@ -139,3 +142,59 @@ def test_change_history(log, rows):
         (3, "delete", 1), (2, "update", 1), (1, "insert", 3)]
     assert U.change_history(log, last=1).first()._version == 3
     assert rows(U.output_sizes(log)) == [(1, 2), (3, 1)]
+
+
+def _random_log(spark, path, seed, versions=6):
+    """Versions with gaps, out of time order and with deletions."""
+    rng = random.Random(seed)
+    for step in range(1, versions + 1):
+        rows = [(k, f"{step}-{k}") for k in rng.sample(range(12), rng.randint(1, 6))]
+        op = rng.choice(["insert", "update", U.DELETE]) if step > 1 else "insert"
+        at = datetime(2024, 1, rng.randint(1, 20))
+        change_log.append_version(spark.createDataFrame(rows, "k int, v string"), path, 2 * step, op, at, ["k"])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_snapshots_equal_the_ranked_log(spark, tmp_path, rows, seed):
+    path = str(tmp_path / "log")
+    _random_log(spark, path, seed)
+    for version in (4, 10):
+        change_log.write_snapshot(spark, path, ["k"], version)
+    log = change_log.read_log(spark, path)
+    columns = ["k", "v", U.OP]
+    for version in (2, 4, 5, 8, 10, 12, 99):
+        assert rows(change_log.read_as_of(spark, path, ["k"], version=version), *columns) == rows(
+            U.as_of(log, ["k"], version=version), *columns)
+    for day in (8, 15, 20):
+        at = datetime(2024, 1, day, 12)
+        assert rows(change_log.read_as_of(spark, path, ["k"], timestamp=at), *columns) == rows(
+            U.as_of(log, ["k"], timestamp=at), *columns)
+
+
+def test_a_read_opens_one_snapshot_and_the_later_versions(spark, tmp_path):
+    path = str(tmp_path / "log")
+    _random_log(spark, path, 3)
+    change_log.write_snapshot(spark, path, ["k"], 4)
+    change_log.write_snapshot(spark, path, ["k"], 8)
+    found = change_log.read_as_of(spark, path, ["k"], version=8)
+    assert [p.rsplit("/", 1)[1] for p in scan_roots(found)] == ["upto=8"]
+    later = change_log._versions(spark, path, 8, 12)
+    assert {p.rsplit("=", 1)[1] for p in (r for r in later.inputFiles()) for p in [p.rsplit("/", 1)[0]]} == {"10", "12"}
+    # the snapshot is not shuffled for a few later changes
+    joined = change_log.read_as_of(spark, path, ["k"], version=12)
+    assert "SortMergeJoin" not in operators(joined) and "Window" not in operators(joined)
+
+
+def test_a_version_written_again_drops_its_snapshots(spark, tmp_path, rows):
+    path = str(tmp_path / "log")
+    _random_log(spark, path, 4)
+    for version in (2, 6, 12):
+        change_log.write_snapshot(spark, path, ["k"], version)
+    change_log.append_version(spark.createDataFrame([(1, "late")], "k int, v string"), path, 6, "update", datetime(2024, 1, 3), ["k"])
+    assert change_log._snapshots(spark, path) == [2]
+    assert rows(change_log.read_as_of(spark, path, ["k"], version=12), "k", "v") == rows(
+        U.as_of(change_log.read_log(spark, path), ["k"], version=12), "k", "v")
+    with pytest.raises(ValueError):
+        change_log.write_snapshot(spark, path, ["k"], 7)
+    with pytest.raises(ValueError):
+        change_log.read_as_of(spark, str(tmp_path / "none"), ["k"], version=1)
