@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from math import ceil, inf, log2
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.project import spread
-from millrace.sources.readers import file_sizes
+from millrace.sources.readers import file_of_row, file_sizes
 
 
 def partition_report(df: DataFrame) -> DataFrame:
@@ -140,6 +140,51 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int | None = None,
             .drop("_z", "_tie"))
 
 
+def write_file_index(spark: SparkSession, path: str, columns: Sequence[str], index: str) -> DataFrame:
+    """Store, for each file below ``path``, its rows and the minimum, maximum and null count of some columns.
+
+    One pass that reads these columns only; files become groups, so little is shuffled.
+    Not-a-number counts as larger than any number, as in Spark's order.
+    """
+    facts = [f(F.col(c)).alias(f"{name}_{c}") for c in columns
+             for name, f in (("low", F.min), ("high", F.max), ("nulls", lambda col: F.count(F.when(col.isNull(), 1))))]
+    found = spark.read.parquet(path).select(file_of_row().alias("_file"), *columns)
+    found.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"), *facts).write.mode("overwrite").parquet(index)
+    return spark.read.parquet(index)
+
+
+def files_in_range(spark: SparkSession, path: str, index: str, ranges: Mapping[str, tuple]) -> tuple[list[str], int]:
+    """Files below ``path`` that may hold rows inside all ``ranges`` (column: lowest, highest; both included), and all files.
+
+    Files that the index does not know are taken along, and files that are gone are left
+    out, so an old index costs reads but never rows. Names of files reach the driver,
+    which lists them for any scan.
+    """
+    known = spark.read.parquet(index)
+    inside = F.lit(True)
+    for column, (low, high) in ranges.items():
+        # a file that holds nothing but nulls has no bounds and no row in the range
+        inside = inside & F.coalesce((F.col(f"high_{column}") >= F.lit(low)) & (F.col(f"low_{column}") <= F.lit(high)), F.lit(False))
+    listed = file_sizes(spark, path).select("path")
+    marked = listed.join(known.select(F.col("_file"), inside.alias("_inside")), F.col("path") == F.col("_file"), "left")
+    rows = marked.select("path", F.coalesce("_inside", F.lit(True)).alias("open")).collect()
+    return sorted(r.path for r in rows if r.open), len(rows)
+
+
+def scan_range(spark: SparkSession, path: str, index: str, ranges: Mapping[str, tuple]) -> DataFrame:
+    """Exactly the rows inside all ``ranges``, from the files whose indexed bounds meet them.
+
+    Files are left out before the scan is planned, unlike by footers, which every task
+    has to open first.
+    """
+    files, _ = files_in_range(spark, path, index, ranges)
+    whole = spark.read.parquet(path)
+    df = spark.read.schema(whole.schema).option("basePath", path).parquet(*files) if files else whole.limit(0)
+    for column, (low, high) in ranges.items():
+        df = df.where(F.col(column).between(low, high))
+    return df
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep ``df`` in memory or on disk while the block runs."""

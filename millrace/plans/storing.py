@@ -9,6 +9,7 @@ from millrace.functions.payload import json_array_files
 from millrace.operators import layout as L
 from millrace.operators.ordering import union_all
 from millrace.plans.registry import query
+from millrace.sources import file_table
 from millrace.sources import readers as R
 from millrace.sources import writers as S
 from millrace.workspace import new_name, new_path
@@ -89,6 +90,29 @@ def zorder(t):
     return R.parquet(t.spark, path)
 
 
+@query("zorder_range", "SNK15", """
+    SELECT l_orderkey, l_partkey, l_suppkey, l_quantity FROM lineitem
+    WHERE l_partkey BETWEEN 100 AND 400 AND l_suppkey BETWEEN 10 AND 30""")
+def zorder_range(t):
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    path, index = new_path(t.spark, "lines-clustered"), new_path(t.spark, "lines-index")
+    L.zorder(lines, ["l_partkey", "l_suppkey"], partitions=16).write.parquet(path)
+    L.write_file_index(t.spark, path, ["l_partkey", "l_suppkey"], index)
+    return L.scan_range(t.spark, path, index, {"l_partkey": (100, 400), "l_suppkey": (10, 30)})
+
+
+@query("compact_incremental", "SNK14 SNK4 SNK3", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def compact_incremental(t):
+    table = new_path(t.spark, "orders-files")
+    orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    large = F.col("o_totalprice") > 100000
+    file_table.append(orders.where(large).coalesce(1), table, ["o_orderstatus"])
+    file_table.append(orders.where(~large | large.isNull()).repartition(6), table)
+    # small files are merged per partition, the large ones stay
+    file_table.compact(t.spark, table, target_bytes=1 << 20, small=0.1)
+    return file_table.read(t.spark, table)
+
+
 @query("saved_table", "SRC14 SNK9", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
 def saved_table(t):
     name = new_name("suppliers")

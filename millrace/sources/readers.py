@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,6 +106,12 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
             .load(path).select(F.col("path"), F.col("length")))
 
 
+def file_of_row() -> Column:
+    """Path of the file that a scanned row comes from, spelled as ``file_sizes`` spells it."""
+    # the scan gives a URI, in which other characters are escaped but a plus is itself
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders that a finished write has marked, from one flat listing; none where there is no folder."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
