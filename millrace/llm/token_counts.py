@@ -32,8 +32,9 @@ ASCII_PIECES = re.compile(
 #: Pieces with these are merged by the library as they are: white space to some readers only.
 CONTROL = re.compile(r"[\x1c-\x1f]")
 
-#: White space that goes on over a space: such a run is one pre-token, so the text is not cut at spaces.
-LONG_RUN = re.compile(r"\s (?: |\Z)")
+#: A space with white space before it and white space or the end after it lies inside one pre-token; a text with
+#: such a space is not cut. At all other spaces a pre-token begins.
+LONG_RUN = re.compile(r"\s (?:\s|\Z)")
 
 
 def whole_tokens(path: str) -> frozenset[str]:

@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -54,3 +57,15 @@ def test_odd_rows(odd, empty):
     by_id = {r.doc_id: (r.n_bytes, r.n_tokens) for r in found.collect()}
     assert by_id[1] == by_id[2] == (0, 0) and by_id[5][0] == 150_000
     assert T.count_tokens(empty, PATH).count() == 0
+
+
+def test_all_runs_of_white_space(library):
+    blanks = " \n\t\r\x0b\x85\xa0\u2003\u2009\u200b\u3000"
+    counter = T.Counter(PATH, T.whole_tokens(PATH))
+    runs = ["".join(r) for n in (2, 3, 4) for r in itertools.product(blanks, repeat=n)]
+    rng = random.Random(5)
+    runs += ["".join(rng.choices(blanks, k=rng.randint(5, 9))) for _ in range(5_000)] + [" \xa0 \xa0 ", ": \xa0 \xa0\n"]
+    for text in (lambda r: f"a{r}b", lambda r: f"word{r}", lambda r: f"{r}word"):
+        texts = [text(r) for r in runs]
+        expected = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [t for t, n, m in zip(texts, counter.count(texts), expected) if n != m] == []
