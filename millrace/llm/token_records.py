@@ -10,11 +10,14 @@ Parquet table, has a row per record, for reads in any order.
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,21 +25,24 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
+from tokenizers import pre_tokenizers
 
 from millrace.llm.crc32c import crc32c_all, masked
 from millrace.llm.staging import stage
 from millrace.llm.words import content_key, encode_each, load_tokenizer, raw, row_groups
 from millrace.workspace import new_path
 
-#: Kept encodings of words and of pieces per worker process; a store starts anew when full.
-KEPT_WORDS, KEPT_PIECES = 400_000, 600_000
+#: Kept encodings of pieces and words per worker process; the store starts anew when full.
+KEPT = 600_000
 
-#: Words of these characters are cut into pieces here; others are left to the library as a whole. In this range
-#: (ASCII and the letters of Latin-1) lower-casing goes by character and nothing is composed.
-PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Characters beside white space of texts that are cut into pieces here: ASCII and the letters of Latin-1, a range
+#: in which lower-casing goes by character and nothing is composed.
+_PLAIN = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+ODD, PLAIN = re.compile(f"[^{_PLAIN} \t\n\x0b\x0c\r]"), re.compile(f"[{_PLAIN}]+")
 
-#: The tokenizer's pattern for such words in lower case (fixed values).
-PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: The tokenizer's pattern (fixed values), and what it finds in such texts in lower case.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 #: Bytes of texts encoded, or of records read, together.
 GROUP_BYTES = 2_000_000
@@ -45,11 +51,13 @@ HEAD, TAIL = 12, 4
 
 
 class WordEncoder:
-    """Ids of texts, word by word.
+    """Ids of texts, piece by piece.
 
-    For lower-casing tokenizers whose pre-tokens never cross white space and that drop
-    it: a word then has the same ids in any text, and its pieces in any word, so each
-    distinct piece is merged once.
+    For tokenizers that drop white space and whose pre-tokens never cross it. Where one
+    lower-cases and cuts by ``PATTERN``, plain texts are cut into pieces here and each
+    distinct piece is merged once, by the tokenizer's model alone; words with other
+    characters, and texts with special strings, go through the whole library, and so do
+    all words of other tokenizers.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -60,34 +68,50 @@ class WordEncoder:
         self.end = np.array([end_id], self.kind).tobytes()
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _cut(self, word: str) -> list[str]:
-        if PLAIN.fullmatch(word) and not (self.special and self.special.search(word)):
-            return PIECES.findall(word.lower())
-        return [word]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) > KEPT_WORDS:
-            self.words = {}
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces = {}
-        cut = {w: self._cut(w.decode()) for w in words}
-        new = list({p for pieces in cut.values() for p in pieces if p not in self.pieces})
-        self.pieces.update((p, struct.pack(f"<{len(ids)}{self.kind.char}", *ids))
-                           for p, ids in zip(new, encode_each(self.tokenizer, new)))
-        get = self.pieces.__getitem__
-        self.words.update((w, get(pieces[0]) if len(pieces) == 1 else b"".join(map(get, pieces))) for w, pieces in cut.items())
+        stated = json.loads(self.tokenizer.to_str())
+        steps = {x["type"] for x in (stated["normalizer"] or {}).get("normalizers", [])}
+        cuts = [x.get("pattern", {}).get("Regex") or x["type"] for x in (stated["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.cuts_here = steps == {"NFC", "Replace", "Lowercase"} and cuts == [PATTERN, "ByteLevel"]
+        self.model, shown = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the model knows bytes by characters that stand for them
+        self.shown = str.maketrans({c: shown.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xdf, 0x100))})
+        self._forget()
+
+    def _forget(self) -> None:
+        # units are numbered as they come, so that one look-up finds both a unit's number and that it is new
+        self.numbers: defaultdict[str | bytes, int] = defaultdict(itertools.count().__next__)
+        self.ids: list[bytes] = []
+
+    def _units(self, blob: bytes) -> list[str | bytes]:
+        """Pieces to be merged by the model (text) and words for the library (bytes)."""
+        text = blob.decode()
+        if not self.cuts_here or self.special and self.special.search(text):
+            return blob.split()
+        if not ODD.search(text):
+            return PIECES.findall(text.lower())
+        return [u for w in blob.split() for u in self._pieces(w)]
+
+    @staticmethod
+    def _pieces(word: bytes) -> list[str | bytes]:
+        text = word.decode()
+        return PIECES.findall(text.lower()) if PLAIN.fullmatch(text) else [word]
+
+    def _learn(self, units: list[str | bytes]) -> None:
+        """Ids of the units with the next numbers."""
+        words = [u.decode() for u in units if type(u) is bytes]
+        whole, merge, shown, kind = encode_each(self.tokenizer, words), self.model.tokenize, self.shown, self.kind.char
+        for unit in units:
+            ids = next(whole) if type(unit) is bytes else [t.id for t in merge(unit.translate(shown))]
+            self.ids.append(struct.pack(f"<{len(ids)}{kind}", *ids))
 
     def encode(self, blobs: list[bytes]) -> list[bytes]:
-        cut = [b.split() for b in blobs]
-        new = {w for words in cut for w in words if w not in self.words}
-        if len(self.words) > KEPT_WORDS:
-            new = {w for words in cut for w in words}
-        self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join([*map(get, words), self.end]) for words in cut]
+        if len(self.ids) > KEPT:
+            self._forget()
+        number = self.numbers.__getitem__
+        cut = [list(map(number, self._units(b))) for b in blobs]
+        self._learn(list(itertools.islice(self.numbers, len(self.ids), None)))
+        get = self.ids.__getitem__
+        return [b"".join([*map(get, units), self.end]) for units in cut]
 
 
 #: The encoder of this worker process; it goes on from task to task.
@@ -135,8 +159,9 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, path: str, end_id: int)
                 ends = offset + np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, stop - start), pa.array(np.full(len(sizes), number, np.int32)),
-                     pa.array(np.arange(position, position + len(sizes))), pa.array(ends - sizes), pa.array(sizes)],
-                    ["key", "shard", "position", "offset", "size"])
+                     pa.array(np.arange(position, position + len(sizes))), pa.array(ends - sizes), pa.array(sizes),
+                     pa.array(np.full(len(sizes), encoder.kind.itemsize, np.int32))],
+                    ["key", "shard", "position", "offset", "size", "width"])
                 offset, position = int(ends[-1]), position + len(sizes)
     finally:
         if out:
@@ -150,7 +175,7 @@ def write_records(docs: DataFrame, path: str, end_id: int, root: str | None = No
     """Write the ids of every whole text in ascending order of ``key``; the staged index and the folder.
 
     Index: ``key``, ``shard``, ``position`` in the shard, ``offset`` and ``size`` in
-    bytes. Null and empty texts have the end id alone; rows without a key come
+    bytes, ``width`` of an id in bytes. Null and empty texts have the end id alone; rows without a key come
     first; rows equal in key go by content, and repeated rows stay and may lie in
     neighbouring shards; other columns are left out; an empty table gives an empty
     index. ``root`` is a folder that all executors reach, by default one in the
@@ -169,7 +194,7 @@ def write_records(docs: DataFrame, path: str, end_id: int, root: str | None = No
                        F.monotonically_increasing_id().alias("row"))
     dealt = rows.repartitionByRange(shards, *order) if shards else rows.repartitionByRange(*order)
     index = dealt.sortWithinPartitions(*order).select("key", "text").mapInArrow(
-        lambda batches: _write(batches, root, path, end_id), f"key {kind}, shard int, position bigint, offset bigint, size bigint")
+        lambda batches: _write(batches, root, path, end_id), f"key {kind}, shard int, position bigint, offset bigint, size bigint, width int")
     return stage(index, "index")[0], root
 
 
@@ -187,7 +212,7 @@ def _payloads(batch: pa.RecordBatch, files, folder: str, opened: dict) -> Iterat
         yield start, unframed(buffers)
 
 
-def read_records(index: DataFrame, root: str, width: int = 2) -> DataFrame:
+def read_records(index: DataFrame, root: str) -> DataFrame:
     """(key, ids) of the records that ``index`` names, in any order and selection; checksums are verified."""
     kind = index.schema["key"].dataType.simpleString()
 
@@ -196,13 +221,14 @@ def read_records(index: DataFrame, root: str, width: int = 2) -> DataFrame:
         opened: dict = {}
         for batch in batches:
             for start, payloads in _payloads(batch, files, folder, opened):
-                ids = [np.frombuffer(p, f"<u{width}").astype(np.int32) for p in payloads]
+                widths = batch.column("width").slice(start, len(payloads)).to_pylist()
+                ids = [np.frombuffer(p, f"<u{n}").astype(np.int32) for p, n in zip(payloads, widths)]
                 yield pa.RecordBatch.from_arrays([batch.column("key").slice(start, len(ids)),
                                                   pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"])
     return index.mapInArrow(read, f"key {kind}, ids array<int>")
 
 
-def record_digests(index: DataFrame, root: str, key: str, width: int = 2) -> DataFrame:
+def record_digests(index: DataFrame, root: str, key: str) -> DataFrame:
     """Key, ``start``, ``n_tokens`` and ``ids_crc32`` of every record, from the files.
 
     ``start`` counts the ids of all records before it: those of the same shard in the
@@ -216,10 +242,10 @@ def record_digests(index: DataFrame, root: str, key: str, width: int = 2) -> Dat
         opened: dict = {}
         current, before = None, 0
         for batch in batches:
-            shards = batch.column("shard").to_pylist()
+            shards, widths = batch.column("shard").to_pylist(), batch.column("width").to_pylist()
             for first, payloads in _payloads(batch, files, folder, opened):
                 rows = []
-                for shard, payload in zip(shards[first:], payloads):
+                for shard, width, payload in zip(shards[first:], widths[first:], payloads):
                     if shard != current:
                         current, before = shard, 0
                     ids = np.frombuffer(payload, f"<u{width}")

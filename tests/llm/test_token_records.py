@@ -98,3 +98,39 @@ def test_odd_rows(odd, empty):
     assert {r.n_tokens for r in found if r.doc_id in (1, 2, 3)} == {1}
     index, root = R.write_records(empty, PATH, 2)
     assert R.record_digests(index, root, "doc_id").count() == 0
+
+
+def test_strings_equal_the_library():
+    library, encoder, rng = Tokenizer.from_file(PATH), R.WordEncoder(PATH, 2), random.Random(6)
+    assert encoder.cuts_here
+    marks = ["'s", "'LL", "'", "''t", "don't", "x'Re", "12", "3.5", "...", "ß", "É", "e\u0301", "ÿ", "×", "œ", "\xa0", "\x1c", "漢", "\u200b",
+             "<|endoftext|>", "İ", "ª", "²", "--", "a", "Z", " ", " ", "\n", "\t", "\x0b", "_", "\x7f", "\x00"]
+    texts = ["".join(rng.choices(marks, k=rng.randint(1, 12))) for _ in range(6_000)]
+    texts += [f"{chr(a)}{chr(b)} {chr(b)}" for a in range(0x20, 0x180, 3) for b in range(0x20, 0x180, 7)]
+    kept = encoder.encode([t.encode() for t in texts])
+    for text, ids in zip(texts, kept):
+        assert np.frombuffer(ids, encoder.kind).tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], repr(text)
+
+
+def test_a_full_store_changes_nothing(monkeypatch):
+    encoder = R.WordEncoder(PATH, 2)
+    first = encoder.encode([b"some words", b"and some more"])
+    monkeypatch.setattr(R, "KEPT", 1)
+    assert [encoder.encode([b"some words", b"and some more"]) for _ in range(3)] == [first] * 3
+
+
+def test_the_index_knows_the_width(spark, tmp_path):
+    # a vocabulary beyond two bytes: the same model with unused words added
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.add_tokens([f"unused{i}unused" for i in range(20_000)])
+    wide = str(tmp_path / "wide.json")
+    tokenizer.save(wide)
+    texts = {1: "some words", 2: "unused19999unused it is", 3: ""}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    index, root = R.write_records(df, wide, 2)
+    assert {r.width for r in index.collect()} == {4}
+    expected = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in texts.items()}
+    assert max(expected[2]) > 65_535
+    assert {r.key: r.ids for r in R.read_records(index, root).collect()} == expected
+    found = {r.doc_id: r.ids_crc32 for r in R.record_digests(index, root, "doc_id").collect()}
+    assert found == {i: zlib.crc32(np.array(ids, "<u4").tobytes()) for i, ids in expected.items()}
