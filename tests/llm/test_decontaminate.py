@@ -1,6 +1,8 @@
 import random
+import time
 
 import numpy as np
+import pytest
 import xxhash
 
 from millrace.llm import decontaminate as D
@@ -18,16 +20,18 @@ def test_marks_equal_brute_force():
             assert marks[i] == sum(1 << b for b in range(32) if 2 * counts[b] > size)
 
 
-def test_blocks_find_all_within_the_radius():
+@pytest.mark.parametrize("radius", [0, 3, 6, 7])
+def test_blocks_find_all_within_the_radius(radius):
     rng = random.Random(6)
     texts = [" ".join("".join(rng.choices("abcd", k=2)) for _ in range(12)) for _ in range(30)]
-    items = D.Items(list(range(30)), texts, 3, 5)
+    items = D.Items(list(range(30)), texts, radius, 5, 0.8)
     words = [w for t in texts for w in t.encode().split()] * 20
     rng.shuffle(words)
     counts = D.running_counts(D.Hashes().of(words), items.longest)
-    windows, marks = D.window_marks(counts, 12), items.sizes[12][1]
-    expected = {(i, j) for i, w in enumerate(windows.tolist()) for j, m in enumerate(marks.tolist()) if (w ^ m).bit_count() <= 3}
-    assert {(i, j) for i, j, _ in items.candidates(counts, 12)} == expected and expected
+    windows, marks = D.window_marks(counts, 12), items.sizes[12][1].marks
+    expected = {(i, j) for i, w in enumerate(windows.tolist()) for j, m in enumerate(marks.tolist()) if (w ^ m).bit_count() <= radius}
+    found = list(zip(*items.candidates(counts, 12)))
+    assert {(i, j) for i, j, _ in found} == expected and len(found) == len(expected) and (expected or radius == 0)
 
 
 def test_every_copied_item_is_found(spark, documents, texts):
@@ -42,24 +46,44 @@ def test_every_copied_item_is_found(spark, documents, texts):
         assert D.weighted_jaccard(D.shingles(window, 5), D.shingles(items[i], 5)) == r.similarity >= 0.8
 
 
-def test_recall_of_changed_copies():
-    rng = random.Random(7)
+@pytest.mark.parametrize("low, high", [(10, 19), (20, 29), (30, 39), (40, 59), (60, 120)])
+def test_recall_of_changed_copies(low, high):
+    """One word replaced, in every place: of the copies that the exact rule accepts 0.9 at least are found, for every size."""
+    rng = random.Random(low)
     vocabulary = ["".join(rng.choices("abcdefghijklm", k=rng.randint(2, 7))) for _ in range(3000)]
     draw = lambda n: [vocabulary[int(rng.paretovariate(0.7)) % 3000] for _ in range(n)]
-    items = [draw(rng.randint(40, 60)) for _ in range(60)]
-    texts = []
-    for item in items:
-        changed = list(item)
-        changed[rng.randint(20, 30)] = "changed"
-        texts.append(" ".join(draw(200) + changed + draw(200)))
-    built = D.Items(list(range(60)), [" ".join(i) for i in items], 3, 5)
-    rows = D.leaks(texts, built, D.Hashes(), 0.8)
-    alike = [D.weighted_jaccard(D.shingles(D.words_of(t)[200:200 + len(i)], 5), D.shingles(D.words_of(" ".join(i)), 5))
-             for t, i in zip(texts, items)]
-    due = [n for n, a in enumerate(alike) if a >= 0.8]
-    hits = [n for n in due if any(f[0] == n for f in rows[n])]
-    assert len(due) > 10 and len(hits) >= 0.75 * len(due)
-    assert all(f[0] == n for n, row in enumerate(rows) for f in row)
+    items = [draw(rng.randint(low, high)) for _ in range(60)]
+    built = D.Items(list(range(60)), [" ".join(i) for i in items], None, 5, 0.8)
+    due = hits = 0
+    for n, item in enumerate(items):
+        exact = D.shingles(D.words_of(" ".join(item)), 5)
+        texts = []
+        for place in range(len(item)):
+            changed = [*item[:place], f"changed{place}", *item[place + 1:]]
+            if D.weighted_jaccard(D.shingles(D.words_of(" ".join(changed)), 5), exact) >= 0.8:
+                texts.append(" ".join(draw(60) + changed + draw(60)))
+        found = D.leaks(texts, built, D.Hashes(), 0.8)
+        due += len(texts)
+        hits += sum(any(f[0] == n for f in row) for row in found)
+    assert due > 30 and hits >= 0.9 * due
+
+
+def test_time_is_linear_with_many_items_of_a_size():
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    texts = [" ".join(word() for _ in range(50)) for _ in range(5000)]
+    items = D.Items(list(range(5000)), texts, None, 5, 0.8)
+    planted = rng.sample(range(5000), 20)
+    some = [" ".join([*(word() for _ in range(900)), texts[i], *(word() for _ in range(900))]) for i in planted]
+    took = []
+    for many in (1, 4):
+        started = time.process_time()
+        rows = D.leaks(some * many, items, D.Hashes(), 0.8)
+        took.append(time.process_time() - started)
+        assert [{f[0] for f in row} for row in rows] == [{i} for i in planted] * many
+    # a window meets the few items that share half a mark with it, not all of them
+    compared = sum(len(half[1]) for half in items.sizes[50][1].halves) / 65_536
+    assert compared < 25 and took[1] < 8 * took[0] + 1
 
 
 def test_shingles_are_weighted():
@@ -87,10 +111,16 @@ def test_a_benchmark_in_blocks_gives_the_same(spark, documents):
     assert whole == parts and whole
 
 
+def test_a_key_called_like_a_field(spark, documents):
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    found = D.find_leaks(documents.withColumnRenamed("doc_id", "item_id"), benchmark, key="item_id")
+    assert found.columns == ["item_id", "item_id_", "first_word", "n_words", "similarity", "distance"] and found.count() > 0
+
+
 def test_long_texts_are_groups_of_their_own(monkeypatch):
     monkeypatch.setattr(D, "GROUP_WORDS", 50)
     item = "alpha beta gamma delta epsilon zeta"
     texts = ["x " * 500 + item, None, item, "", item + " y" * 100 + " " + item]
-    rows = D.leaks(texts, D.Items([1], [item], 3, 5), D.Hashes(), 0.8)
+    rows = D.leaks(texts, D.Items([1], [item], None, 5, 0.8), D.Hashes(), 0.8)
     assert [[f[1] for f in row] for row in rows] == [[500], [], [0], [], [0, 106]]
     assert np.all([f[3] == 1.0 for row in rows for f in row])
