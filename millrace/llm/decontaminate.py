@@ -83,11 +83,24 @@ def running_counts(hashes: np.ndarray, longest: int) -> np.ndarray:
     return counts
 
 
+#: Work space of this process by kind: fresh memory of this size for every call costs more than the work in it.
+_SPACE: dict[str, np.ndarray] = {}
+
+
+def _space(kind: np.dtype, size: int) -> np.ndarray:
+    found = _SPACE.get(kind.char)
+    if found is None or len(found) < size:
+        found = _SPACE[kind.char] = np.empty(max(size, GROUP_WORDS * BITS), kind)
+    return found[:size]
+
+
 def window_marks(counts: np.ndarray, size: int) -> np.ndarray:
     """SimHash of the words [i, i + size) for every i."""
     flat = counts.ravel()
-    inside = flat[size * BITS:] - flat[:-size * BITS]
-    return np.packbits(inside > size // 2, bitorder="little").view(np.uint32)
+    span = max(0, len(flat) - size * BITS)
+    inside = np.subtract(flat[size * BITS:], flat[:span], out=_space(flat.dtype, span))
+    most = np.greater(inside, size // 2, out=_space(np.dtype(bool), span))
+    return np.packbits(most, bitorder="little").view(np.uint32)
 
 
 def allowed_radius(n: int, size: int, similarity: float, recall: float = RECALL) -> int:
@@ -125,7 +138,7 @@ class Blocks:
             near = np.array([sum(1 << b for b in bits) for k in range(most + 1) for bits in combinations(range(HALF), k)], np.uint16)
             values = (marks.view(np.uint16).reshape(-1, BITS // HALF)[:, half, None] ^ near).ravel()
             order = np.argsort(values, kind="stable")
-            starts = np.searchsorted(values[order], np.arange((1 << HALF) + 1)).astype(np.int64)
+            starts = np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << HALF))])
             self.halves.append((starts, (order // max(1, len(near))).astype(np.int32), np.diff(starts) > 0))
 
     def within(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,8 +210,8 @@ class Items:
         return found
 
 
-#: The items of the last benchmark block of this worker process, by what made them.
-_ITEMS: dict[tuple, Items] = {}
+#: The items of the last benchmark block of this worker process, by what made them, and the hashes of words met.
+_ITEMS: dict[tuple, tuple[Items, Hashes]] = {}
 
 
 def leaks(texts: list[str | None], items: Items, hashes: Hashes, similarity: float) -> list[list[tuple]]:
@@ -254,8 +267,8 @@ def leak_column(text: Column, item_type: pa.DataType, key_type: str, radius: int
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if name not in _ITEMS:
             _ITEMS.clear()
-            _ITEMS[name] = Items(*shared.value, radius, size, similarity)
-        items, hashes = _ITEMS[name], Hashes()
+            _ITEMS[name] = Items(*shared.value, radius, size, similarity), Hashes()
+        items, hashes = _ITEMS[name]
         kind = pa.list_(pa.struct([("item", item_type), ("first_word", pa.int64()), ("n_words", pa.int64()),
                                    ("similarity", pa.float64()), ("distance", pa.int32())]))
         names = ("first_word", "n_words", "similarity", "distance")
