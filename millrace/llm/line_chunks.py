@@ -6,9 +6,10 @@ stands in two texts is cut alike in both, whatever precedes it. Chunks of two or
 more lines that occur again anywhere are compared as bytes with their first
 occurrence and removed where they are equal.
 
-Such chunks are too coarse for passages of a few lines. ``passages_of`` therefore
-gives every run of two lines, and every long line by itself, so that all repeated
-passages of two lines, or of one long line, are found whole.
+Such chunks are too coarse for passages of a few lines: a cut beside a passage hangs
+on the foreign line next to it. ``passages_of`` therefore gives every run of two lines
+with words, and every long line by itself, so that all repeated passages of two lines,
+or of one long line, are found whole.
 """
 
 from __future__ import annotations
@@ -57,16 +58,29 @@ def chunks_of(text: Column, roll: int = 2, every: int = 4) -> Column:
         chunk_starts(lines, roll, every), lambda starts: cut(lines, starts)))
 
 
+def _words(line: Column) -> Column:
+    """Number of words of a line."""
+    return F.size(F.filter(F.split(line, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != ""))
+
+
 def passages_of(text: Column, size: int, alone: int) -> Column:
-    """array<struct<first, lines>>: all runs of ``size`` lines, and all lines of ``alone`` words or more, counted by blanks."""
-    def runs(lines: Column) -> Column:
-        starts = F.filter(F.transform(lines, lambda line, i: i), lambda i: i + size <= F.size(lines))
-        return F.transform(starts, lambda i: F.struct(i.alias("first"), F.slice(lines, i + 1, size).alias("lines")))
+    """array<struct<first, lines>>: all runs of ``size`` lines with words, and all lines of ``alone`` words or more.
 
-    def singles(lines: Column) -> Column:
-        found = F.transform(lines, lambda line, i: F.struct(i.alias("first"), F.array(line).alias("lines")))
-        return F.filter(found, lambda c: F.length(c["lines"][0]) - F.length(F.replace(c["lines"][0], F.lit(" "), F.lit(""))) >= alone - 1)
-    return let(F.split(text, "\n", -1), lambda lines: F.concat(runs(lines), singles(lines)))
+    Lines without words between those of a run belong to it but do not count, so a line
+    between two blank ones is no passage.
+    """
+    def runs(lines: Column, worded: Column) -> Column:
+        starts = F.filter(F.transform(worded, lambda line, n: n), lambda n: n + size <= F.size(worded))
+        return F.transform(starts, lambda n: F.struct(F.get(worded, n).alias("first"), F.slice(
+            lines, F.get(worded, n) + 1, F.get(worded, n + size - 1) - F.get(worded, n) + 1).alias("lines")))
+
+    def singles(lines: Column, worded: Column) -> Column:
+        # a line of so many words has as many characters at least, which is cheap to rule out
+        long = F.filter(worded, lambda i: (F.length(F.get(lines, i)) >= 2 * alone - 1) & (_words(F.get(lines, i)) >= alone))
+        return F.transform(long, lambda i: F.struct(i.alias("first"), F.array(F.get(lines, i)).alias("lines")))
+    return let(F.split(text, "\n", -1), lambda lines: let(
+        F.filter(F.transform(lines, lambda line, i: i), lambda i: F.length(F.trim(F.translate(F.get(lines, i), "\t\x0b\x0c\r", "    "))) > 0),
+        lambda worded: F.concat(runs(lines, worded), singles(lines, worded))))
 
 
 def repeated_chunks(rows: DataFrame, text: str, identity: list[str], chunks: Column, wanted: Column) -> DataFrame:
@@ -109,9 +123,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_li
                 every: int = 4, removed_into: str | None = None, alone: int | None = None) -> DataFrame:
     """``docs`` without repeated chunks of ``min_lines`` lines or more; the first occurrence stays.
 
-    With ``alone``, chunks are all runs of ``min_lines`` lines and all single lines of
-    ``alone`` words or more, so every repeated passage of such a size goes, wherever it
-    stands; ``roll`` and ``every`` are not used then.
+    With ``alone``, chunks are all runs of ``min_lines`` lines with words, blank lines
+    between them included, and all single lines of ``alone`` words or more, so every
+    repeated passage of such a size goes, wherever it stands; ``roll`` and ``every`` are
+    not used then.
 
     All rows and columns stay, also where nothing is left of a text (it is then
     empty). First is the smallest key (null last), then content hash, then place.

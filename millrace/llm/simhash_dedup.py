@@ -12,27 +12,20 @@ homes are compared with guests per anchor. No pair within the radius is missed.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import components
 from millrace.llm.staging import remove, stage, staging
-from millrace.llm.words import content_key, raw
+from millrace.llm.words import raw
 
 #: Largest number of differing bits that two halves and anchors within 2 bits guarantee.
 RADIUS = 3
 
-#: Seeds of the word marks that near copies are found by.
-SEEDS = (42, 7, 99, 1234, 31, 5)
-
-#: Texts that a text is compared with per seed and round; where it has no more candidates, all are compared.
-FEW = 12
-
 _ROWS = 65_536
 
 
@@ -67,49 +60,6 @@ def _bit(position: Column) -> Column:
     return F.call_function("shiftleft", F.expr("1L"), position)
 
 
-def word_marks(text: Column, seeds: tuple[int, ...]) -> Column:
-    """For each seed the majority of the bits of the hashes of the distinct words; zero without words."""
-    @F.arrow_udf("array<bigint>")
-    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = []
-            for blob in raw(batch):
-                words = set(blob.lower().split())
-                joined = np.fromiter((xxhash.xxh64_intdigest(w, s) for s in seeds for w in words), "<u8", len(seeds) * len(words))
-                bits = np.unpackbits(joined.view(np.uint8).reshape(len(seeds), len(words), 8), axis=2, bitorder="little")
-                marks = np.packbits(2 * bits.sum(axis=1, dtype=np.int64) > len(words), axis=1, bitorder="little")
-                out.append(marks.view("<i8").ravel())
-            yield pa.array(out, pa.list_(pa.int64()))
-    return made(text)
-
-
-def shingles(blob: bytes, size: int) -> np.ndarray:
-    """Sorted hashes of the distinct runs of ``size`` words; of the whole text if it has fewer."""
-    words = blob.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(words)
-    starts = [0, *accumulate(len(w) + 1 for w in words)]
-    span = min(size, len(words))
-    n = len(words) - span + 1
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(joined[a:b - 1]) for a, b in zip(starts, starts[span:])), np.uint64, n))
-
-
-def likeness(a: Column, b: Column, size: int = 5) -> Column:
-    """Jaccard similarity of the sets of runs of ``size`` words; texts without words are alike."""
-    @F.arrow_udf("double")
-    def made(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        runs = lru_cache(64)(lambda blob: shingles(blob, size))
-        for one, other in pairs:
-            out = []
-            for x, y in zip(raw(one), raw(other)):
-                sx, sy = runs(x), runs(y)
-                both = len(np.intersect1d(sx, sy, assume_unique=True))
-                out.append(both / (len(sx) + len(sy) - both) if len(sx) + len(sy) else 1.0)
-            yield pa.array(out, pa.float64())
-    return made(a, b)
-
-
 def syndrome(half: Column) -> Column:
     """Zero for a code word, else the position (1 to 31) of the bit to flip."""
     found = F.lit(0)
@@ -123,8 +73,7 @@ def with_anchors(marks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(side, anchor, mark) of the homes and of the guests of distinct 64-bit ``mark``."""
     low = F.col("mark").bitwiseAND(F.lit(0xFFFFFFFF))
     high = F.call_function("shiftrightunsigned", F.col("mark"), F.lit(32))
-    group = [c for c in marks.columns if c == "group"]
-    halves = marks.select("mark", *group, F.posexplode(F.array(low, high)).alias("side", "half"))
+    halves = marks.select("mark", F.posexplode(F.array(low, high)).alias("side", "half"))
     halves = halves.withColumn("flip", syndrome(F.col("half")))
     halves = halves.withColumn("home", F.when(F.col("flip") == 0, F.col("half")).otherwise(
         F.col("half").bitwiseXOR(_bit(F.col("flip") - 1))))
@@ -132,28 +81,24 @@ def with_anchors(marks: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = F.expr("""transform(filter(sequence(1, 31), i -> flip <> 0 and i < (i ^ flip)),
                        i -> half ^ shiftleft(1L, i - 1) ^ shiftleft(1L, (i ^ flip) - 1))""")
     near = F.concat(F.array("home", F.col("home").bitwiseXOR(F.lit(1 << 31))), second)
-    return (halves.select("side", F.col("home").alias("anchor"), "mark", *group),
-            halves.select("side", F.explode(near).alias("anchor"), "mark", *group))
+    return (halves.select("side", F.col("home").alias("anchor"), "mark"),
+            halves.select("side", F.explode(near).alias("anchor"), "mark"))
 
 
 def fingerprint_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b), a < b, of distinct marks that differ in 1 to ``radius`` bits, each once.
 
     The smaller mark is met at its home, on the first side if the first halves differ
-    in one bit at most, else on the second. With a column ``group``, links inside a
-    group, which are known already, are not given out.
+    in one bit at most, else on the second.
     """
     if not 1 <= radius <= RADIUS:
         raise ValueError(f"anchors guarantee radius 1 to {RADIUS}")
     homes, guests = with_anchors(marks)
-    known = "group" in marks.columns
-    guests = guests.withColumnsRenamed({"mark": "b", "group": "b_group"})
+    guests = guests.withColumnRenamed("mark", "b")
     apart = F.col("mark").bitwiseXOR(F.col("b"))
     first = (F.col("side") == 0) == (F.bit_count(apart.bitwiseAND(F.lit(0xFFFFFFFF))) <= 1)
-    other = F.col("group") != F.col("b_group") if known else F.lit(True)
     return homes.join(guests, ["side", "anchor"]).where(
-        other & (F.col("mark") < F.col("b")) & (F.bit_count(apart) <= radius) & first).select(
-        F.col("mark").alias("a"), "b")
+        (F.col("mark") < F.col("b")) & (F.bit_count(apart) <= radius) & first).select(F.col("mark").alias("a"), "b")
 
 
 def groups_of(marked: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, str]:
@@ -189,118 +134,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         F.col("key").alias(key), F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _by_marks(put, by_mark: DataFrame, seeds: tuple[int, ...], radius: int) -> DataFrame:
-    """Staged links (a, b) of nodes by their marks alone."""
-    # nodes of one mark hang on the smallest of them, and marks are linked through it
-    heads = put(by_mark.groupBy("seed", "mark").agg(F.min("node").alias("head")), "heads")
-    links = by_mark.join(heads, ["seed", "mark"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-
-    def near(seed: int, of: DataFrame) -> DataFrame:
-        of = of.where(F.col("seed") == seed)
-        marks = of.select("mark", *[c for c in of.columns if c == "group"])
-        return (fingerprint_links(marks, radius).join(of.select(F.col("mark").alias("a"), F.col("head").alias("ha")), "a")
-                .join(of.select(F.col("mark").alias("b"), F.col("head").alias("hb")), "b").select("ha", "hb"))
-    # what the first seed links is one group for the others, so a dense group is not linked pair by pair again
-    found, found_path = components(links.union(near(0, heads)))
-    grouped = heads.join(found, F.col("head") == F.col("u"), "left").select(
-        "seed", "mark", "head", F.coalesce("root", "head").alias("group"))
-    links = found.select(F.col("u").alias("a"), F.col("root").alias("b"))
-    for seed in range(1, len(seeds)):
-        links = links.union(near(seed, grouped))
-    links = put(links, "links")
-    remove(by_mark.sparkSession, found_path)
-    return links
-
-
-def _by_texts(put, by_mark: DataFrame, texts: DataFrame, seeds: tuple[int, ...], radius: int, similarity: float,
-              few: int) -> DataFrame:
-    """Staged links (a, b) of nodes that marks propose and whose texts are alike to ``similarity``.
-
-    A node is held against ``few`` nodes of its own and near marks per seed; in a second
-    round against those of other groups that have most links, which stand for their groups.
-    """
-    marks = put(by_mark.select("seed", "mark").distinct(), "marks")
-    near = marks.select("seed", "mark", F.col("mark").alias("other"))
-    for seed in range(len(seeds)):
-        links = fingerprint_links(marks.where(F.col("seed") == seed).select("mark"), radius)
-        for a, b in (("a", "b"), ("b", "a")):
-            near = near.union(links.select(F.lit(seed).alias("seed"), F.col(a).alias("mark"), F.col(b).alias("other")))
-    near = put(near, "near")
-
-    def proposed(ranked: DataFrame) -> DataFrame:
-        """(a, b), a < b; ``ranked``: by_mark with ``rank`` (smallest first) and ``group``."""
-        best = lambda of, by: of.withColumn("n", F.row_number().over(by.orderBy("rank", "node"))).where(F.col("n") <= few)
-        shown = put(best(ranked, W.partitionBy("seed", "mark")).select(
-            "seed", F.col("mark").alias("other"), "node", "rank", "group"), "shown")
-        # one more than the node itself
-        lists = near.join(shown, ["seed", "other"]).withColumn(
-            "n", F.row_number().over(W.partitionBy("seed", "mark").orderBy("rank", "node"))).where(F.col("n") <= few + 1)
-        lists = put(lists.select("seed", "mark", F.col("node").alias("b"), F.col("group").alias("b_group")), "lists")
-        return ranked.join(lists, ["seed", "mark"]).where("node <> b AND group <> b_group").select(
-            F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        first, second = (bodies.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
-        return (pairs.join(first, "a").join(second, "b")
-                .where(likeness(F.col("text_a"), F.col("text_b")) >= similarity).select("a", "b"))
-    pairs = put(proposed(by_mark.withColumns({"rank": F.lit(0).cast("bigint"), "group": F.col("node")})), "pairs")
-    needed = put(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "needed")
-    bodies = put(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]), "bodies")
-    links = put(alike(pairs), "links")
-    roots, path = components(links)
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg((-F.count(F.lit(1))).alias("rank"))
-    known = put(needed.join(degree, "node", "left").join(roots, F.col("node") == F.col("u"), "left").select(
-        "node", F.coalesce("rank", F.lit(0)).alias("rank"), F.coalesce("root", "node").alias("group")), "known")
-    again = put(proposed(by_mark.join(known, "node")).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(put(alike(again), "links"))
-    remove(by_mark.sparkSession, path)
-    return links
-
-
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", seeds: tuple[int, ...] = SEEDS,
-                         radius: int = RADIUS, similarity: float | None = None, few: int = FEW) -> DataFrame:
-    """The rows of ``docs`` with one row of each group of near copies.
-
-    Marks are SimHashes of the distinct words of a text, one for each of ``seeds``;
-    texts of which any marks differ in ``radius`` bits or fewer are candidates. With the
-    default seeds this finds nearly all pairs whose runs of five words are alike to 0.8
-    or more, which fingerprints of the runs themselves do not: a changed word changes
-    five runs. With ``similarity``, candidates are linked where the Jaccard similarity
-    of their sets of runs of five words is that or more. A text with up to ``few``
-    candidates under a seed is compared with all of them; one with more with the first
-    ``few``, then with those of other groups that have most links. Without
-    ``similarity`` candidates are linked unseen.
-
-    The smallest key of a group stays, among equal keys the smallest content hash. Rows
-    without a key stay only where no row of the group has one; of repeated rows one
-    stays; texts without words are copies of each other.
-    """
-    names = docs.columns
-    own = {c: f"c{i}" for i, c in enumerate(names)}
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
-    k, t = own[key], own[text]
-    content = content_key(k, t)
-    node = F.xxhash64(F.col(t)).alias("node")
-    marked, _ = stage(rows.select(F.col(k).alias("key"), content.alias("content"), node,
-                                  word_marks(F.col(t), seeds).alias("marks")), "marked")
-    with staging(docs.sparkSession) as put:
-        # equal texts are one node
-        by_mark = put(marked.select("node", F.posexplode("marks").alias("seed", "mark")).distinct(), "by-mark")
-        if similarity is None:
-            links = _by_marks(put, by_mark, seeds, radius)
-        else:
-            links = _by_texts(put, by_mark, rows.select(node, F.col(t).alias("text")), seeds, radius, similarity, few)
-        roots, _ = components(links)
-    first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "content")).alias("first")
-    groups = marked.groupBy("node").agg(first).join(roots, F.col("node") == F.col("u"), "left").groupBy(
-        F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
-    chosen, _ = stage(groups.select(F.col("first.key").alias("chosen"), F.col("first.content").alias("chosen_content")).distinct(),
-                      "chosen")
-    kept = rows.withColumn("content", content).join(
-        chosen, F.col(k).eqNullSafe(F.col("chosen")) & (F.col("content") == F.col("chosen_content")), "left_semi")
-    return kept.dropDuplicates([k, "content"]).select(*[F.col(n).alias(c) for c, n in own.items()])
-
-
 def _query(spark, folder):
     from millrace.llm.catalog import table
     return near_duplicates(table(spark, folder, "documents"))

@@ -101,3 +101,62 @@ def test_overlaps_and_short_lines_keep_their_first(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
     found = {r.doc_id: (r.text, r.gone) for r in C.dedup_lines(df, alone=50, removed_into="gone").collect()}
     assert found == {1: ("a\na\na", 0), 2: ("b\nb", 2), 3: ("x\ny", 0), 4: ("x", 0), 5: ("\n\n\n", 0)}
+
+
+def passages(text, alone=C.PASSAGE):
+    """Runs of two lines with words, and lines of ``alone`` words: (first, lines)."""
+    lines = text.split("\n")
+    worded = [i for i, x in enumerate(lines) if x.split(" ") and x.strip(" \t\x0b\x0c\r")]
+    return ([(a, lines[a:b + 1]) for a, b in zip(worded, worded[1:])]
+            + [(i, lines[i:i + 1]) for i in worded if len(lines[i].encode().split()) >= alone])
+
+
+def brute_passages(texts, alone=C.PASSAGE):
+    """Texts by id without the lines of repeated passages; the first occurrence of each stays."""
+    origin, out = {}, {}
+    for i in sorted(texts):
+        for first, lines in sorted(passages(texts[i], alone), key=lambda p: p[0]):
+            origin.setdefault(tuple(lines), (i, first))
+    for i, text in texts.items():
+        gone = set()
+        for first, lines in passages(text, alone):
+            where = origin[tuple(lines)]
+            if where != (i, first) and (where[0] != i or first >= where[1] + len(lines)):
+                gone |= set(range(first, first + len(lines)))
+        out[i] = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
+    return out
+
+
+def test_the_registered_form_equals_brute_force(documents, texts):
+    found = {r.doc_id: r.text for r in C.dedup_lines(documents, alone=C.PASSAGE).collect()}
+    expected = brute_passages(texts)
+    assert found == expected and found != texts
+
+
+def test_short_lines_between_blank_ones_stay(spark):
+    texts = {1: "a text of its own\n\nThanks.\n\nclosing words", 2: "another text of its own\n\nThanks.\n\nclosing lines",
+             3: "x\n\nThanks.\n \t\nBye.\ny", 4: "z\nThanks.\n \t\nBye.\nq", 5: "Thanks."}
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    found = {r.doc_id: r.text for r in C.dedup_lines(df, alone=50).collect()}
+    # a passage of two lines with a blank one between goes whole
+    assert found == {**texts, 4: "z\nq"} == brute_passages(texts)
+
+
+def test_words_are_counted_not_blanks(spark):
+    wide = "two" + " " * 200 + "words"
+    texts = {1: f"a\n\n{wide}\n\nb", 2: f"c\n\n{wide}\n\nd"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    assert {r.doc_id: r.text for r in C.dedup_lines(df, alone=50).collect()} == texts
+
+
+def test_odd_rows_of_the_registered_form(odd, empty, spark):
+    found = C.dedup_lines(odd, removed_into="content", alone=50)
+    assert found.count() == odd.count() and set(found.columns) == set(odd.columns)
+    assert sorted(map(str, found.select("doc_id", "text").collect())) == sorted(map(str, odd.select("doc_id", "text").collect()))
+    assert C.dedup_lines(empty, alone=50).count() == 0
+    block = "first line\nsecond line"
+    rows = [(2, block), (1, block), (1, block), (None, block), (3, None), (4, "")]
+    texts = sorted(((r.doc_id or 9), r.text or "") for r in C.dedup_lines(
+        spark.createDataFrame(rows, "doc_id int, text string"), alone=50).collect())
+    # equal rows are one document; the one without a key comes last
+    assert texts == [(1, block), (1, block), (2, ""), (3, ""), (4, ""), (9, "")]

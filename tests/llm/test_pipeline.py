@@ -1,12 +1,14 @@
 import collections
+from pathlib import Path
 
 import pytest
 
 import corpus_pipeline
 from millrace.llm import decontaminate, quality_rules
 from millrace.llm.catalog import queries
-from test_line_chunks import brute
-from test_simhash_dedup import near_groups
+from millrace.workspace import shared_folder
+from test_line_chunks import brute_passages
+from test_near_copies import near_groups
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -19,7 +21,7 @@ def test_the_pipeline_equals_its_stages_by_hand(spark, texts):
         if len(words) >= 10 and 100 * repeated <= 20 * len(words) and 100 * covered <= 30 * len(words) and longest <= 250:
             left[i] = text
     assert 0 < len(left) < len(texts)
-    left = brute(left)
+    left = brute_passages(left)
     least = near_groups(left)
     left = {i: t for i, t in left.items() if least[i] == i}
     items = [decontaminate.words_of(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
@@ -51,11 +53,32 @@ def test_stages_keep_the_columns(spark, documents):
 
 
 def test_stages_take_odd_rows(spark, odd, empty):
+    """What each stage makes of null and empty texts, a null key, repeated rows and a long text by itself."""
+    expected = {"quality_rules": [], "line_dedup": [0, 0, 1, 2, 3, 4, 4, 5, 6], "near_dedup": [1, 4, 5, 6],
+                "decontaminate": [0, 0, 1, 2, 3, 4, 4, 5, 6]}
     for name, stage in corpus_pipeline.STAGES:
-        assert stage(spark, odd, FOLDER).count() >= 0, name
+        found = stage(spark, odd, FOLDER)
         assert stage(spark, empty, FOLDER).count() == 0, name
+        if name in expected:
+            assert sorted(r.doc_id or 0 for r in found.collect()) == expected[name], name
+            assert sorted(found.columns) == sorted(odd.columns), name
+        else:
+            texts = collections.defaultdict(list)
+            for r in found.collect():
+                texts[r.doc_id].append((r.piece, r.text))
+            assert "".join(t for _, t in sorted(texts[5])).split() == ["word"] * 30_000
+            assert sorted(t for _, t in texts[4]) == ["one two three"] * 2
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+def test_a_run_leaves_only_its_result(spark):
+    folder = shared_folder(spark)
+    inside = lambda: {p.name for p in Path(folder).glob("*/*")}
+    before = inside()
+    corpus_pipeline.run(spark, FOLDER)
+    left = {n.rsplit("-", 1)[0] for n in inside() - before}
+    assert left == {"best_fit_packing"}
+
+
+@pytest.mark.parametrize("number", range(1, 14))
 def test_every_operator_has_a_query(number):
     assert sum(name.startswith(f"op{number}_") for name in queries()) == 1 and "pipeline" in queries()

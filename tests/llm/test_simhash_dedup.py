@@ -92,53 +92,6 @@ def test_documents_equal_brute_force(documents, texts):
         i: (f"{marks[i]:016x}", expected[i]) for i in texts}
 
 
-def word_mark(text, seed):
-    words = set(text.encode().lower().split())
-    hashes = [xxhash.xxh64_intdigest(w, seed) for w in words]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def near_groups(texts, seeds=S.SEEDS):
-    """Smallest id reachable over texts of which some mark is within the radius."""
-    marks = {i: [word_mark(t, s) for s in seeds] for i, t in texts.items()}
-    linked = lambda a, b: any((x ^ y).bit_count() <= 3 for x, y in zip(marks[a], marks[b]))
-    least = {}
-    for start in sorted(texts):
-        queue = [] if start in least else [start]
-        while queue:
-            a = queue.pop()
-            if a not in least:
-                least[a] = start
-                queue += [b for b in texts if b not in least and linked(a, b)]
-    return least
-
-
-def test_one_of_each_group_stays(documents, texts):
-    kept = S.drop_near_duplicates(documents)
-    assert kept.columns == documents.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(near_groups(texts).values()))
-
-
-def test_near_copies_go_and_others_stay(spark):
-    rng = random.Random(11)
-    vocabulary = ["".join(rng.choices("abcdefghijkl", k=rng.randint(2, 8))) for _ in range(5000)]
-    draw = lambda n: [vocabulary[int(rng.paretovariate(0.6)) % 5000] for _ in range(n)]
-    rows, copies = [], 0
-    for i in range(100):
-        base = draw(300)
-        rows.append((10 * i, " ".join(base)))
-        changed = list(base)
-        for at in (rng.randrange(20, 280), rng.randrange(20, 280)):
-            changed[at] = "changed"
-        shingles = [{tuple(w[j:j + 5]) for j in range(296)} for w in (base, changed)]
-        if len(shingles[0] & shingles[1]) >= 0.8 * len(shingles[0] | shingles[1]):
-            rows.append((10 * i + 1, " ".join(changed)))
-            copies += 1
-    kept = [r.doc_id for r in S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id int, text string")).collect()]
-    assert {i for i in kept if i % 10 == 0} == {10 * i for i in range(100)}
-    assert copies == 100 and sum(i % 10 == 1 for i in kept) <= 5
-
-
 def test_odd_rows(odd, empty):
     found = S.near_duplicates(odd)
     assert found.count() == odd.count()
@@ -146,58 +99,4 @@ def test_odd_rows(odd, empty):
     assert set(by_id.values()) == {("0" * 16, 1)}
     # the row without a key belongs to the group of its copies
     assert found.where("doc_id IS NULL AND component_id = 4").count() == 1
-    kept = S.drop_near_duplicates(odd)
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6] and kept.columns == odd.columns
-    assert S.near_duplicates(empty).count() == 0 and S.drop_near_duplicates(empty).count() == 0
-
-
-def runs_of(text):
-    words = text.encode().lower().split()
-    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def alike(a, b):
-    a, b = runs_of(a), runs_of(b)
-    return len(a & b) >= 0.8 * len(a | b)
-
-
-def verified_groups(texts, seeds=S.SEEDS):
-    """Smallest id reachable over texts of which some mark is within the radius and the runs are alike to 0.8."""
-    marks = {i: [word_mark(t, s) for s in seeds] for i, t in texts.items()}
-    linked = lambda a, b: (any((x ^ y).bit_count() <= 3 for x, y in zip(marks[a], marks[b]))
-                           and alike(texts[a], texts[b]))
-    least = {}
-    for start in sorted(texts):
-        queue = [] if start in least else [start]
-        while queue:
-            a = queue.pop()
-            if a not in least:
-                least[a] = start
-                queue += [b for b in texts if b not in least and linked(a, b)]
-    return least
-
-
-def test_only_verified_copies_go(documents, texts):
-    kept = S.drop_near_duplicates(documents, similarity=0.8)
-    expected = set(verified_groups(texts).values())
-    assert kept.columns == documents.columns and sorted(r.doc_id for r in kept.collect()) == sorted(expected)
-    # links by marks alone drop texts that are not alike
-    assert len(expected) > len(set(near_groups(texts).values()))
-
-
-def test_texts_of_one_mark_are_told_apart(spark):
-    words = [f"word{i}" for i in range(200)]
-    texts = {}
-    for i in range(4):
-        random.Random(i).shuffle(words)
-        texts[10 * i] = " ".join(words)
-        texts[10 * i + 1] = " ".join([*words[:100], "changed", *words[101:]])
-    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
-    kept = sorted(r.doc_id for r in S.drop_near_duplicates(df, similarity=0.8).collect())
-    assert kept == sorted(set(verified_groups(texts).values())) == [0, 10, 20, 30]
-
-
-def test_odd_rows_verified(odd, empty):
-    kept = S.drop_near_duplicates(odd, similarity=0.8)
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6] and kept.columns == odd.columns
-    assert S.drop_near_duplicates(empty, similarity=0.8).count() == 0
+    assert S.near_duplicates(empty).count() == 0
