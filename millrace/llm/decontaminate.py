@@ -31,7 +31,7 @@ BITS, HALF = 32, 16
 RECALL = 0.92
 
 #: Words of texts handled together in a worker; a longer text is a group of its own.
-GROUP_WORDS = 20_000
+GROUP_WORDS = 60_000
 
 #: Keeps ASCII letters and digits and all bytes above ASCII; the rest separates words.
 _SEPARATE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -232,6 +232,8 @@ def leaks(texts: list[str | None], items: Items, hashes: Hashes, similarity: flo
             if n > len(every):
                 continue
             place, item, apart = items.candidates(counts, n)
+            if not len(place):
+                continue
             row = np.searchsorted(ends, place, side="right")
             left = np.flatnonzero(place + n <= ends[row])
             length = min(items.size, n)
