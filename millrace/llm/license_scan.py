@@ -5,7 +5,9 @@ template texts. A hit at text position i and template position j votes for the
 diagonal i - j: an unchanged copy of a template gives all its votes to one
 diagonal, one with words put in or left out to neighbouring diagonals, which are
 merged. A span counts when the share of the template's runs found in it, each
-compared as text, is large enough.
+compared as text, is large enough and it is verified: all words that decide between
+licenses, such as version numbers, stand in it as in the template, no word that
+makes it another license does, and of spans of one family that overlap the best stays.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.llm.words import content_key, local_table, raw, row_groups
 
@@ -30,6 +32,15 @@ K = 2
 GROUP_BYTES = 2_000_000
 
 
+#: Words that tell one license of a family from another: a template's own have to stand in a span (fixed values).
+VERSIONS = ("1", "2", "3", "4", "5")
+
+#: Words of that kind that must not stand in a span of a template without them either (fixed values).
+TERMS = ("nc", "nd", "noderivatives", "noderivs", "noncommercial", "sa", "sharealike", "lesser", "affero")
+
+DECIDING = VERSIONS + TERMS
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
@@ -58,6 +69,9 @@ STATEMENTS = (
 )
 
 
+_DECIDING = {w.encode(): xxhash.xxh64_intdigest(w) for w in DECIDING}
+
+
 def words_of(blob: bytes) -> list[bytes]:
     """Words of a text, after A-Z are lower-cased."""
     return blob.lower().translate(SEPARATE).split()
@@ -93,12 +107,14 @@ def _scan_words(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             for blob in blobs[start:stop]:
                 words = words_of(blob)
                 mixed, found = runs(words, k, kept)
+                deciding = [i for i, w in enumerate(words) if w in _DECIDING]
                 # the first row of a text stands for the text itself
-                hashes += [np.zeros(1, np.uint64), mixed]
+                hashes += [np.zeros(1, np.uint64), mixed, np.array([_DECIDING[words[i]] for i in deciding], np.uint64)]
                 texts.append(b"")
                 texts += found
-                places += [np.array([len(words)]), np.arange(len(found))]
-                counts.append(1 + len(found))
+                texts += [words[i] for i in deciding]
+                places += [np.array([len(words)]), np.arange(len(found)), np.array(deciding, np.int64)]
+                counts.append(1 + len(found) + len(deciding))
             row = pa.array(np.repeat(np.arange(start, stop), counts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row), batch.column(1).take(row),
@@ -108,14 +124,19 @@ def _scan_words(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
 
 
 def template_runs(templates, k: int) -> tuple[list, list]:
-    """Rows (template, position, hash, run) and (template, label, is a phrase, runs)."""
+    """Rows (template, position, hash, run) and (template, label, is a phrase, runs, deciding words needed, barred)."""
     places, facts = [(-1, 0, 0, "")], []
+    # deciding words have negative numbers in place of a template
+    places += [(-2 - i, 0, int(np.uint64(_DECIDING[w.encode()]).view(np.int64)), w) for i, w in enumerate(DECIDING)]
     for t, template in enumerate(templates):
         hashes, texts = runs(words_of(template.text.encode()), k, {})
         if not texts:
             raise ValueError(f"template {template.label} has fewer than {k} words")
         places += [(t, j, int(h), s.decode()) for j, (h, s) in enumerate(zip(hashes.view(np.int64), texts))]
-        facts.append((t, template.label, template.phrase, len(texts)))
+        own = set(words_of(template.text.encode()))
+        needed = [-2 - i for i, w in enumerate(DECIDING) if w.encode() in own]
+        barred = [-2 - i for i, w in enumerate(DECIDING) if w in TERMS and w.encode() not in own]
+        facts.append((t, template.label, template.phrase, len(texts), needed, barred))
     return places, facts
 
 
@@ -142,7 +163,10 @@ def scan_licenses(docs: DataFrame, templates=PHRASES + STATEMENTS, key: str = "d
     Columns: key, ``n_words``, ``places`` (array of (label, start) of the phrases),
     ``spans`` (array of (label, first, last, similarity) of the statements, text
     positions in words). Neighbouring diagonals up to ``gap`` words apart are one
-    span; a statement is found when ``similarity`` of its runs are.
+    span; a statement is found when ``similarity`` of its runs are and the span holds
+    the deciding words of the template and no barred ones. Where spans of one family (the
+    label up to its first hyphen) overlap, the most similar one stays, then the one with
+    the smaller label, then the earlier one.
 
     Null and empty texts have no words and no finds; rows equal in key and text are
     counted once and given out as often as they occur; other columns are left out; an
@@ -152,9 +176,11 @@ def scan_licenses(docs: DataFrame, templates=PHRASES + STATEMENTS, key: str = "d
     _, facts = template_runs(templates, k)
     votes = license_hits(docs, templates, key, text, k)
     # templates are few and short, so their facts come as a list of constants
-    of = {c: F.create_map(*(F.lit(x) for t, *rest in facts for x in (t, rest[i])))[F.col("template")]
-          for i, c in enumerate(("label", "phrase", "runs"))}
-    votes = votes.withColumns(of)
+    def fact(i: int, template: Column) -> Column:
+        lit = lambda x: F.array(*map(F.lit, x)).cast("array<int>") if isinstance(x, list) else F.lit(x)
+        return F.create_map(*(lit(x) for t, *rest in facts for x in (t, rest[i])))[template]
+
+    votes = votes.withColumns({c: fact(i, F.col("template")) for i, c in enumerate(("label", "phrase", "runs"))})
     line = W.partitionBy("key", "content", "template").orderBy("diagonal")
     apart = (F.col("diagonal") - F.lag("diagonal").over(line) > gap) | F.coalesce("phrase", F.lit(True))
     grouped = votes.withColumn("group", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(line))
@@ -167,13 +193,27 @@ def scan_licenses(docs: DataFrame, templates=PHRASES + STATEMENTS, key: str = "d
     share = F.col("found") / F.col("runs")
     place = F.when(F.col("phrase") & (F.col("found") == F.col("runs")), F.struct("label", F.col("first").alias("start")))
     span = F.when(~F.col("phrase") & (share >= similarity),
-                  F.struct("label", "first", "last", share.alias("similarity")))
+                  F.struct("label", "first", "last", share.alias("similarity"), "template"))
     whole = F.col("template") == -1
-    return (spans.groupBy("key", "content").agg(
+    mark = F.when(F.col("template") < -1, F.struct(F.col("template").alias("word"), F.col("first").alias("place")))
+    texts = spans.groupBy("key", "content").agg(
         F.max(F.when(whole, F.col("n"))).alias("copies"), F.max(F.when(whole, F.col("diagonal"))).alias("n_words"),
-        F.array_sort(F.collect_list(place)).alias("places"), F.array_sort(F.collect_list(span)).alias("spans"))
-        .select(F.col("key").alias(key), "n_words", "places", "spans", F.explode(F.sequence(F.lit(1), "copies")))
-        .drop("col"))
+        F.array_sort(F.collect_list(place)).alias("places"), F.collect_list(span).alias("spans"), F.collect_list(mark).alias("marks"))
+
+    def verified(s: Column) -> Column:
+        inside = F.transform(F.filter("marks", lambda m: m["place"].between(s["first"], s["last"])), lambda m: m["word"])
+        return (F.size(F.array_except(fact(3, s["template"]), inside)) == 0) & ~F.arrays_overlap(fact(4, s["template"]), inside)
+
+    def best(s: Column) -> Column:
+        """No other span of the family that overlaps is better; of equal ones the first by label and place is."""
+        family = lambda x: F.substring_index(x["label"], "-", 1)
+        rank = lambda x: F.struct(-x["similarity"], x["label"], x["first"], x["last"], x["template"])
+        return ~F.exists("spans", lambda o: (family(o) == family(s)) & (o["first"] <= s["last"]) & (s["first"] <= o["last"])
+                         & (rank(o) < rank(s)))
+    texts = texts.withColumn("spans", F.filter("spans", verified)).withColumn("spans", F.filter("spans", best))
+    plain = F.array_sort(F.transform("spans", lambda s: s.dropFields("template")))
+    return (texts.select(F.col("key").alias(key), "n_words", "places", plain.alias("spans"), F.explode(F.sequence(F.lit(1), "copies")))
+            .drop("col"))
 
 
 def _query(spark, folder):

@@ -68,3 +68,34 @@ def test_query(spark):
     found = L._query(spark, "/root/testdata/sf0.001").where("n_base > 0").collect()
     for r in found:
         assert set(r.base_labels.split(",")) <= set(r.labels.split(",")) and r.score == 1.0 and r.first_word <= r.last_word
+
+
+def test_near_templates_are_told_apart(spark):
+    rng = random.Random(9)
+    fill = " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(20))
+    cases = {t.text: [t.label] for t in L.STATEMENTS}
+    cases |= {
+        "This work is licensed under the GNU General Public License, version 4": [],
+        "This work is licensed under the GNU Lesser General Public License, version 3": [],
+        "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License": [],
+        "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License": [],
+        "This work is licensed under a Creative Commons Attribution 3.0 International License": [],
+        "licensed under the apache license version 1.1": [],
+        "licensed under cc by-nd 4.0": [],
+        "This work is, really, licensed under the GNU General Public License, version 2": ["gpl-2.0"],
+        "This work is licensed under the GNU General Public License, version 2 and this work is licensed under the GNU General"
+        " Public License, version 3": ["gpl-2.0", "gpl-3.0"]}
+    rows = [(i, f"{fill} {text} {fill}") for i, text in enumerate(cases)]
+    found = scan(spark.createDataFrame(rows, "doc_id int, text string"))
+    for i, (text, labels) in enumerate(cases.items()):
+        assert sorted(s.label for s in found[i].spans) == labels, text
+
+
+def test_of_overlapping_spans_the_best_stays(spark):
+    templates = L.PHRASES + (L.Template("x-one", "a b c d e f g h"), L.Template("x-two", "a b c d e f g i"), L.Template("y", "a b c d e f"))
+    text = "q a b c d e f g i q"
+    df = spark.createDataFrame([(1, text), (1, text), (2, "a b c d e f g z"), (3, "a b c d e f g h a b c d e f g i")], "doc_id int, text string")
+    found = {r.doc_id: [(s.label, s.first, s.similarity) for s in r.spans] for r in L.scan_licenses(df, templates).collect()}
+    # exact beats near, equal ones go by label; another family is not concerned
+    assert [f[0] for f in found[1]] == ["x-two", "y"] and [f[0] for f in found[2]] == ["x-one", "y"]
+    assert [f[:2] for f in found[3]] == [("x-one", 0), ("x-two", 8), ("y", 0), ("y", 8)]
