@@ -13,16 +13,25 @@ Aggregate = Callable[[Column], Column]
 def exact_sum(column: Column | str, scale: int) -> Column:
     """Sum of values with at most ``scale`` decimal places that does not depend on the order of the rows.
 
-    Added up as decimals of 38 digits. A value with more places stops the query
-    instead of being rounded; NaN and infinities add up as doubles do. NULLs are
-    left out. For sums that may depend on the order in the last bits, use ``F.sum``.
+    Added up as whole numbers of the last place, values too large for those as decimals of
+    38 digits. A value with more places stops the query instead of being rounded; NaN and
+    infinities add up as doubles do. NULLs are left out. For sums that may depend on the
+    order in the last bits, use ``F.sum``.
     """
     column = (F.col(column) if isinstance(column, str) else column).cast("double")
+    step, exact = float(10 ** scale), f"decimal(38,{scale})"
     finite = F.abs(column) < F.lit(float("inf"))
-    units = F.when(finite, column).cast(f"decimal(38,{scale})")
-    checked = F.when(units.cast("double") == column, units).when(
-        finite, F.raise_error(F.lit(f"a value has more than {scale} decimal places")).cast(f"decimal(38,{scale})"))
-    return F.coalesce(F.sum(F.when(~finite, column)), F.sum(checked).cast("double"))
+    # up to here a double tells neighbouring last places apart, and the quotient of a whole number is the value itself
+    small = F.abs(column) < F.lit(2.0 ** 52 / step if scale <= 9 else 0.0)
+    units = F.rint(column * F.lit(step))
+    refused = F.raise_error(F.lit(f"a value has more than {scale} decimal places"))
+    counted = F.when(small, F.when(units / F.lit(step) == column, units.cast("bigint")).otherwise(refused.cast("bigint")))
+    large = column.cast(exact)
+    rest = F.when(finite & ~small, F.when(large.cast("double") == column, large).otherwise(refused.cast(exact)))
+    last = F.lit(1).cast(f"decimal({scale + 1},0)") if scale == 0 else F.expr(f"CAST('{10 ** -scale:.{scale}f}' AS decimal({scale},{scale}))")
+    known = F.sum(counted.cast("decimal(18,0)")).cast("decimal(28,0)") * last
+    total = F.coalesce(known.cast(exact) + F.sum(rest), known.cast(exact), F.sum(rest))
+    return F.coalesce(F.sum(F.when(~finite, column)), total.cast("double"))
 
 
 def exact_mean(column: Column | str, scale: int) -> Column:

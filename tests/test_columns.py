@@ -122,6 +122,11 @@ def test_sums_are_neither_rounded_nor_bounded(spark):
     assert math.isnan(total([1.0, float("nan")], 2)) and total([1.0, float("inf")], 2) == float("inf")
     with pytest.raises(Exception, match="more than 2 decimal places"):
         total([0.001], 2)
+    # small and large values in one sum, whole numbers, and more places than a long can count
+    assert total([0.07, 9e15, -9e15, 0.01], 2) == 0.08 and total([3.0, 2.0 ** 60], 0) == 3.0 + 2.0 ** 60
+    assert total([1e-12, 2e-12, 0.25], 12) == 0.250000000003 and total([-0.05, 0.05], 2) == 0.0
+    with pytest.raises(Exception, match="more than 0 decimal places"):
+        total([0.5], 0)
     df = spark.createDataFrame([(0.001,), (0.002,), (0.004,)], "v double")
     figures = {r.stat: r.value for r in S.describe_long(df, ["v"]).collect()}
     assert figures["mean"] == 0.002333 and figures["min"] == 0.001
