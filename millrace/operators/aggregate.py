@@ -30,8 +30,9 @@ def exact_sum(column: Column | str, scale: int) -> Column:
     rest = F.when(finite & ~small, F.when(large.cast("double") == column, large).otherwise(refused.cast(exact)))
     last = F.lit(1).cast(f"decimal({scale + 1},0)") if scale == 0 else F.expr(f"CAST('{10 ** -scale:.{scale}f}' AS decimal({scale},{scale}))")
     known = F.sum(counted.cast("decimal(18,0)")).cast("decimal(28,0)") * last
-    total = F.coalesce(known.cast(exact) + F.sum(rest), known.cast(exact), F.sum(rest))
-    return F.coalesce(F.sum(F.when(~finite, column)), total.cast("double"))
+    # a digit less than the sums, so that adding the two keeps all places
+    known, rest = (x.cast(f"decimal(37,{scale})") for x in (known, F.sum(rest)))
+    return F.coalesce(F.sum(F.when(~finite, column)), F.coalesce(known + rest, known, rest).cast("double"))
 
 
 def exact_mean(column: Column | str, scale: int) -> Column:
