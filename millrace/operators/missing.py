@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -70,3 +71,48 @@ def sample_stable(df: DataFrame, key: str, fraction: float, seed: str = "") -> D
     """Sample by a digest of the key: the same rows on any cluster and in any file layout."""
     digits = F.substring(F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), 1, 8)
     return df.where(F.conv(digits, 16, 10).cast("long") < F.lit(int(fraction * 16 ** 8)))
+
+
+def _digest(key: str, seed: str) -> Column:
+    """A number below 16**8 that depends on the key and the seed alone."""
+    digits = F.substring(F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), 1, 8)
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def poisson_steps(rate: float) -> list[int]:
+    """Digests from which on a row is drawn once, twice and so on: the cumulated Poisson shares of 16**8."""
+    share, total, steps = math.exp(-rate), 0.0, []
+    while (total := total + share) * 16 ** 8 < 16 ** 8 - 0.5:
+        steps.append(int(total * 16 ** 8))
+        share *= rate / len(steps)
+    return steps
+
+
+def sample_repeated(df: DataFrame, key: str, rate: float, seed: str = "") -> DataFrame:
+    """Sample with replacement: a row comes ``rate`` times on average, the same number of times in any file layout.
+
+    How often is read off the key's digest by the cumulated Poisson shares, so rows are
+    drawn independently and nothing is shuffled. Rows of one key are drawn alike; rows
+    without a key are not drawn.
+    """
+    if not 0 < rate <= 20:
+        raise ValueError("the rate lies above 0 and up to 20")
+    digest = _digest(key, seed)
+    times = sum((F.when(digest >= F.lit(step), 1).otherwise(0) for step in poisson_steps(rate)), F.lit(0))
+    name = "_draw"
+    while name in df.columns:
+        name += "_"
+    return df.where(times > 0).withColumn(name, F.explode(F.sequence(F.lit(1), times))).drop(name)
+
+
+def sample_exact(df: DataFrame, key: str, size: int, strata: Sequence[str] = (), seed: str = "") -> DataFrame:
+    """``size`` rows of each stratum, or all of a smaller one: those with the smallest digests, ties by key.
+
+    The same rows in any file layout if keys are unique. A task sends ``size`` rows of a
+    stratum at most.
+    """
+    order = Window.partitionBy(*strata).orderBy(_digest(key, seed), F.col(key))
+    name = "_rank"
+    while name in df.columns:
+        name += "_"
+    return df.where(F.col(key).isNotNull()).withColumn(name, F.row_number().over(order)).where(F.col(name) <= size).drop(name)

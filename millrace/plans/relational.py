@@ -245,6 +245,23 @@ def sample_stable(t):
     return M.sample_stable(t.orders, "o_orderkey", 0.5, seed="s").select("o_orderkey", "o_totalprice")
 
 
+_DIGEST = "CAST('0x' || substr(md5('r' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)"
+_TIMES = " + ".join(f"CASE WHEN {_DIGEST} >= {step} THEN 1 ELSE 0 END" for step in M.poisson_steps(0.7))
+
+
+@query("sample_repeated", "FLT14", f"""
+    SELECT o_orderkey, o_totalprice FROM (SELECT o_orderkey, o_totalprice, unnest(generate_series(1, {_TIMES})) FROM orders)""")
+def sample_repeated(t):
+    return M.sample_repeated(t.orders, "o_orderkey", 0.7, seed="r").select("o_orderkey", "o_totalprice")
+
+
+@query("sample_exact", "FLT14", f"""
+    SELECT o_orderkey, o_orderpriority FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY {_DIGEST}, o_orderkey) <= 25""")
+def sample_exact(t):
+    return M.sample_exact(t.orders, "o_orderkey", 25, ["o_orderpriority"], seed="r").select("o_orderkey", "o_orderpriority")
+
+
 # aggregation
 
 @query("row_count", "AGG1", "SELECT count(*) AS rows FROM lineitem")
@@ -440,6 +457,13 @@ def frequent_items(t):
     return S.frequent_items(t.orders, "o_orderpriority", 0.2)
 
 
+@query("frequent_items_bounded", "STA5", """
+    SELECT l_linenumber, count(*) AS count FROM lineitem GROUP BY 1
+    HAVING count(*) >= 0.15 * (SELECT count(*) FROM lineitem)""")
+def frequent_items_bounded(t):
+    return S.frequent_items_bounded(t.lineitem, "l_linenumber", 0.15)
+
+
 # order and set operations
 
 @query("limit_rows", "SRT2", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 100")
