@@ -47,6 +47,29 @@ def _slices(blob: bytes) -> Iterator[bytes]:
     yield blob[start:]
 
 
+def _distinct(columns: list[np.ndarray], limits: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows in order, and how often each occurs. ``limits``: numbers of a column lie below its limit."""
+    bits = [max(1, (limit - 1).bit_length()) for limit in limits]
+    if sum(bits) > 63:
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+        new = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        heads = np.flatnonzero(np.concatenate([[True], new])[:len(order)])
+        return [c[heads] for c in columns], np.diff(np.append(heads, len(order)))
+    # a row fits one number, which sorts much faster
+    packed = np.zeros(len(columns[0]), np.int64)
+    for column, width in zip(columns, bits):
+        packed <<= width
+        packed |= column
+    packed.sort()
+    heads = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]])[:len(packed)])
+    rows, found = packed[heads], []
+    for width in reversed(bits):
+        found.append(rows & ((1 << width) - 1))
+        rows = rows >> width
+    return found[::-1], np.diff(np.append(heads, len(packed)))
+
+
 class _Counter:
     """Windows of one chunk. Word 0 is the padding, word 1 the end of a piece."""
 
@@ -77,19 +100,13 @@ class _Counter:
             following = ids[first + lead]
             ended |= following == 1
             columns.append(np.where(ended, 0, following).astype(np.int32))
-        order = np.lexsort(columns[::-1])
-        columns = [c[order] for c in columns]
-        new = np.ones(len(order), bool)
-        if len(order):
-            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-        heads = np.flatnonzero(new)
-        uses = np.diff(np.append(heads, len(order)))
+        columns, uses = _distinct(columns, [len(self.langs), *[len(self.words)] * self.longest])
         known, langs = self.hashes(seed), pa.array(list(self.langs), pa.string())
-        for low in range(0, len(heads), _ROWS):
-            at = heads[low:low + _ROWS]
+        for low in range(0, len(uses), _ROWS):
+            at = slice(low, low + _ROWS)
             yield pa.RecordBatch.from_arrays(
                 [langs.take(pa.array(columns[0][at])), *[pa.array(known[c[at]]) for c in columns[1:]],
-                 pa.array(uses[low:low + _ROWS], pa.int64())],
+                 pa.array(uses[at], pa.int64())],
                 ["lang", *[f"w{i}" for i in range(1, self.longest + 1)], "uses"])
 
     def vocabulary(self, seed: int) -> Iterator[pa.RecordBatch]:

@@ -89,3 +89,14 @@ def test_one_shuffle_of_windows(spark, documents):
     counts.collect()
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan and "Expand" in plan
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_distinct_rows(wide):
+    rng = P.np.random.default_rng(3)
+    columns = [rng.integers(0, n, 500).astype(P.np.int32) for n in (2, 5, 9)]
+    found, uses = P._distinct(columns, [2 ** 30] * 3 if wide else [2, 5, 9])
+    expected = Counter(zip(*(c.tolist() for c in columns)))
+    assert dict(zip(zip(*(c.tolist() for c in found)), uses.tolist())) == expected
+    none, uses = P._distinct([c[:0] for c in columns], [2 ** 30] * 3 if wide else [2, 5, 9])
+    assert [len(c) for c in none] == [0, 0, 0] and len(uses) == 0
