@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import time_key
 from millrace.plans.nested import DECODED_LINES, decoded_lines, line_messages
 from millrace.plans.registry import query
-from millrace.streaming import io, jobs
+from millrace.streaming import io, jobs, keyed
 from millrace.workspace import new_name, new_path
 
 
@@ -37,10 +37,20 @@ def stream_update_latest(t):
     counted = _event_stream(t).groupBy("user_id").agg(F.count(F.lit(1)).alias("events"),
                                                       F.max("value").alias("top_value"))
     path = new_path(t.spark, "updates")
-    io.finish(io.to_update_log(counted, path, _checkpoint(t)))
+    io.finish(io.to_update_log(counted, path, _checkpoint(t), keys=["user_id"]))
     return io.latest_updates(t.spark, path, ["user_id"])
 
 
+@query("stream_keyed_state", "ST3 ST12", """
+    SELECT user_id, event_type, count(*) AS events, max(value) AS top_value FROM events GROUP BY 1, 2""")
+def stream_keyed_state(t):
+    counted = _event_stream(t).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("events"),
+                                                                    F.max("value").alias("top_value"))
+    path = new_path(t.spark, "keyed")
+    io.finish(keyed.to_keyed_state(counted, path, _checkpoint(t), ["user_id", "event_type"], buckets=8))
+    return keyed.read_keyed_state(t.spark, path)
+
+
 _MINUTES = """SELECT event_type, date_trunc('minute', ts) AS window_start,
                      date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end, count(*) AS count
               FROM events GROUP BY 1, 2"""
