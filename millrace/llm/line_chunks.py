@@ -75,11 +75,16 @@ def passages_of(text: Column, size: int, alone: int) -> Column:
             lines, F.get(worded, n) + 1, F.get(worded, n + size - 1) - F.get(worded, n) + 1).alias("lines")))
 
     def singles(lines: Column, worded: Column) -> Column:
-        # a line of so many words has as many characters at least, which is cheap to rule out
-        long = F.filter(worded, lambda i: (F.length(F.get(lines, i)) >= 2 * alone - 1) & (_words(F.get(lines, i)) >= alone))
+        # so many words have blanks between them, or rarer characters, which is cheap to rule out
+        def may(line: Column) -> Column:
+            blanks = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+            return (blanks >= alone - 1) | F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(
+                line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
+        long = F.filter(worded, lambda i: F.when(F.octet_length(F.get(lines, i)) < 2 * alone - 1, False).when(
+            may(F.get(lines, i)), _words(F.get(lines, i)) >= alone).otherwise(False))
         return F.transform(long, lambda i: F.struct(i.alias("first"), F.array(F.get(lines, i)).alias("lines")))
     return let(F.split(text, "\n", -1), lambda lines: let(
-        F.filter(F.transform(lines, lambda line, i: i), lambda i: F.length(F.trim(F.translate(F.get(lines, i), "\t\x0b\x0c\r", "    "))) > 0),
+        F.filter(F.transform(lines, lambda line, i: i), lambda i: F.octet_length(F.ltrim(F.get(lines, i), F.lit(" \t\x0b\x0c\r"))) > 0),
         lambda worded: F.concat(runs(lines, worded), singles(lines, worded))))
 
 
