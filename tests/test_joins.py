@@ -128,6 +128,18 @@ def test_a_cell_bounds_both_sides(hot_sides):
     assert lines.where("k IS NULL").count() == 10
 
 
+def test_repeats_do_not_grow_with_the_pairs(spark):
+    """Rows in cells per given row, of one key with very many cells: the same at any size."""
+    per_row = []
+    for n in (2_000, 20_000):
+        left, right = (spark.range(0, size, 1, 4).select(F.lit(7).alias("k"), F.col("id").alias(c)) for c, size in (("v", n), ("d", n // 4)))
+        lines, columns = J.grid_by_share(left, right, "k", target_rows=5)
+        sizes = [side.groupBy("_line", "_column").count().agg(F.count(F.lit(1)), F.max("count")).first() for side in (lines, columns)]
+        assert all(cells > J.REPEATS ** 2 and most < n / J.REPEATS for cells, most in sizes)
+        per_row.append((lines.count() + columns.count()) / (n + n // 4))
+    assert max(per_row) <= 2 * J.REPEATS and per_row[0] == per_row[1]
+
+
 def test_the_grid_join_hashes_on_cells(hot_sides, no_broadcast):
     found = exchanges(J.join_grid(*hot_sides, "k", 100))
     assert len(found) == 2 and all("_line" in e and "_column" in e for e in found)
