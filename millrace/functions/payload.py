@@ -15,18 +15,25 @@ def encode_json(*columns: Column) -> Column:
     return F.encode(F.to_json(F.struct(*columns)), "UTF-8")
 
 
-def json_array_files(df: DataFrame, document: str) -> DataFrame:
-    """Lines of one JSON array per task, each document over several lines, for the text sink."""
+def json_array_files(df: DataFrame, document: str, path: str, documents: int = 10_000) -> None:
+    """Write files of one JSON array each, a document over several lines and ``documents`` of them at most in a file.
+
+    Such a file can't be split and its rows are parsed at once, so files grow in number and not in size.
+    """
     pretty = df.select(F.to_json(F.col(document), {"pretty": "true"}).alias("value"))
 
-    def lines(batches):
-        separator = "["
+    def elements(batches):
+        held, n = None, 0
         for batch in batches:
+            found = []
             for text in batch["value"]:
-                yield pd.DataFrame({"value": [separator, *text.split("\n")]})
-                separator = ","
-        yield pd.DataFrame({"value": ["[", "]"] if separator == "[" else ["]"]})
-    return pretty.mapInPandas(lines, "value string")
+                if held is not None:
+                    found.append(held + ("\n]" if n % documents == 0 else ""))
+                held, n = ("[\n" if n % documents == 0 else ",\n") + text, n + 1
+            yield pd.DataFrame({"value": found}, dtype=object)
+        yield pd.DataFrame({"value": ["[\n]" if held is None else held + "\n]"]})
+    # a row is one element, so the writer begins a new file where an array has ended
+    pretty.mapInPandas(elements, "value string").write.option("maxRecordsPerFile", documents).text(path)
 
 
 def decode_json(df: DataFrame, schema: T.StructType | str, payload: str = "value",

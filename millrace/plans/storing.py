@@ -179,7 +179,7 @@ def scan_json_documents(t):
     documents = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.struct(head, "lines").alias("document"))
     path = new_path(t.spark, "order-documents")
-    json_array_files(documents, "document").write.text(path)
+    json_array_files(documents, "document", path)
     scanned = R.json(t.spark, path, multi_line=True)
     return scanned.select(
         F.col("head.o_orderkey").alias("o_orderkey"), at_path("head", "state", "o_orderstatus").alias("status"),

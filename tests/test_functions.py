@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -91,3 +93,17 @@ def test_payloads(spark, rows):
 def test_encode(spark):
     df = spark.range(1).select(Y.encode_json(F.col("id"), F.lit("x").alias("s")).alias("value"))
     assert bytes(df.first().value) == b'{"id":0,"s":"x"}'
+
+
+def test_json_array_files_grow_in_number(spark, tmp_path):
+    """Each file is one whole array of at most so many documents, whatever a task holds; a task without any writes an empty one."""
+    docs = spark.range(0, 23, 1, 2).select(F.struct("id", F.lit("a\nb").alias("t")).alias("d"))
+    for n, name in ((23, "all"), (0, "none")):
+        path = str(tmp_path / name)
+        Y.json_array_files(docs.where(F.col("d.id") < n), "d", path, documents=5)
+        found = [json.loads(f.read_text()) for f in (tmp_path / name).glob("part-*")]
+        # eleven and twelve documents are dealt to the tasks
+        assert sorted(map(len, found)) == ([1, 2, 5, 5, 5, 5] if n else [0] * len(found))
+        assert sorted(x["id"] for part in found for x in part) == list(range(n))
+    scanned = spark.read.json(str(tmp_path / "all"), multiLine=True)
+    assert sorted(r.id for r in scanned.collect()) == list(range(23)) and scanned.where("t = 'a\nb'").count() == 23
