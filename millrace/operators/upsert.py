@@ -66,11 +66,13 @@ def _touched(base: DataFrame, staged: DataFrame, keys: Sequence[str], columns: S
 def merge_insert(base: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep the base and add source rows whose key it lacks; doing it again changes nothing.
 
-    NULL keys match nothing, so such rows are added each time.
+    NULL keys match nothing, so such rows are added each time. The known keys and the
+    added rows, neither more than the source, are stored in turn: the joins run in stages
+    of their own, and merging into the result again reads rows instead of joining anew.
     """
     staged = materialize(source, "merge-source")
-    present = _touched(base, staged, keys, keys)
-    return base.unionByName(anti_join(staged, present, keys))
+    present = materialize(_touched(base, staged, keys, keys), "merge-present")
+    return base.unionByName(materialize(anti_join(staged, present, keys), "merge-added"))
 
 
 def merge_upsert(base: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

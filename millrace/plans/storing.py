@@ -106,8 +106,9 @@ def compact_incremental(t):
     table = new_path(t.spark, "orders-files")
     orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
     large = F.col("o_totalprice") > 100000
-    file_table.append(orders.where(large).coalesce(1), table, ["o_orderstatus"])
-    file_table.append(orders.where(~large | large.isNull()).repartition(6), table)
+    # as many tasks as the rows need, so that none sorts more for its partitions when the table grows
+    file_table.append(orders.where(large), table, ["o_orderstatus"])
+    file_table.append(orders.where(~large | large.isNull()).repartition("o_orderkey"), table)
     # small files are merged per partition, the large ones stay
     file_table.compact(t.spark, table, target_bytes=1 << 20, small=0.1)
     return file_table.read(t.spark, table)

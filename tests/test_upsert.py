@@ -30,6 +30,15 @@ def test_insert_only(base, changes, rows):
     assert rows(U.merge_insert(base, changes, ["k"]))[-2:] == [(None, "N"), (None, "n")]
 
 
+def test_merging_again_does_not_join_anew(base, changes, rows):
+    """The result of a merge reads stored rows, so no task holds the sorts of several merges at once."""
+    merged = base
+    for _ in range(3):
+        merged = U.merge_insert(merged, changes, ["k"])
+    assert not [o for o in operators(merged) if "Join" in o or "Aggregate" in o or o == "Sort"]
+    assert rows(merged)[:3] == [(1, "a"), (2, "b"), (3, "C")] and merged.where("k IS NULL").count() == 4
+
+
 def test_upsert(base, changes, rows):
     merged = U.merge_upsert(base, changes, ["k"])
     assert rows(merged) == [(1, "a"), (2, "B"), (3, "C"), (None, "N"), (None, "n")]
