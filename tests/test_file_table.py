@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import layout as L
+from millrace.plans import REGISTRY, storing
 from millrace.sources import file_table as T
 
 
@@ -100,3 +101,16 @@ def test_nulls_have_no_bounds(spark, tmp_path):
     assert (found._rows, found.nulls_a, found.low_a) == (2, 2, None)
     assert L.files_in_range(spark, path, index, {"a": (0, 9)}) == ([], 1)
     assert L.scan_range(spark, path, index, {"a": (0, 9)}).count() == 0
+
+
+def test_the_first_files_are_written_by_as_many_tasks_as_the_table_needs(spark, tmp_path, rows, monkeypatch):
+    folder, path = str(tmp_path), str(tmp_path / "stored")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    orders.repartition(5).write.parquet(f"{folder}/orders.parquet")
+    monkeypatch.setattr(storing, "new_path", lambda spark, label: path)
+    found = REGISTRY["compact_incremental"].run(spark, folder)
+    first = T.manifest(spark, path, 0).groupBy("folder").count().collect()
+    assert max(r["count"] for r in first) == 5
+    # and the small ones are merged
+    assert T.versions(spark, path) == [0, 1, 2] and T.manifest(spark, path, 2).count() < T.manifest(spark, path, 1).count()
+    assert rows(found) == rows(orders.select(found.columns))
