@@ -107,3 +107,16 @@ def test_json_array_files_grow_in_number(spark, tmp_path):
         assert sorted(x["id"] for part in found for x in part) == list(range(n))
     scanned = spark.read.json(str(tmp_path / "all"), multiLine=True)
     assert sorted(r.id for r in scanned.collect()) == list(range(23)) and scanned.where("t = 'a\nb'").count() == 23
+
+
+def test_words_of_a_task_are_sent_as_texts(spark, rows):
+    """One row a text and batch instead of one a word, and the same texts whatever the words and keys are."""
+    texts = [(1, "b a b"), (2, None), (3, "x\ty"), (None, "n"), (1, "c d"), (4, "w " * 3_000)]
+    exploded = X.explode_words(spark.createDataFrame(texts, "id int, t string").coalesce(1), ["id"], "t", position="pos", parent="p", keep_empty=True)
+    assert X.word_runs(exploded, ["id", "p"], "word", "pos").count() == 6
+    assert X.renest_words(exploded, ["id", "p"], "word", "pos", "t").where("t = trim(repeat('w ', 3000))").count() == 1
+    # words with blanks, empty ones, and positions that repeat or come in any order
+    odd = spark.createDataFrame([(1, 1, "b c"), (1, 0, "a"), (1, 2, ""), (1, 2, "d"), (1, 3, "e"), (1, 4, ""), (None, 5, "f"), (1, 5, "g"), (1, 6, None)],
+                                "k int, pos int, word string")
+    for n in (1, 3):
+        assert rows(X.renest_words(odd.repartition(n), ["k"], "word", "pos", "t")) == [(1, "a b c  d e  g"), (None, "f")]
