@@ -1,5 +1,9 @@
 """Near copies by the exact rule: texts whose sets of word runs have a Jaccard similarity of 0.8 or more.
 
+Candidates come from lists of texts. ``marked_lists`` makes them of SimHash fingerprints that differ in 3 bits
+or fewer, found by anchor points (``llm.simhash_dedup``): of runs of three words, and of the distinct words under
+``SEEDS``, which a changed word moves less. ``run_lists`` makes them of shared runs, so that no link is missed:
+
 If runs are put in any one order, two sets of similarity t share a run among the
 first n - ceil(t n) + 1 runs of each, n being the set's size. So each text gives out
 that many of its runs, texts that give out the same run are candidates, and
@@ -25,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import components
+from millrace.llm.simhash_dedup import fingerprint, fingerprint_links
 from millrace.llm.staging import remove, stage, staging
 from millrace.llm.words import content_key, raw
 
@@ -32,6 +37,9 @@ from millrace.llm.words import content_key, raw
 #: and so many such runs at most are known to the tasks.
 COUNTED, OFTEN, KNOWN = 16, 3, 1_000_000
 
+#: Odd factors that make a fingerprint each of the hashes of the distinct words.
+SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
+
 
 def shingles(blob: bytes, size: int) -> np.ndarray:
     """Sorted hashes of the distinct runs of ``size`` words; of the whole text if it has fewer."""
@@ -103,17 +111,73 @@ def _close(similarity: float) -> Column:
     return small >= similarity * large - 1e-9
 
 
-def near_links(texts: DataFrame, similarity: float = 0.8, size: int = 5) -> tuple[DataFrame, str]:
-    """Staged (u, root) of every linked node, and its path. ``texts``: (node, text); rows of a node have one text."""
-    spark = texts.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_runs(texts, size))
+def word_marks(blob: bytes) -> list[int]:
+    """SimHash fingerprints of the set of words, one for each of ``SEEDS``; zero without words."""
+    known = set(blob.lower().split())
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
+    marks = []
+    for seed in SEEDS:
+        mixed = (hashes ^ hashes >> np.uint64(29)) * np.uint64(seed)
+        mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(SEEDS[0])
+        mixed ^= mixed >> np.uint64(29)
+        bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        marks.append(int(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(known), bitorder="little").view("<u8")[0]))
+    return marks
+
+
+def all_marks(text: Column) -> Column:
+    @F.arrow_udf("array<bigint>")
+    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([np.array([fingerprint(b, 3), *word_marks(b)], np.uint64).view(np.int64) for b in raw(batch)], pa.list_(pa.int64()))
+    return made(text)
+
+
+def run_count(text: Column, size: int) -> Column:
+    @F.arrow_udf("int")
+    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([len(shingles(b, size)) for b in raw(batch)], pa.int32())
+    return made(text)
+
+
+def _of_several(given: DataFrame) -> DataFrame:
+    """Lists that more than one text is in."""
+    return given.groupBy("run").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("run")
+
+
+def marked_lists(texts: DataFrame, size: int, put) -> DataFrame:
+    """(run, node, size): for each fingerprint the texts that have it, or one within 3 bits of it.
+
+    Fingerprints of all kinds share the anchors; links between kinds are candidates as others are.
+    """
+    marked = put(texts.select("node", F.explode(all_marks(F.col("text"))).alias("mark")).distinct(), "marked")
+    links = put(fingerprint_links(marked.select("mark").distinct()), "mark-links")
+    given = marked.select(F.col("mark").alias("run"), "node").union(
+        links.join(marked.withColumnRenamed("mark", "b"), "b").select(F.col("a").alias("run"), "node"))
+    # a text alone in its list goes; merge joins, since what is shared grows with the texts
+    lists = put(given.join(put(_of_several(given), "shared").hint("merge"), "run").distinct(), "lists")
+    needed = put(lists.select("node").distinct(), "needed")
+    sizes = put(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]).select("node", run_count(F.col("text"), size).alias("size")), "sizes")
+    return put(lists.join(sizes, "node").select("run", "node", "size"), "lists")
+
+
+def run_lists(texts: DataFrame, similarity: float, size: int, put) -> DataFrame:
+    """(run, node, size): for each run that several texts give out those texts."""
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_runs(texts, size))
     given = texts.select("node", given_out(F.col("text"), size, similarity, frequent).alias("given")).select(
         "node", "given.size", F.explode("given.runs").alias("run"))
+    # runs of one text alone go before texts meet; merge joins, since what is shared grows with the texts
+    found = put(given.join(put(_of_several(given), "shared").hint("merge"), "run").distinct(), "lists")
+    frequent.destroy()
+    return found
+
+
+def near_links(texts: DataFrame, similarity: float = 0.8, size: int = 5, by: str = "runs") -> tuple[DataFrame, str]:
+    """Staged (u, root) of every linked node, and its path. ``texts``: (node, text); rows of a node have one text."""
+    spark = texts.sparkSession
     with staging(spark) as put:
-        # runs of one text alone go before texts meet; merge joins, since what is shared grows with the texts
-        shared = put(given.groupBy("run").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("run"),
-                     "shared")
-        lists = put(given.join(shared.hint("merge"), "run").distinct(), "lists")
+        lists = marked_lists(texts, size, put) if by == "marks" else run_lists(texts, similarity, size, put)
         own = lists.groupBy("node", "size").agg(F.count(F.lit(1)).alias("met"))
         # the text that gives out the smallest share of runs of its own is most like the common source
         alone = F.round((F.ceil((1 - similarity) * F.col("size")) - F.col("met")) / F.col("size"), 3)
@@ -164,18 +228,18 @@ def near_links(texts: DataFrame, similarity: float = 0.8, size: int = 5) -> tupl
         rest = members.join(others.hint("merge"), "run").where((F.col("node") < F.col("other")) & (F.col("group") != F.col("other_group")) & _close(similarity))
         rest = put(rest.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         out = components(links.union(verified(rest)))
-    frequent.destroy()
     return out
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8,
-                         size: int = 5) -> DataFrame:
+                         size: int = 5, by: str = "runs") -> DataFrame:
     """The rows of ``docs`` with one row of each group of near copies.
 
     Texts are linked where the Jaccard similarity of their sets of runs of ``size`` words
     (ASCII lower case) is ``similarity`` or more, and groups are what is reachable over
-    links. Every such link between different groups is found; runs are told apart by 64-bit
-    hashes. A text of fewer words is one run.
+    links. With ``by="runs"`` every such link between different groups is found; with
+    ``by="marks"`` those between texts of which a SimHash fingerprint differs in 3 bits or
+    fewer. Runs are told apart by 64-bit hashes. A text of fewer words is one run.
 
     The smallest key of a group stays, among equal keys the smallest content hash. Rows
     without a key stay only where no row of the group has one; of repeated rows one stays;
@@ -191,7 +255,7 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     body = F.when(F.trim(F.translate(F.coalesce(F.col(t), F.lit("")), "\t\n\x0b\x0c\r", "     ")) == "", F.lit("")).otherwise(F.col(t))
     node = F.xxhash64(body).alias("node")
     marked, marked_path = stage(rows.select(F.col(k).alias("key"), content.alias("content"), node), "marked")
-    roots, roots_path = near_links(rows.select(node, body.alias("text")), similarity, size)
+    roots, roots_path = near_links(rows.select(node, body.alias("text")), similarity, size, by)
     first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "content")).alias("first")
     groups = marked.groupBy("node").agg(first).join(roots, F.col("node") == F.col("u"), "left").groupBy(
         F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))

@@ -105,3 +105,22 @@ def test_odd_rows(odd, empty):
     found = C.drop_near_duplicates(odd)
     assert sorted(r.doc_id for r in found.collect()) == [1, 4, 5, 6] and found.columns == odd.columns
     assert C.drop_near_duplicates(empty).count() == 0 and C.drop_near_duplicates(empty).columns == empty.columns
+
+
+def test_marks_give_candidates_and_texts_decide(spark, odd, empty, monkeypatch):
+    """The pipeline's candidates are SimHash links; different texts of one mark stay apart, edited copies are found."""
+    import corpus_pipeline
+    asked = []
+    links = C.fingerprint_links
+    monkeypatch.setattr(C, "fingerprint_links", lambda marks: asked.append(marks) or links(marks))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    least = near_groups({r.doc_id: r.text for r in docs.collect()})
+    found = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert len(asked) == 1
+    # nothing else goes, and few near copies are beyond the marks
+    kept_by_rule, dropped = set(least.values()), {i for i, first in least.items() if first != i}
+    assert kept_by_rule <= found and len(dropped & found) <= 0.1 * len(dropped)
+    # the mark of a text that repeats one run is that of the run, whatever else it says
+    rng = random.Random(5)
+    alike = spark.createDataFrame([(i, " ".join(["again"] * 200 + words(rng, 60))) for i in range(6)], COLUMNS)
+    assert corpus_pipeline.near_dedup(spark, alike, "").count() == 6
