@@ -1,14 +1,16 @@
 """Near copies by the exact rule: texts whose sets of word runs have a Jaccard similarity of 0.8 or more.
 
-Candidates come from lists of texts. ``marked_lists`` makes them of SimHash fingerprints that differ in 3 bits
-or fewer, found by anchor points (``llm.simhash_dedup``): of runs of three words, and of the distinct words under
-``SEEDS``, which a changed word moves less. ``run_lists`` makes them of shared runs, so that no link is missed:
+Candidates come from lists of texts that share a run. ``run_lists`` makes them of all texts, so that no link is
+missed. ``marked_texts`` first takes the texts that have a SimHash fingerprint within 3 bits of another's, found by
+anchor points (``llm.simhash_dedup``): of runs of three words, and of the distinct words under ``SEEDS``, which a
+changed word moves less; ``counted_lists`` makes the lists of these few, with every run counted:
 
 If runs are put in any one order, two sets of similarity t share a run among the
 first n - ceil(t n) + 1 runs of each, n being the set's size. So each text gives out
 that many of its runs, texts that give out the same run are candidates, and
 candidates are compared whole. The order puts runs that many texts have last, which
-keeps the lists of a run short; it decides the cost, never the result.
+keeps the lists of a run short; it decides the cost, never the result. Where the first
+run that two texts share stands too far back in one of them for 0.8, they are not compared.
 
 In a list, the text whose runs are shared most leads, and is compared with all others:
 a group of copies of one text is linked in as many comparisons as it has members.
@@ -111,6 +113,12 @@ def _close(similarity: float) -> Column:
     return small >= similarity * large - 1e-9
 
 
+def _within(similarity: float) -> Column:
+    """Sets of similarity t have t / (1 + t) of both sizes in common, all of it from the first common run on."""
+    left = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    return left >= similarity / (1 + similarity) * (F.col("size") + F.col("other_size")) - 1e-9
+
+
 def word_marks(blob: bytes) -> list[int]:
     """SimHash fingerprints of the set of words, one for each of ``SEEDS``; zero without words."""
     known = set(blob.lower().split())
@@ -133,40 +141,50 @@ def all_marks(text: Column) -> Column:
     return made(text)
 
 
-def run_count(text: Column, size: int) -> Column:
-    @F.arrow_udf("int")
-    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([len(shingles(b, size)) for b in raw(batch)], pa.int32())
-    return made(text)
-
-
-def _of_several(given: DataFrame) -> DataFrame:
+def _of_several(given: DataFrame, name: str = "run") -> DataFrame:
     """Lists that more than one text is in."""
-    return given.groupBy("run").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("run")
+    return given.groupBy(name).agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select(name)
 
 
-def marked_lists(texts: DataFrame, size: int, put) -> DataFrame:
-    """(run, node, size): for each fingerprint the texts that have it, or one within 3 bits of it.
+def marked_texts(texts: DataFrame, put) -> DataFrame:
+    """Each (node, text) once that has a fingerprint which another text has too, or one within 3 bits of it.
 
-    Fingerprints of all kinds share the anchors; links between kinds are candidates as others are.
+    Fingerprints of all kinds share the anchors; links between kinds count as others do.
     """
     marked = put(texts.select("node", F.explode(all_marks(F.col("text"))).alias("mark")).distinct(), "marked")
-    links = put(fingerprint_links(marked.select("mark").distinct()), "mark-links")
-    given = marked.select(F.col("mark").alias("run"), "node").union(
-        links.join(marked.withColumnRenamed("mark", "b"), "b").select(F.col("a").alias("run"), "node"))
-    # a text alone in its list goes; merge joins, since what is shared grows with the texts
-    lists = put(given.join(put(_of_several(given), "shared").hint("merge"), "run").distinct(), "lists")
-    needed = put(lists.select("node").distinct(), "needed")
-    sizes = put(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]).select("node", run_count(F.col("text"), size).alias("size")), "sizes")
-    return put(lists.join(sizes, "node").select("run", "node", "size"), "lists")
+    links = fingerprint_links(marked.select("mark").distinct())
+    # only the marks of the links are kept, since the links of a dense group are many more
+    near = put(links.select(F.explode(F.array("a", "b")).alias("mark")).union(_of_several(marked, "mark")).distinct(), "near-marks")
+    needed = put(marked.join(near, "mark", "left_semi").select("node").distinct(), "needed")
+    return put(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]), "candidates")
+
+
+def _prefix(similarity: float) -> Column:
+    """How many of its runs a text gives out."""
+    return F.col("size") - F.ceil(similarity * F.col("size") - 1e-9).cast("int") + 1
+
+
+def counted_lists(texts: DataFrame, similarity: float, size: int, put) -> DataFrame:
+    """(run, node, size, place) as ``run_lists`` gives, the order being in how many of ``texts`` a run is.
+
+    Runs of one text alone come first in it and are left out.
+    """
+    every = texts.select("node", all_runs(F.col("text"), size).alias("runs"))
+    runs = put(every.select("node", F.size("runs").alias("size"), F.explode("runs").alias("run")), "runs")
+    times = put(runs.groupBy("run").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "times")
+    shared = runs.join(times.hint("merge"), "run").groupBy("node", "size").agg(
+        F.sort_array(F.collect_list(F.struct("times", "run"))).alias("shared"))
+    alone = F.col("size") - F.size("shared")
+    given = shared.select("node", "size", alone.alias("alone"), F.posexplode(
+        F.slice("shared", F.lit(1), F.greatest(_prefix(similarity) - alone, F.lit(0)))).alias("at", "one"))
+    return put(given.select("one.run", "node", "size", (F.col("alone") + F.col("at")).alias("place")), "lists")
 
 
 def run_lists(texts: DataFrame, similarity: float, size: int, put) -> DataFrame:
-    """(run, node, size): for each run that several texts give out those texts."""
+    """(run, node, size, place): for each run that several texts give out those texts, and its place in their order."""
     frequent = texts.sparkSession.sparkContext.broadcast(frequent_runs(texts, size))
     given = texts.select("node", given_out(F.col("text"), size, similarity, frequent).alias("given")).select(
-        "node", "given.size", F.explode("given.runs").alias("run"))
+        "node", "given.size", F.posexplode("given.runs").alias("place", "run"))
     # runs of one text alone go before texts meet; merge joins, since what is shared grows with the texts
     found = put(given.join(put(_of_several(given), "shared").hint("merge"), "run").distinct(), "lists")
     frequent.destroy()
@@ -177,7 +195,11 @@ def near_links(texts: DataFrame, similarity: float = 0.8, size: int = 5, by: str
     """Staged (u, root) of every linked node, and its path. ``texts``: (node, text); rows of a node have one text."""
     spark = texts.sparkSession
     with staging(spark) as put:
-        lists = marked_lists(texts, size, put) if by == "marks" else run_lists(texts, similarity, size, put)
+        if by == "marks":
+            texts = marked_texts(texts, put)
+            lists = counted_lists(texts, similarity, size, put)
+        else:
+            lists = run_lists(texts, similarity, size, put)
         own = lists.groupBy("node", "size").agg(F.count(F.lit(1)).alias("met"))
         # the text that gives out the smallest share of runs of its own is most like the common source
         alone = F.round((F.ceil((1 - similarity) * F.col("size")) - F.col("met")) / F.col("size"), 3)
@@ -224,8 +246,10 @@ def near_links(texts: DataFrame, similarity: float = 0.8, size: int = 5, by: str
         members = lists.join(groups.select("node", "group"), "node")
         mixed = members.groupBy("run").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("run")
         members = put(members.join(mixed.hint("merge"), "run"), "members")
-        others = members.select("run", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("group").alias("other_group"))
-        rest = members.join(others.hint("merge"), "run").where((F.col("node") < F.col("other")) & (F.col("group") != F.col("other_group")) & _close(similarity))
+        others = members.select("run", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"), F.col("group").alias("other_group"))
+        # a pair is met at its first common run, so it may be left out at all later ones
+        rest = members.join(others.hint("merge"), "run").where(
+            (F.col("node") < F.col("other")) & (F.col("group") != F.col("other_group")) & _close(similarity) & _within(similarity))
         rest = put(rest.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         out = components(links.union(verified(rest)))
     return out
@@ -238,8 +262,8 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     Texts are linked where the Jaccard similarity of their sets of runs of ``size`` words
     (ASCII lower case) is ``similarity`` or more, and groups are what is reachable over
     links. With ``by="runs"`` every such link between different groups is found; with
-    ``by="marks"`` those between texts of which a SimHash fingerprint differs in 3 bits or
-    fewer. Runs are told apart by 64-bit hashes. A text of fewer words is one run.
+    ``by="marks"`` those between texts that have a SimHash fingerprint within 3 bits of some
+    other text's. Runs are told apart by 64-bit hashes. A text of fewer words is one run.
 
     The smallest key of a group stays, among equal keys the smallest content hash. Rows
     without a key stay only where no row of the group has one; of repeated rows one stays;

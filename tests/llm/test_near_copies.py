@@ -1,4 +1,5 @@
 import random
+from contextlib import contextmanager
 
 import pytest
 
@@ -124,3 +125,32 @@ def test_marks_give_candidates_and_texts_decide(spark, odd, empty, monkeypatch):
     rng = random.Random(5)
     alike = spark.createDataFrame([(i, " ".join(["again"] * 200 + words(rng, 60))) for i in range(6)], COLUMNS)
     assert corpus_pipeline.near_dedup(spark, alike, "").count() == 6
+
+
+def test_rows_of_a_dense_group_grow_with_its_size(spark, monkeypatch):
+    """Copies of one text that marks link and the rule mostly does not: neither lists nor pairs grow with the square."""
+    made, staging = {}, C.staging
+
+    @contextmanager
+    def counted(session):
+        with staging(session) as put:
+            def kept_count(df, label):
+                staged = put(df, label)
+                made[label] = max(made.get(label, 0), staged.count())
+                return staged
+            yield kept_count
+    monkeypatch.setattr(C, "staging", counted)
+    rng = random.Random(7)
+    base = words(rng, 200)
+    texts = {}
+    for i in range(400):
+        own = list(base)
+        for at in rng.sample(range(200), rng.randint(4, 12)):
+            own[at] = f"new{i}x{at}"
+        texts[i] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), COLUMNS)
+    found = {r.doc_id for r in C.drop_near_duplicates(docs, by="marks").collect()}
+    # every link between texts that have a fingerprint near another's is found
+    assert found == set(near_groups(texts).values())
+    assert made["candidates"] > 390
+    assert made["lists"] <= 20 * len(texts) and made["pairs"] <= 10 * len(texts)
