@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from millrace.functions.nested import at_path
@@ -14,6 +16,9 @@ from millrace.sources import readers as R
 from millrace.sources import writers as S
 from millrace.workspace import new_name, new_path
 
+#: Rows that one task of a partitioned write is given, about; it sorts them in its memory.
+_ROWS_A_TASK = 250_000
+
 
 @query("scan_csv_schema", "SRC8 SRC9 SRC10 SNK8", "SELECT * FROM customer")
 def scan_csv_schema(t):
@@ -106,9 +111,10 @@ def compact_incremental(t):
     table = new_path(t.spark, "orders-files")
     orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
     large = F.col("o_totalprice") > 100000
-    # as many tasks as the rows need, so that none sorts more for its partitions when the table grows
-    file_table.append(orders.where(large), table, ["o_orderstatus"])
-    file_table.append(orders.where(~large | large.isNull()).repartition("o_orderkey"), table)
+    # as many tasks as the rows need, so that none sorts more for its partitions when the table, or a row group of it, grows
+    tasks = max(L.partition_count(orders), ceil(orders.count() / _ROWS_A_TASK), 1)
+    file_table.append(orders.where(large).repartition(tasks, "o_orderkey"), table, ["o_orderstatus"])
+    file_table.append(orders.where(~large | large.isNull()).repartition(max(6, tasks), "o_orderkey"), table)
     # small files are merged per partition, the large ones stay
     file_table.compact(t.spark, table, target_bytes=1 << 20, small=0.1)
     return file_table.read(t.spark, table)

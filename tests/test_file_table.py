@@ -114,3 +114,14 @@ def test_the_first_files_are_written_by_as_many_tasks_as_the_table_needs(spark,
     # and the small ones are merged
     assert T.versions(spark, path) == [0, 1, 2] and T.manifest(spark, path, 2).count() < T.manifest(spark, path, 1).count()
     assert rows(found) == rows(orders.select(found.columns))
+
+
+def test_one_large_row_group_is_written_by_several_tasks(spark, tmp_path):
+    """A scan gives a row group to one task, which would sort all its rows for the partitions."""
+    rows = spark.range(0, 1_000_000, 1, 1).selectExpr("cast(id as int) AS o_orderkey", "cast(200000 + id % 7 as decimal(15, 2)) AS o_totalprice",
+                                                      "'F' AS o_orderstatus")
+    rows.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    found = REGISTRY["compact_incremental"].run(spark, str(tmp_path))
+    per_file = [r["count"] for r in found.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 1_000_000 and max(per_file) < 400_000
+    assert found.agg(F.count_distinct("o_orderkey")).first()[0] == 1_000_000
