@@ -140,6 +140,22 @@ def test_repeats_do_not_grow_with_the_pairs(spark):
     assert max(per_row) <= 2 * J.REPEATS and per_row[0] == per_row[1]
 
 
+@pytest.mark.parametrize("join", [J.join_grid, J.join_prepartitioned])
+def test_tasks_follow_the_pairs(spark, join):
+    """Few bytes are shuffled here and 300 million pairs come out: they are not left to as many tasks as the bytes need."""
+    left, right = (spark.range(0, n, 1, 4).select(F.lit(7).alias("k"), F.col("id").alias(c)) for c, n in (("v", 30_000), ("d", 10_000)))
+    report = join(left, right, "k", target_rows=5).groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    assert report[0] == 30_000 * 10_000 and report[1] < 15_000_000
+
+
+def test_null_keys_lie_in_many_lines(spark):
+    left = spark.range(0, 1000, 1, 2).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v"))
+    right = spark.range(100).select(F.col("id").alias("k"))
+    lines, _ = J.grid_by_share(left, right, "k", target_rows=10)
+    assert lines.count() == 1000 and lines.select("_line").distinct().count() > 32
+    assert J.join_grid(left, right, "k", 10, "left").where("k IS NULL").count() == 1000
+
+
 def test_the_grid_join_hashes_on_cells(hot_sides, no_broadcast):
     found = exchanges(J.join_grid(*hot_sides, "k", 100))
     assert len(found) == 2 and all("_line" in e and "_column" in e for e in found)
