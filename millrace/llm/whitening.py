@@ -138,19 +138,24 @@ def _scatter(fit: DataFrame, centre: np.ndarray) -> list[list[int]]:
 
 
 def pivoted_cholesky(matrix: np.ndarray) -> np.ndarray:
-    """Columns L with L L' = ``matrix``, the largest remaining diagonal first; as many as the rank."""
+    """Columns L with L L' = ``matrix``, the largest remaining diagonal first; as many as the rank.
+
+    A row is used up when nothing but rounding is left of its own diagonal entry, so
+    small entries count beside ones that are larger by any factor.
+    """
     rest = np.diag(matrix).astype(float).copy()
     size, columns = len(rest), []
-    least = size * np.finfo(float).eps * max(rest.max(initial=0.0), 0.0)
+    least = 10 * size * np.finfo(float).eps * rest
     for _ in range(size):
+        rest[rest <= least] = -np.inf
         pivot = int(np.argmax(rest))
-        if rest[pivot] <= least:
+        if rest[pivot] == -np.inf:
             break
         column = matrix[:, pivot].astype(float)
         for known in columns:
             column = column - known[pivot] * known
         column = column / np.sqrt(rest[pivot])
-        # rows that have been pivots are done
+        # rows that have been pivots or are used up are done
         column[rest == -np.inf] = 0.0
         columns.append(column)
         rest = rest - column ** 2
@@ -202,9 +207,16 @@ class Whitening:
     trace: float
 
     def project(self, y: np.ndarray) -> np.ndarray:
-        """Whitened coordinates of whole-number vectors."""
+        """Whitened coordinates of whole-number vectors.
+
+        Added up entry by entry: a matrix product rounds differently with the number of rows.
+        """
         shift = np.array([r / self.n for r in self.rest])
-        return ((y - self.centre) - shift) @ (self.components / np.sqrt(self.values)[:, None]).T
+        z, weights = (y - self.centre) - shift, self.components / np.sqrt(self.values)[:, None]
+        total = np.zeros((len(z), len(weights)))
+        for entry, weight in zip(z.T, weights.T):
+            total += entry[:, None] * weight
+        return total
 
     def deviations(self, y: np.ndarray) -> list[int]:
         """Exact sum over the entries of (n x - S) squared."""

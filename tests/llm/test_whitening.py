@@ -56,6 +56,36 @@ def test_odd_vectors(spark):
     assert len(found) == 3 * 7 and {r.component for r in found} == {1, 2, 3}
 
 
+def test_entries_of_very_different_size(spark):
+    """An entry of 1e9 hides no component of the small ones; expected values are from Jacobi rotations with 80 digits."""
+    usable = {1: [0.5, 0.25, 1.0], 3: [2.0, -1.0, 0.0], 4: [0.0, 3.0, -7.5], 5: [9.0, 9.0, 1e9]}
+    found = H.whiten(spark.createDataFrame(list(usable.items()), COLUMNS)).collect()
+    expected = {1: [-0.577350261876522, -0.577350264185923, -0.577350281506431, 1.73205080756888],
+                2: [0.195067793911232, 1.30655350560819, -1.50162128806219, -1.14572274289727e-08],
+                3: [-1.62130047520184, 0.979583896063731, 0.641716572703935, 6.43417475664481e-09]}
+    assert len(found) == 12
+    for component, values in expected.items():
+        rows = sorted((r for r in found if r.component == component), key=lambda r: r.vec_id)
+        sign = np.sign(rows[0].whitened * values[0])
+        assert [r.whitened * sign for r in rows] == pytest.approx(values, rel=1e-9, abs=1e-10)
+        assert rows[0].explained == pytest.approx({1: 1.0, 2: 1.3518571488344932e-17, 3: 5.3698425970136644e-19}[component], rel=1e-9, abs=0)
+
+
+def test_projection_does_not_depend_on_the_rows_beside():
+    generator = np.random.default_rng(3)
+    model = H.Whitening(7, np.zeros(64, np.int64), [3] * 64, np.linspace(9, 1, 16), generator.normal(size=(16, 64)), 100.0)
+    y = generator.integers(-500, 500, (333, 64))
+    assert all(np.array_equal(model.project(y[low:low + n]), model.project(y)[low:low + n]) for low in (0, 5, 99) for n in (1, 2, 13, 64))
+
+
+def test_rank_of_exact_copies():
+    """Directions that the others make up add no component, at any scale of the entries."""
+    for seed in range(200):
+        base = np.random.default_rng(seed).integers(-9, 10, (6, 2)) * np.array([1, 10 ** (seed % 9)])
+        vectors = np.hstack([base, base.sum(axis=1, keepdims=True), 3 * base])
+        assert H.pivoted_cholesky((vectors.T @ vectors).astype(float)).shape[1] == np.linalg.matrix_rank(base)
+
+
 def test_nothing_to_fit(spark):
     columns = ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
     for rows in ([], [(1, None)], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
