@@ -148,6 +148,30 @@ def test_tasks_follow_the_pairs(spark, join):
     assert report[0] == 30_000 * 10_000 and report[1] < 15_000_000
 
 
+@pytest.mark.parametrize("own, other", [("timestamp_ntz", "date"), ("date", "timestamp_ntz"), ("int", "bigint")])
+def test_keys_of_two_types(spark, rows, no_broadcast, own, other):
+    """A date meets a time and an int a bigint without being shuffled a second time; the key keeps the type of the left side."""
+    def side(kind, n, name):
+        number = F.when(F.col("id") % 7 > 0, F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id") % 40))
+        return spark.range(0, n, 1, 3).select(F.col("id").alias(name), (
+            F.date_add(F.lit("1995-01-01").cast("date"), number.cast("int")) if kind in ("date", "timestamp_ntz") else number).cast(kind).alias("k"))
+    left, right = side(own, 300, "v"), side(other, 90, "d").withColumn("k", F.when(F.col("d") > 80, None).otherwise(F.col("k")))
+    plain, joined = left.join(right, "k", "left"), J.join_bucketed(left, right, "k", 3, "left", target_rows=5)
+    assert joined.dtypes == plain.dtypes and rows(joined) == rows(plain) and exchanges(joined) == []
+    for how in ("inner", "leftanti"):
+        plain, joined = left.join(right, "k", how), J.join_grid(left, right, "k", 5, how)
+        assert joined.dtypes == plain.dtypes and rows(joined) == rows(plain)
+
+
+def test_buckets_follow_the_pairs(hot_sides, monkeypatch):
+    """One task joins a bucket, so pairs that are too many for the given buckets get more of them."""
+    monkeypatch.setattr(J, "PAIRS", 2_000)
+    left, right = hot_sides
+    report = J.join_bucketed(left, right, "k", 2, "left", target_rows=20).groupBy(F.spark_partition_id()).count().agg(
+        F.sum("count"), F.max("count")).first()
+    assert report[0] == left.join(right, "k", "left").count() and report[1] < report[0] / 5
+
+
 def test_null_keys_lie_in_many_lines(spark):
     left = spark.range(0, 1000, 1, 2).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v"))
     right = spark.range(100).select(F.col("id").alias("k"))
