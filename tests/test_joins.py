@@ -163,6 +163,15 @@ def test_keys_of_two_types(spark, rows, no_broadcast, own, other):
         assert joined.dtypes == plain.dtypes and rows(joined) == rows(plain)
 
 
+def test_copies_are_made_by_many_tasks(spark, monkeypatch):
+    """A side that one task reads is dealt out before its rows are repeated, so a task's copies do not grow with the table."""
+    monkeypatch.setattr(J, "COPIES", 2_000, raising=False)
+    left, right = (spark.range(0, n, 1, 1).select(F.lit(7).alias("k"), F.col("id").alias(c)) for c, n in (("v", 3_000), ("d", 1_000)))
+    for side in J.grid_by_share(left, right, "k", target_rows=5):
+        report = side.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+        assert report[0] > 20_000 and report[1] < 4_000
+
+
 def test_buckets_follow_the_pairs(hot_sides, monkeypatch):
     """One task joins a bucket, so pairs that are too many for the given buckets get more of them."""
     monkeypatch.setattr(J, "PAIRS", 2_000)
